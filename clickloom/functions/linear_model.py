@@ -1,0 +1,46 @@
+"""A linear model as an ONNX file: one matrix product of [rows, n] features with n weights."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+
+
+def _varint(number: int) -> bytes:
+    out = bytearray()
+    while True:
+        number, low = number >> 7, number & 0x7F
+        out.append(low | (0x80 if number else 0))
+        if not number:
+            return bytes(out)
+
+
+def _number(field: int, value: int) -> bytes:
+    return _varint(field << 3) + _varint(value)
+
+
+def _block(field: int, content: bytes | str) -> bytes:
+    raw = content.encode() if isinstance(content, str) else content
+    return _varint(field << 3 | 2) + _varint(len(raw)) + raw
+
+
+def _value(name: str, columns: int) -> bytes:
+    """A float matrix [rows, columns] with any number of rows."""
+    shape = _block(1, _block(2, "rows")) + _block(1, _number(1, columns))
+    return _block(1, name) + _block(2, _block(1, _number(1, 1) + _block(2, shape)))
+
+
+def linear_model(weights: Sequence[float]) -> bytes:
+    """The bytes of the model file, in the public ONNX wire format."""
+    column = np.asarray(weights, np.float32)
+    initializer = (
+        _number(1, len(column)) + _number(1, 1) + _number(2, 1) + _block(8, "weights")
+        + _block(9, column.astype("<f4").tobytes())
+    )
+    node = _block(1, "features") + _block(1, "weights") + _block(2, "prediction") + _block(4, "MatMul")
+    graph = (
+        _block(1, node) + _block(2, "linear") + _block(5, initializer)
+        + _block(11, _value("features", len(column))) + _block(12, _value("prediction", 1))
+    )
+    return _number(1, 8) + _block(7, graph) + _block(8, _block(1, "") + _number(2, 13))

@@ -46,10 +46,11 @@ ITEM_COLUMNS = {
 
 def profile_items(profiles: DataFrame) -> DataFrame:
     """One row per profile, kind and item."""
-    listed = [
-        F.transform(F.col(column), lambda x, k=kind: F.struct(F.lit(k).alias("kind"), x.alias("item")))
-        for kind, column in ITEM_COLUMNS.items()
-    ]
+
+    def listed_as(kind: str):
+        return lambda item: F.struct(F.lit(kind).alias("kind"), item.alias("item"))
+
+    listed = [F.transform(F.col(column), listed_as(kind)) for kind, column in ITEM_COLUMNS.items()]
     return profiles.select("user_id", "window_start_ms", F.inline(F.concat(*listed)))
 
 

@@ -125,13 +125,19 @@ def model_metadata(spark: SparkSession, model_path: str) -> dict:
         return dict(MODEL_METADATA)
 
 
-def score_with_model(df: DataFrame, model_path: str, features: str, name: str = "prediction") -> DataFrame:
-    """Run an ONNX model over an array column; the model is read once and opened once per Python worker."""
-    spark = df.sparkSession
-    content = _read_bytes(spark, model_path)
+def read_model(spark: SparkSession, path: str) -> bytes:
+    """The bytes of a model file on storage that the driver can read."""
+    content = _read_bytes(spark, path)
     if content is None:
-        raise ValueError(f"model file is larger than {MODEL_BYTES_LIMIT} bytes: {model_path}")
-    shared = spark.sparkContext.broadcast(content)
+        raise ValueError(f"no model file of at most {MODEL_BYTES_LIMIT} bytes: {path}")
+    return content
+
+
+def score_with_model(df: DataFrame, model: bytes, features: str, name: str = "prediction") -> DataFrame:
+    """Run an ONNX model over an array column; the model is sent once and opened once per Python worker."""
+    if len(model) > MODEL_BYTES_LIMIT:
+        raise ValueError(f"the model is larger than {MODEL_BYTES_LIMIT} bytes")
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

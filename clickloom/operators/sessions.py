@@ -25,12 +25,11 @@ def sessionize(events: DataFrame, cap_ms: int = CAP_MS) -> DataFrame:
 def session_summary(sessionized: DataFrame, cap_ms: int = CAP_MS, kept_events: int = KEPT_EVENTS) -> DataFrame:
     """One row per session. Distinct counts go through a grouping by item first, so no set is built."""
     keys = ["user_id", "start_time"]
+    item = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("item"))
     items = sessionized.select(
         *keys, "ts_ms",
         F.inline(F.array(
-            F.struct(F.lit("event").alias("kind"), F.lit(None).cast("string").alias("item")),
-            F.struct(F.lit("product"), F.col("product_id")),
-            F.struct(F.lit("category"), F.col("category_id")),
+            item("event", F.lit(None)), item("product", F.col("product_id")), item("category", F.col("category_id"))
         )),
     )
     per_item = items.groupBy(*keys, "kind", "item").agg(F.count("*").alias("n"), F.max("ts_ms").alias("last"))

@@ -110,20 +110,13 @@ def s4_json_output(spark, folder):
 @query("s5_clean_rows", f"""
 WITH {FAULTY_SQL}
 SELECT event_id, event_time, event_type, product_id, user_id, user_session,
-       CASE WHEN isnan(number) THEN 'nan' WHEN isinf(number) THEN 'inf' WHEN number IS NULL THEN 'none'
-            ELSE 'number' END AS price_kind,
-       CASE WHEN isfinite(number) THEN number END AS price
+       CASE WHEN isnan(number) THEN 'NaN' WHEN isinf(number) THEN 'Infinity' ELSE CAST(number AS VARCHAR) END AS price
 FROM raw WHERE error IS NULL
 """)
 def s5_clean_rows(spark, folder):
-    price = F.col("price")
-    infinite = F.abs(price) == float("inf")
-    kind = (
-        F.when(price.isNull(), "none").when(F.isnan(price), "nan").when(infinite, "inf").otherwise("number")
-    )
     return valid_rows(with_error(faulty_rows(spark, folder))).select(
         "event_id", "event_time", "event_type", "product_id", "user_id", "user_session",
-        kind.alias("price_kind"), F.when(~F.isnan(price) & ~infinite, price).alias("price"),
+        F.col("price").cast("string").alias("price"),
     )
 
 
@@ -253,7 +246,7 @@ def f1_json_functions(spark, folder):
 
 @query("f2_time_functions", """
 SELECT event_id, ts_ms, ts_ms - ts_ms % 60000 AS minute_ms, epoch_ms(date_trunc('second', ts)) AS iso_ms,
-       round(((SELECT max(ts_ms) FROM ev) - ts_ms) / 86400000.0, 9) AS days_ago
+       ((SELECT max(ts_ms) FROM ev) - ts_ms) / 86400000.0::DOUBLE AS days_ago
 FROM ev
 """)
 def f2_time_functions(spark, folder):
@@ -262,7 +255,7 @@ def f2_time_functions(spark, folder):
     return events.select(
         "event_id", to_millis(F.col("event_time")).alias("ts_ms"),
         window_floor(F.col("ts_ms"), 60_000).alias("minute_ms"), to_millis(iso).alias("iso_ms"),
-        F.round(days_between(F.col("ts_ms"), latest_ms(events)), 9).alias("days_ago"),
+        days_between(F.col("ts_ms"), latest_ms(events)).alias("days_ago"),
     )
 
 

@@ -24,7 +24,8 @@ STREAM_CONF = {
 def prepare(spark: SparkSession) -> SparkSession:
     """Set the runtime options in a running session; the cluster's sizing options stay as they are."""
     for name, value in RUNTIME_CONF.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 

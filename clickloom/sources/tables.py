@@ -28,9 +28,19 @@ BEHAVIOUR_EVENT = T.StructType([
     T.StructField("user_session", T.StringType()),
 ])
 
+# Declared schemas of the given tables: no job has to look into the files first.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    return prepare(spark).read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def as_behaviour(events: DataFrame) -> DataFrame:
