@@ -31,7 +31,7 @@ def numeric_baseline(df: DataFrame, column: str = "price") -> DataFrame:
     tagged = df.select(F.lit(column).alias("column"), value.alias("_value"))
     spread = percentile_columns(
         exact_percentiles(tagged, ["column"], F.col("_value"), list(PERCENTILES)), ["column"], PERCENTILES
-    )
+    ).drop("rows")
     return moments.join(spread, "column")
 
 
@@ -72,37 +72,39 @@ def batch_overview(df: DataFrame, keys: Sequence[str], now: Column | None = None
     )
 
 
+def _reference_row(numeric: DataFrame, *columns: Column) -> Column:
+    """Figures of the price baseline as one value; the baseline has one row per column."""
+    return numeric.where("column = 'price'").select(F.struct(*columns).alias("r")).scalar()
+
+
+def _mean_shift(numeric: DataFrame) -> Column:
+    reference = _reference_row(numeric, F.col("mean"), F.greatest("std", F.lit(0.001)).alias("std"))
+    z = F.abs(F.col("mean") - reference["mean"]) / (reference["std"] / F.sqrt("count"))
+    return F.when(F.col("count") >= MIN_PRICES, F.least(z / 5.0, F.lit(1.0)))
+
+
 def mean_shift(overview: DataFrame, numeric: DataFrame, keys: Sequence[str]) -> DataFrame:
     """D1"""
-    reference = numeric.where("column = 'price'").select(
-        F.col("mean").alias("_mean"), F.greatest("std", F.lit(0.001)).alias("_std"), F.lit("price").alias("_column")
-    )
-    z = F.abs(F.col("mean") - F.col("_mean")) / (F.col("_std") / F.sqrt("count"))
-    return (
-        overview.where(F.col("count") >= MIN_PRICES).withColumn("_column", F.lit("price"))
-        .join(F.broadcast(reference), "_column")  # one row
-        .select(*keys, F.lit("price_mean").alias("part"), F.least(z / 5.0, F.lit(1.0)).alias("score"))
-    )
+    return overview.select(
+        *keys, F.lit("price_mean").alias("part"), _mean_shift(numeric).alias("score")
+    ).where(F.col("score").isNotNull())
 
 
-def quantile_distance(df: DataFrame, numeric: DataFrame, keys: Sequence[str], overview: DataFrame) -> DataFrame:
+def quantile_distance(df: DataFrame, numeric: DataFrame, keys: Sequence[str]) -> DataFrame:
     """D2"""
-    reference = numeric.where("column = 'price'").select(
-        F.lit("price").alias("_column"), (F.col("max") - F.col("min")).alias("_range"),
-        *[F.col(n).alias(f"_{n}") for n in PERCENTILES.values()],
-    )
+    names = list(PERCENTILES.values())
     current = percentile_columns(
         exact_percentiles(df, keys, F.col("price"), list(PERCENTILES)), keys, PERCENTILES
+    ).where(F.col("rows") >= MIN_PRICES)
+    reference = _reference_row(numeric, (F.col("max") - F.col("min")).alias("range"), *[F.col(n) for n in names])
+    compared = current.withColumn("_r", reference).select(
+        *keys, F.greatest(*[F.abs(F.col(n) - F.col(f"_r.{n}")) for n in names]).alias("_widest"),
+        F.col("_r.range").alias("_range"),
     )
-    enough = overview.where(F.col("count") >= MIN_PRICES).select(*keys)
-    widest = F.greatest(*[F.abs(F.col(n) - F.col(f"_{n}")) for n in PERCENTILES.values()])
-    score = F.try_divide(widest, F.col("_range"))
-    return (
-        current.join(enough, list(keys)).withColumn("_column", F.lit("price"))
-        .join(F.broadcast(reference), "_column")  # one row
-        .select(*keys, F.lit("price_quantiles").alias("part"),
-                F.when(widest == 0, F.lit(0.0)).otherwise(F.least(F.coalesce(score, F.lit(1.0)), F.lit(1.0)))
-                .alias("score"))
+    score = F.least(F.coalesce(F.try_divide("_widest", "_range"), F.lit(1.0)), F.lit(1.0))
+    return compared.select(
+        *keys, F.lit("price_quantiles").alias("part"),
+        F.when(F.col("_widest") == 0, F.lit(0.0)).otherwise(score).alias("score"),
     )
 
 
@@ -133,25 +135,33 @@ def category_divergence(
     ).select(*keys, F.col("column").alias("part"), "score")
 
 
-def hour_profile(overview: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean distance to an even day over the hours that occur."""
+def _hour_distance() -> Column:
     present = F.filter("hours", lambda n: n > 0)
     rows = F.aggregate(present, F.lit(0).cast("long"), lambda a, n: a + n)
     distance = F.aggregate(present, F.lit(0.0), lambda a, n: a + F.abs(n / rows - 1.0 / 24.0))
-    return overview.where(F.size(present) > 0).select(
-        *keys, F.lit("hour").alias("part"),
-        F.least(distance / F.size(present) * 10.0, F.lit(1.0)).alias("score"),
+    return F.when(F.size(present) > 0, F.least(distance / F.size(present) * 10.0, F.lit(1.0)))
+
+
+def hour_profile(overview: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mean distance to an even day over the hours that occur."""
+    return overview.select(*keys, F.lit("hour").alias("part"), _hour_distance().alias("score")).where(
+        F.col("score").isNotNull()
     )
 
 
 def drift_parts(df: DataFrame, numeric: DataFrame, categorical: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """D1-D4 in long form: keys, part, score."""
-    overview = batch_overview(df, keys)
-    return (
-        mean_shift(overview, numeric, keys)
-        .unionByName(quantile_distance(df, numeric, keys, overview))
-        .unionByName(category_divergence(df, categorical, keys))
-        .unionByName(hour_profile(overview, keys))
+    """D1-D4 in long form: keys, part, score; a part that cannot be computed is null or missing.
+
+    Mean and hours come from one pass, whose rows also bring ``batch_size``.
+    """
+    part = lambda name, score: F.struct(F.lit(name).alias("part"), score.alias("score"))
+    plain = batch_overview(df, keys).select(
+        *keys, "batch_size",
+        F.inline(F.array(part("price_mean", _mean_shift(numeric)), part("hour", _hour_distance()))),
+    )
+    return plain.unionByName(
+        quantile_distance(df, numeric, keys).unionByName(category_divergence(df, categorical, keys)),
+        allowMissingColumns=True,
     )
 
 
@@ -160,14 +170,12 @@ def drift_level(score: Column) -> Column:
     return F.when(score > HIGH, F.lit("high")).when(score > MODERATE, F.lit("moderate")).otherwise(F.lit("none"))
 
 
-def drift_totals(parts: DataFrame, sizes: DataFrame, keys: Sequence[str], min_batch: int = MIN_BATCH) -> DataFrame:
+def drift_totals(parts: DataFrame, keys: Sequence[str], min_batch: int = MIN_BATCH) -> DataFrame:
     """Mean of the parts for batches that are large enough, null for smaller ones."""
-    means = parts.groupBy(*keys).agg(F.avg("score").alias("_mean"))
+    means = parts.groupBy(*keys).agg(F.max("batch_size").alias("batch_size"), F.avg("score").alias("_mean"))
     score = F.when(F.col("batch_size") >= min_batch, F.coalesce("_mean", F.lit(0.0)))
-    return (
-        sizes.select(*keys, "batch_size").join(means, list(keys), "left")
-        .withColumn("drift_score", score).drop("_mean")
-        .withColumn("level", F.when(F.col("drift_score").isNotNull(), drift_level(F.col("drift_score"))))
+    return means.select(*keys, "batch_size", score.alias("drift_score")).withColumn(
+        "level", F.when(F.col("drift_score").isNotNull(), drift_level(F.col("drift_score")))
     )
 
 

@@ -84,7 +84,7 @@ def load_stats(samples: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.avg(x).alias("mean_ms"), F.min(x).alias("min_ms"), F.max(x).alias("max_ms"),
         F.stddev_pop(x).alias("std_ms"),
     )
-    spread = percentile_columns(exact_percentiles(kept, keys, x, list(LOAD_PERCENTILES)), keys, LOAD_PERCENTILES)
+    spread = percentile_columns(exact_percentiles(kept, keys, x, list(LOAD_PERCENTILES)), keys, LOAD_PERCENTILES).drop("rows")
     totals = samples.groupBy(*keys).agg(
         F.count("*").alias("total_requests"), F.count_if(F.col("ok")).alias("successful_requests"),
         F.sum(F.when(F.col("ok"), x)).alias("_sum"),
@@ -104,12 +104,11 @@ def sla_stats(samples: DataFrame, limit_ms: float = SLA_MS) -> DataFrame:
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"),
         F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std_dev"),
     )
-    positions = percentile_columns(
-        exact_percentiles(samples, [], x, list(SLA_POSITIONS), interpolate=False), [], SLA_POSITIONS
-    )
-    median = percentile_columns(exact_percentiles(samples, [], x, [0.5]), [], {0.5: "median"})
+    spread = percentile_columns(
+        exact_percentiles(samples, [], x, list(SLA_POSITIONS)), [], {0.5: "median"}, SLA_POSITIONS
+    ).drop("rows")
     return (
-        _with_stats(_with_stats(figures, positions, []), median, [])
+        _with_stats(figures, spread, [])
         .where(F.col("count") > 0)
         .withColumn("sla_passed", F.col("p95") < limit_ms)
     )

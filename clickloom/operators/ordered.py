@@ -134,18 +134,13 @@ def value_block(value: Column) -> Column:
 
 
 def exact_percentiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: Column,
-    probabilities: Sequence[float],
-    *,
-    interpolate: bool = True,
+    df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float]
 ) -> DataFrame:
-    """Exact percentiles per key in long form: keys, ``p``, ``percentile``.
+    """Exact percentiles per key in long form: keys, ``p``, ``rows``, ``percentile`` and ``at_position``.
 
-    Counts equal values first, finds the value blocks that hold the wanted ranks, cuts those blocks into
-    slots and orders the rows of the wanted slots only. With ``interpolate`` the result is linear between ranks, otherwise it is the value
-    at position floor(n * p). Nulls and NaN do not count.
+    ``percentile`` is linear between ranks, ``at_position`` is the value at position floor(rows * p).
+    Nulls and NaN do not count. Equal values are counted first, then the value blocks that hold the wanted
+    ranks are cut into slots, and only the rows of the wanted slots are ordered.
     """
     keys = list(keys)
     counts = (
@@ -160,37 +155,38 @@ def exact_percentiles(
         ),
         keys, "_block",
     )
-    if interpolate:
-        exact = F.col("p") * (F.col("_n") - 1)
-        low, high, share = F.floor(exact), F.ceil(exact), exact - F.floor(exact)
-    else:
-        low = F.least(F.floor(F.col("_n") * F.col("p")), F.col("_n") - 1)
-        high, share = low, F.lit(0.0)
+    exact = F.col("p") * (F.col("_n") - 1)
+    position = F.least(F.floor(F.col("_n") * F.col("p")), F.col("_n") - 1)
     targets = (
-        blocks.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_low", low).withColumn("_high", high).withColumn("_share", share)
-        .where(_holds("_low") | _holds("_high"))
-        .select(*keys, "_block", "p", "_low", "_high", "_share", "_vmin", "_vmax", F.col("_before").alias("_base"))
+        blocks.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"))
+        .select(
+            *keys, "_block", "p", "_vmin", "_vmax", "_before", "_c", "_n",
+            F.floor(exact).alias("_low"), F.ceil(exact).alias("_high"), position.alias("_position"),
+        )
+        .where(_holds_any())
+        .withColumnsRenamed({"_before": "_base", "_c": "_block_rows"})
     )
     span = F.col("_vmax") - F.col("_vmin")
     slot = F.when(span > 0, F.floor((F.col("_v") - F.col("_vmin")) / span * (SLOTS_PER_VALUE_BLOCK - 1)))
-    candidates = counts.join(targets, [*keys, "_block"]).withColumn("_slot", F.coalesce(slot, F.lit(0)))
+    ranks = ["_low", "_high", "_position"]
     place = [*keys, "p", "_block"]
+    candidates = counts.join(targets, [*keys, "_block"]).select(
+        *place, "_v", "_c", "_n", "_base", *ranks, F.coalesce(slot, F.lit(0)).alias("_slot")
+    )
     slots = _with_ranks(
-        candidates.groupBy(*place, "_slot", "_base", "_low", "_high").agg(F.sum("_c").alias("_c")),
+        candidates.groupBy(*place, "_slot", "_base", *ranks).agg(F.sum("_c").alias("_c")),
         place, "_slot", base=F.col("_base"),
-    ).where(_holds("_low") | _holds("_high")).select(*place, "_slot", F.col("_before").alias("_slot_base"))
+    ).where(_holds_any()).select(*place, "_slot", F.col("_before").alias("_slot_base"))
     ranked = _with_ranks(
-        candidates.join(slots, [*place, "_slot"]), [*place, "_slot"], "_v", base=F.col("_slot_base")
+        candidates.withColumnRenamed("_n", "_rows").join(slots, [*place, "_slot"]),
+        [*place, "_slot"], "_v", base=F.col("_slot_base"),
     )
-    return (
-        ranked.groupBy(*keys, "p")
-        .agg(
-            F.max(F.when(_holds("_low"), F.col("_v"))).alias("_lv"),
-            F.max(F.when(_holds("_high"), F.col("_v"))).alias("_hv"),
-            F.max("_share").alias("_share"),
-        )
-        .select(*keys, "p", (F.col("_lv") + (F.col("_hv") - F.col("_lv")) * F.col("_share")).alias("percentile"))
+    at = lambda rank: F.max(F.when(_holds(rank), F.col("_v")))
+    share = F.first("p") * (F.max("_rows") - 1) - F.max("_low")
+    return ranked.groupBy(*keys, "p").agg(
+        F.max("_rows").alias("rows"),
+        (at("_low") + (at("_high") - at("_low")) * share).alias("percentile"),
+        at("_position").alias("at_position"),
     )
 
 
@@ -208,10 +204,20 @@ def _holds(rank: str) -> Column:
     return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_c"))
 
 
-def percentile_columns(long: DataFrame, keys: Sequence[str], names: dict[float, str]) -> DataFrame:
-    """Turn the long form of ``exact_percentiles`` into one column per probability."""
-    picks = [F.max(F.when(F.col("p") == F.lit(p), F.col("percentile"))).alias(n) for p, n in names.items()]
-    return long.groupBy(*keys).agg(*picks)
+def _holds_any() -> Column:
+    return _holds("_low") | _holds("_high") | _holds("_position")
+
+
+def percentile_columns(
+    long: DataFrame, keys: Sequence[str], names: dict[float, str], positions: dict[float, str] | None = None
+) -> DataFrame:
+    """The long form of ``exact_percentiles`` with one column per name, and ``rows``."""
+    pick = lambda column, p, name: F.max(F.when(F.col("p") == F.lit(p), F.col(column))).alias(name)
+    return long.groupBy(*keys).agg(
+        *[pick("percentile", p, n) for p, n in names.items()],
+        *[pick("at_position", p, n) for p, n in (positions or {}).items()],
+        F.max("rows").alias("rows"),
+    )
 
 
 def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, rank: str = "rank") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .activity import product_scores, top_products
 from .ordered import DAY_MS, running, top_rows
-from .profiles import PROFILE_LIMIT, merged_profiles, route, window_profiles
+from .profiles import PROFILE_LIMIT, route, window_profiles
 
 COLD_START_SCORE = 0.7
 FALLBACK_LIMIT = 10
@@ -129,16 +129,21 @@ def enrich(recommendations: DataFrame, products: DataFrame, generated_ms: Column
     return recommendations.join(known, "product_id", "left").withColumn("generated_at_ms", generated_ms)
 
 
+def user_routes(profiles: DataFrame) -> DataFrame:
+    """R1 at the end of the data: the number of viewed products only matters to users with a single profile."""
+    return profiles.groupBy("user_id").agg(
+        route(F.count("*"), F.max(F.size("viewed_products"))).alias("route")
+    )
+
+
 def recommend(
     events: DataFrame, products: DataFrame, now_ms: Column, *, minutes: int = 10, min_score: float = 0.3,
     max_count: int = 10,
 ) -> DataFrame:
     """The recommendations of every user from the profile as it stands at the end of ``events``."""
-    profiles = merged_profiles(window_profiles(events, minutes)).select(
-        "user_id", route(F.col("session_count"), F.size("viewed_products")).alias("_route")
-    )
-    cold_users = profiles.where(F.col("_route") == "cold_start").select("user_id")
-    known_users = profiles.where(F.col("_route") == "personalized").select("user_id")
+    profiles = user_routes(window_profiles(events, minutes))
+    cold_users = profiles.where(F.col("route") == "cold_start").select("user_id")
+    known_users = profiles.where(F.col("route") == "personalized").select("user_id")
     generic = cold_start(cold_users, cold_start_list(events, now_ms, PROFILE_LIMIT))
     personal = personalized(
         interests_of(events).join(known_users, "user_id", "left_semi"),

@@ -16,6 +16,8 @@ from ..operators.latency_stats import (
     PROCESSING_BUCKETS, batch_efficiency, histogram, load_stats, service_stats, sla_stats,
 )
 from ..operators.ordered import HOUR_MS
+from ..session import shared_folder
+from ..sources.sinks import read_categorical_baseline, read_numeric_baseline, write_baseline
 from ..sources.tables import behaviour
 from .inputs import (
     CELLS_SQL, COUNTER_SQL, SAMPLES_SQL, counter_samples, hourly_cells, latency_samples, latest_ms, numbered_batches,
@@ -75,10 +77,23 @@ totals AS (SELECT s.batch_id, s.batch_size, CASE WHEN batch_size >= 50 THEN coal
 """
 
 
-def _baseline(spark, folder):
-    events = behaviour(spark, folder)
-    first_half = events.where(F.col("event_time") < F.expr(SPLIT))
-    return numbered_batches(events), first_half
+def _batches(spark, folder):
+    return numbered_batches(behaviour(spark, folder))
+
+
+def _baseline(spark, folder, numeric=True, categorical=True):
+    """The baseline job: its small tables are stored in the shared folder and read back, None if not asked for."""
+    first_half = F.col("event_time") < F.expr(SPLIT)
+    path = shared_folder(spark, "baseline")
+    write_baseline(
+        numeric_baseline(behaviour(spark, folder, with_catalog=False).where(first_half)) if numeric else None,
+        categorical_baseline(behaviour(spark, folder).where(first_half)) if categorical else None,
+        path,
+    )
+    return (
+        read_numeric_baseline(spark, path) if numeric else None,
+        read_categorical_baseline(spark, path) if categorical else None,
+    )
 
 
 def _round_score(df):
@@ -87,33 +102,33 @@ def _round_score(df):
 
 @query("d1_mean_shift", f"WITH {BASE_SQL} SELECT batch_id, part, round(score, 8) AS score FROM d1")
 def d1_mean_shift(spark, folder):
-    batches, base = _baseline(spark, folder)
-    return _round_score(mean_shift(batch_overview(batches, KEYS), numeric_baseline(base), KEYS))
+    batches = numbered_batches(behaviour(spark, folder, with_catalog=False))
+    numeric, _ = _baseline(spark, folder, categorical=False)
+    return _round_score(mean_shift(batch_overview(batches, KEYS), numeric, KEYS))
 
 
 @query("d2_quantile_distance", f"WITH {BASE_SQL} SELECT batch_id, part, round(score, 8) AS score FROM d2")
 def d2_quantile_distance(spark, folder):
-    batches, base = _baseline(spark, folder)
-    return _round_score(
-        quantile_distance(batches, numeric_baseline(base), KEYS, batch_overview(batches, KEYS))
-    )
+    batches = numbered_batches(behaviour(spark, folder, with_catalog=False))
+    numeric, _ = _baseline(spark, folder, categorical=False)
+    return _round_score(quantile_distance(batches, numeric, KEYS))
 
 
 @query("d3_category_divergence", f"WITH {BASE_SQL} SELECT batch_id, part, round(score, 8) AS score FROM d3")
 def d3_category_divergence(spark, folder):
-    batches, base = _baseline(spark, folder)
-    return _round_score(category_divergence(batches, categorical_baseline(base), KEYS))
+    _, categorical = _baseline(spark, folder, numeric=False)
+    return _round_score(category_divergence(_batches(spark, folder), categorical, KEYS))
 
 
 @query("d4_hour_profile", f"WITH {BASE_SQL} SELECT batch_id, part, round(score, 8) AS score FROM d4")
 def d4_hour_profile(spark, folder):
-    return _round_score(hour_profile(batch_overview(_baseline(spark, folder)[0], KEYS), KEYS))
+    batches = numbered_batches(behaviour(spark, folder, with_catalog=False))
+    return _round_score(hour_profile(batch_overview(batches, KEYS), KEYS))
 
 
 def _totals(spark, folder):
-    batches, base = _baseline(spark, folder)
-    parts = drift_parts(batches, numeric_baseline(base), categorical_baseline(base), KEYS)
-    return drift_totals(parts, batch_overview(batches, KEYS), KEYS)
+    numeric, categorical = _baseline(spark, folder)
+    return drift_totals(drift_parts(_batches(spark, folder), numeric, categorical, KEYS), KEYS)
 
 
 @query("d5_drift_score", f"""

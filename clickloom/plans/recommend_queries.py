@@ -12,10 +12,10 @@ from ..operators.features import (
     hit_ratio, lookup_product_features, lookup_user_features, transactions_of, user_features,
 )
 from ..operators.ordered import DAY_MS
-from ..operators.profiles import merged_profiles, route, window_profiles
+from ..operators.profiles import window_profiles
 from ..operators.recommend import (
     FALLBACK_LIMIT, bought_of, cold_start, cold_start_list, enrich, filter_and_rank, interests_of, personalized, ranked_products,
-    recommend,
+    recommend, user_routes,
 )
 from ..operators.activity import product_scores
 from ..operators.scoring import (
@@ -93,8 +93,7 @@ def recommendations(spark, folder):
 
 @query("r1_user_routes", f"WITH {PROFILES_SQL}, {ROUTES_SQL} SELECT user_id, route FROM routes")
 def r1_user_routes(spark, folder):
-    merged = merged_profiles(window_profiles(behaviour(spark, folder)))
-    return merged.select("user_id", route(F.col("session_count"), F.size("viewed_products")).alias("route"))
+    return user_routes(window_profiles(behaviour(spark, folder)))
 
 
 @query("r2_cold_start", f"""

@@ -6,7 +6,7 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..settings import Settings
@@ -66,7 +66,24 @@ def write_topic(df: DataFrame, settings: Settings, checkpoint: str):
     )
 
 
-def write_baseline(numeric: DataFrame, categorical: DataFrame, path: str) -> None:
-    """The two baseline tables as JSON."""
-    numeric.write.mode("overwrite").json(f"{path}/numeric")
-    categorical.write.mode("overwrite").json(f"{path}/categorical")
+# Schemas of the two baseline tables.
+NUMERIC_BASELINE = (
+    "column string, mean double, std double, min double, max double, p5 double, p25 double, p50 double, "
+    "p75 double, p95 double"
+)
+CATEGORICAL_BASELINE = "column string, value string, share double"
+
+
+def write_baseline(numeric: DataFrame | None, categorical: DataFrame | None, path: str) -> None:
+    """The baseline tables as JSON; they hold a row per column and a row per listed value."""
+    for name, df in (("numeric", numeric), ("categorical", categorical)):
+        if df is not None:
+            df.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def read_numeric_baseline(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(NUMERIC_BASELINE).json(f"{path}/numeric")
+
+
+def read_categorical_baseline(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CATEGORICAL_BASELINE).json(f"{path}/categorical")
