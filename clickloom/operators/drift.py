@@ -19,6 +19,8 @@ LOG_GUARD = 1e-10
 MIN_PRICES, MIN_CATEGORY_ROWS, MIN_BATCH, MIN_REPORT_ROWS = 10, 10, 50, 100
 HIGH, MODERATE = 0.2, 0.1
 HISTORY = 1000
+# Batches up to this size may be worked on by one task each.
+SMALL_BATCH = 100_000
 
 
 def numeric_baseline(df: DataFrame, column: str = "price") -> DataFrame:
@@ -59,52 +61,70 @@ def categorical_baseline(df: DataFrame, top: int = BASELINE_TOP) -> DataFrame:
     )
 
 
-def batch_overview(df: DataFrame, keys: Sequence[str], now: Column | None = None) -> DataFrame:
-    """Size, late rows (P7), price figures (A4) and hour counts of every batch in one pass."""
+def batch_overview(
+    df: DataFrame, keys: Sequence[str], now: Column | None = None, max_batch_rows: int | None = None
+) -> DataFrame:
+    """Size, late rows (P7), price figures (A4) and hour counts of every batch in one pass.
+
+    Batches known to be small also get their exact percentiles in the same pass; the rows of one batch
+    then meet in one task, so ``max_batch_rows`` must be a bound by construction.
+    """
     hour = F.hour("event_time")
     late = F.count_if(late_by_clock("event_time", now)) if now is not None else F.lit(None).cast("long")
+    points = []
+    if is_small(max_batch_rows):
+        clean = F.when(~F.isnan("price"), F.col("price"))
+        points = [F.percentile(clean, F.array(*[F.lit(p) for p in PERCENTILES])).alias("points")]
     return df.groupBy(*keys).agg(
         F.count("*").alias("batch_size"), late.alias("late_events"),
         F.avg("price").alias("mean"), F.stddev_samp("price").alias("std"),
         F.min("price").alias("min"), F.max("price").alias("max"), F.count("price").alias("count"),
         F.array(*[F.count_if(hour == h) for h in range(24)]).alias("hours"),
-        F.max("event_time").alias("last_event"),
+        F.max("event_time").alias("last_event"), *points,
     )
 
 
-def _reference_row(numeric: DataFrame, *columns: Column) -> Column:
-    """Figures of the price baseline as one value; the baseline has one row per column."""
-    return numeric.where("column = 'price'").select(F.struct(*columns).alias("r")).scalar()
+def is_small(max_batch_rows: int | None) -> bool:
+    return max_batch_rows is not None and max_batch_rows <= SMALL_BATCH
+
+
+def _with_reference(df: DataFrame, numeric: DataFrame) -> DataFrame:
+    """Add ``_r``: the figures of the price baseline as one value; the baseline has one row per column."""
+    row = numeric.where("column = 'price'").select(
+        F.struct(
+            "mean", F.greatest("std", F.lit(0.001)).alias("std"), (F.col("max") - F.col("min")).alias("range"),
+            *PERCENTILES.values(),
+        ).alias("r")
+    )
+    return df.withColumn("_r", row.scalar())
 
 
-def _mean_shift(numeric: DataFrame) -> Column:
-    reference = _reference_row(numeric, F.col("mean"), F.greatest("std", F.lit(0.001)).alias("std"))
-    z = F.abs(F.col("mean") - reference["mean"]) / (reference["std"] / F.sqrt("count"))
+def _mean_shift() -> Column:
+    z = F.abs(F.col("mean") - F.col("_r.mean")) / (F.col("_r.std") / F.sqrt("count"))
     return F.when(F.col("count") >= MIN_PRICES, F.least(z / 5.0, F.lit(1.0)))
 
 
 def mean_shift(overview: DataFrame, numeric: DataFrame, keys: Sequence[str]) -> DataFrame:
     """D1"""
-    return overview.select(
-        *keys, F.lit("price_mean").alias("part"), _mean_shift(numeric).alias("score")
+    return _with_reference(overview, numeric).select(
+        *keys, F.lit("price_mean").alias("part"), _mean_shift().alias("score")
     ).where(F.col("score").isNotNull())
 
 
+def _quantile_distance(points: Sequence[Column]) -> Column:
+    widest = F.greatest(*[F.abs(x - F.col(f"_r.{n}")) for x, n in zip(points, PERCENTILES.values())])
+    score = F.least(F.coalesce(F.try_divide(widest, F.col("_r.range")), F.lit(1.0)), F.lit(1.0))
+    return F.when(widest == 0, F.lit(0.0)).otherwise(score)
+
+
 def quantile_distance(df: DataFrame, numeric: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """D2"""
-    names = list(PERCENTILES.values())
+    """D2 for batches of any size."""
     current = percentile_columns(
         exact_percentiles(df, keys, F.col("price"), list(PERCENTILES)), keys, PERCENTILES
     ).where(F.col("rows") >= MIN_PRICES)
-    reference = _reference_row(numeric, (F.col("max") - F.col("min")).alias("range"), *[F.col(n) for n in names])
-    compared = current.withColumn("_r", reference).select(
-        *keys, F.greatest(*[F.abs(F.col(n) - F.col(f"_r.{n}")) for n in names]).alias("_widest"),
-        F.col("_r.range").alias("_range"),
-    )
-    score = F.least(F.coalesce(F.try_divide("_widest", "_range"), F.lit(1.0)), F.lit(1.0))
-    return compared.select(
+    return _with_reference(current, numeric).select(
         *keys, F.lit("price_quantiles").alias("part"),
-        F.when(F.col("_widest") == 0, F.lit(0.0)).otherwise(score).alias("score"),
+        _quantile_distance([F.col(n) for n in PERCENTILES.values()]).alias("score"),
     )
 
 
@@ -113,21 +133,24 @@ def category_divergence(
 ) -> DataFrame:
     """D3: Jensen-Shannon divergence per batch and column over the values of either side."""
     pair = [*keys, "column"]
-    counts = _category_values(df, keys, columns)
-    totals = counts.groupBy(*pair).agg(F.sum("events").alias("_rows")).where(F.col("_rows") >= MIN_CATEGORY_ROWS)
-    current = counts.join(totals, pair).select(
-        *pair, "value", (F.col("events") / F.col("_rows")).alias("_q"), F.lit(None).cast("double").alias("_p")
-    )
-    # A baseline lists at most BASELINE_TOP values per column, so this adds that many rows per batch.
-    expected = totals.select(*pair).join(categorical, "column").select(
-        *pair, "value", F.lit(None).cast("double").alias("_q"), F.col("share").alias("_p")
+    current = _category_values(df, keys, columns).withColumn("share", F.lit(None).cast("double"))
+    # A baseline lists at most BASELINE_TOP values per column, so each batch gets that many rows more.
+    listed = categorical.where(F.col("column").isin(*columns)).agg(
+        F.collect_list(F.struct("column", "value", "share")).alias("listed")
     )
+    expected = df.select(*keys).distinct().withColumn("_listed", listed.scalar()).select(
+        *keys, F.inline("_listed")
+    ).withColumn("events", F.lit(None).cast("long"))
     merged = current.unionByName(expected).groupBy(*pair, "value").agg(
-        F.coalesce(F.max("_p"), F.lit(MISSING_SHARE)).alias("_p"),
-        F.coalesce(F.max("_q"), F.lit(MISSING_SHARE)).alias("_q"),
+        F.max("share").alias("_p"), F.max("events").alias("_events")
     )
-    sums = merged.groupBy(*pair).agg(F.sum("_p").alias("_ps"), F.sum("_q").alias("_qs"))
-    p, q = F.col("_p") / F.col("_ps"), F.col("_q") / F.col("_qs")
+    sums = merged.groupBy(*pair).agg(
+        F.sum("_events").alias("_rows"),
+        F.sum(F.coalesce("_p", F.lit(MISSING_SHARE))).alias("_ps"),
+        (1.0 + F.count_if(F.col("_events").isNull()) * MISSING_SHARE).alias("_qs"),
+    ).where(F.col("_rows") >= MIN_CATEGORY_ROWS)
+    p = F.coalesce("_p", F.lit(MISSING_SHARE)) / F.col("_ps")
+    q = F.coalesce(F.col("_events") / F.col("_rows"), F.lit(MISSING_SHARE)) / F.col("_qs")
     middle = (p + q) / 2.0
     term = p * F.ln((p + LOG_GUARD) / (middle + LOG_GUARD)) + q * F.ln((q + LOG_GUARD) / (middle + LOG_GUARD))
     return merged.join(sums, pair).groupBy(*pair).agg(
@@ -149,20 +172,27 @@ def hour_profile(overview: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def drift_parts(df: DataFrame, numeric: DataFrame, categorical: DataFrame, keys: Sequence[str]) -> DataFrame:
+def drift_parts(
+    df: DataFrame, numeric: DataFrame, categorical: DataFrame, keys: Sequence[str], max_batch_rows: int | None = None
+) -> DataFrame:
     """D1-D4 in long form: keys, part, score; a part that cannot be computed is null or missing.
 
-    Mean and hours come from one pass, whose rows also bring ``batch_size``.
+    Mean and hours come from one pass, whose rows also bring ``batch_size``; so do the quantiles of small
+    batches.
     """
+    small = is_small(max_batch_rows)
     part = lambda name, score: F.struct(F.lit(name).alias("part"), score.alias("score"))
-    plain = batch_overview(df, keys).select(
-        *keys, "batch_size",
-        F.inline(F.array(part("price_mean", _mean_shift(numeric)), part("hour", _hour_distance()))),
-    )
-    return plain.unionByName(
-        quantile_distance(df, numeric, keys).unionByName(category_divergence(df, categorical, keys)),
-        allowMissingColumns=True,
+    plain = [part("price_mean", _mean_shift()), part("hour", _hour_distance())]
+    if small:
+        points = [F.get("points", F.lit(i)) for i in range(len(PERCENTILES))]
+        plain.append(part("price_quantiles", F.when(F.col("count") >= MIN_PRICES, _quantile_distance(points))))
+    parts = _with_reference(batch_overview(df, keys, max_batch_rows=max_batch_rows), numeric).select(
+        *keys, "batch_size", F.inline(F.array(*plain))
     )
+    others = category_divergence(df, categorical, keys)
+    if not small:
+        others = others.unionByName(quantile_distance(df, numeric, keys))
+    return parts.unionByName(others, allowMissingColumns=True)
 
 
 def drift_level(score: Column) -> Column:

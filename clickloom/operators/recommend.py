@@ -26,11 +26,8 @@ def _as_list(ranked: DataFrame) -> DataFrame:
 
 def cold_start_products(popular: DataFrame, trending: DataFrame, limit: int) -> DataFrame:
     """One row with exactly ``limit`` products, popular ones first, then unseen trending ones."""
-    one = F.lit(1).alias("one")
-    both = _as_list(popular).select(one, F.col("products").alias("_p")).join(
-        _as_list(trending).select(one, F.col("products").alias("_t")), "one"
-    )
-    return both.select(F.slice(F.array_distinct(F.concat("_p", "_t")), 1, limit).alias("products"))
+    both = _as_list(popular).withColumn("_trending", _as_list(trending).scalar())
+    return both.select(F.slice(F.array_distinct(F.concat("products", "_trending")), 1, limit).alias("products"))
 
 
 def cold_start_list(events: DataFrame, now_ms: Column, limit: int) -> DataFrame:

@@ -20,7 +20,7 @@ from ..session import shared_folder
 from ..sources.sinks import read_categorical_baseline, read_numeric_baseline, write_baseline
 from ..sources.tables import behaviour
 from .inputs import (
-    CELLS_SQL, COUNTER_SQL, SAMPLES_SQL, counter_samples, hourly_cells, latency_samples, latest_ms, numbered_batches,
+    BATCH_ROWS, CELLS_SQL, COUNTER_SQL, SAMPLES_SQL, counter_samples, hourly_cells, latency_samples, latest_ms, numbered_batches,
     price_samples,
 )
 from .registry import query
@@ -128,7 +128,7 @@ def d4_hour_profile(spark, folder):
 
 def _totals(spark, folder):
     numeric, categorical = _baseline(spark, folder)
-    return drift_totals(drift_parts(_batches(spark, folder), numeric, categorical, KEYS), KEYS)
+    return drift_totals(drift_parts(_batches(spark, folder), numeric, categorical, KEYS, BATCH_ROWS), KEYS)
 
 
 @query("d5_drift_score", f"""
