@@ -14,6 +14,8 @@ from .profiles import PROFILE_LIMIT, route, window_profiles
 COLD_START_SCORE = 0.7
 FALLBACK_LIMIT = 10
 TRENDING_MS = DAY_MS
+# How long a list made for a user is sent again.
+CACHE_LIST_MS = 300_000
 # Copies of a category page, so that the users of one hot category meet them in as many tasks.
 PAGE_COPIES = 16
 

@@ -11,6 +11,10 @@ from ..session import prepare
 from ..settings import Settings
 from .tables import BEHAVIOUR_EVENT, RAW_EVENT
 
+# How much a micro-batch takes. The rows of one key in one micro-batch are handled by one task, so this also
+# bounds what a hot key can bring to it.
+PER_TRIGGER = {"maxBytesPerTrigger": str(4 * 1024**3)}
+
 CSV_OPTIONS = {
     "header": "true",
     "mode": "PERMISSIVE",
@@ -26,12 +30,10 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_EVEN
 
 
 def stream_raw_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT, files_per_trigger: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT, per_trigger: dict | None = None
 ) -> DataFrame:
-    return (
-        prepare(spark).readStream.schema(schema).options(**CSV_OPTIONS)
-        .option("maxFilesPerTrigger", files_per_trigger).csv(path)
-    )
+    options = {**CSV_OPTIONS, **(per_trigger or PER_TRIGGER)}
+    return prepare(spark).readStream.schema(schema).options(**options).csv(path)
 
 
 def parse_csv_lines(lines: DataFrame, line: str = "value", schema: T.StructType = RAW_EVENT) -> DataFrame:
@@ -67,18 +69,18 @@ def stream_topic(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
-def stream_json_files(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+def stream_json_files(spark: SparkSession, path: str, per_trigger: dict | None = None) -> DataFrame:
     """S1 from files: the lines of new files in a folder, in a column named ``value``."""
-    return prepare(spark).readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return prepare(spark).readStream.options(**(per_trigger or PER_TRIGGER)).text(path)
 
 
 def stream_events(
-    spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int = 1000,
+    spark: SparkSession, folder: str, schema: T.StructType | str, per_trigger: dict | None = None,
     pattern: str = "events.parquet",
 ) -> DataFrame:
     return (
         prepare(spark).readStream.schema(schema).option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+        .options(**(per_trigger or PER_TRIGGER)).parquet(folder)
     )
 
 

@@ -84,6 +84,7 @@ def main(folder: str, wanted: list[str]) -> int:
         state = "BAD " if problem else ("ok  " if name in checks else "rows")
         print(f"{state} {name:32s} rows={rows:<7d} {seconds:6.2f}s {problem or ''}", flush=True)
     print("bad:", bad)
+    spark.stop()
     return bad
 
 
