@@ -49,8 +49,12 @@ def latest_transactions(transactions: DataFrame, kept: int = KEPT_TRANSACTIONS)
 
 def user_features(transactions: DataFrame, now_ms: Column) -> DataFrame:
     """A5/A6 for users with transactions. All steps share one shuffle by user."""
-    latest = latest_transactions(transactions).withColumn("category", F.coalesce("category", F.lit("unknown")))
-    per_category = latest.groupBy("user_id", "category").agg(
+    return features_of_latest(latest_transactions(transactions), now_ms)
+
+
+def features_of_latest(latest: DataFrame, now_ms: Column) -> DataFrame:
+    named = latest.withColumn("category", F.coalesce("category", F.lit("unknown")))
+    per_category = named.groupBy("user_id", "category").agg(
         F.sum("amount").alias("_sum"), F.count("*").alias("_n"), F.min("recency").alias("_first"),
         F.count_if(now_ms - F.col("ts_ms") < RECENT_MS).alias("_recent"), F.max("ts_ms").alias("_last"),
     )
@@ -86,7 +90,9 @@ def lookup_user_features(
     usable = stored.where(F.col("computed_at_ms") > now_ms - ttl_ms)
     hits = users.join(usable, "user_id").withColumn("hit", F.lit(True))
     missing = users.join(usable, "user_id", "left_anti")
-    fresh = user_features(transactions.join(missing, "user_id", "left_semi"), now_ms)
+    # The cut to the latest transactions comes first, so no user brings more than those to the join.
+    latest = latest_transactions(transactions).join(missing, "user_id", "left_semi")
+    fresh = features_of_latest(latest, now_ms)
     misses = with_user_defaults(missing.join(fresh, "user_id", "left")).withColumn(
         "computed_at_ms", now_ms
     ).withColumn("hit", F.lit(False))

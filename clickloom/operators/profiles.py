@@ -44,30 +44,28 @@ ITEM_COLUMNS = {
 }
 
 
-def profile_items(profiles: DataFrame) -> DataFrame:
-    """One row per profile, kind and item."""
+def _listed_as(kind: str):
+    return lambda item: F.struct(F.lit(kind).alias("kind"), item.alias("item"))
 
-    def listed_as(kind: str):
-        return lambda item: F.struct(F.lit(kind).alias("kind"), item.alias("item"))
 
-    listed = [F.transform(F.col(column), listed_as(kind)) for kind, column in ITEM_COLUMNS.items()]
-    return profiles.select("user_id", "window_start_ms", F.inline(F.concat(*listed)))
+def profile_items(profiles: DataFrame, *kept: str) -> DataFrame:
+    """One row per profile, kind and item, and a row of kind "profile" where ``kept`` columns are carried along."""
+    listed = [F.transform(F.col(column), _listed_as(kind)) for kind, column in ITEM_COLUMNS.items()]
+    if kept:
+        itself = F.struct(F.lit("profile").alias("kind"), F.lit(None).cast("string").alias("item"))
+        listed.insert(0, F.array(itself))
+    return profiles.select("user_id", "window_start_ms", *kept, F.inline(F.concat(*listed)))
 
 
 def merged_profiles(profiles: DataFrame) -> DataFrame:
-    """A2 over all windows: one profile per user. Both groupings hash by user, so their join needs no shuffle."""
-    totals = profiles.groupBy("user_id").agg(
+    """A2 over all windows: one profile per user, in one grouping of items and profiles."""
+    items = profile_items(profiles, "last_activity_ms", "avg_session_duration")
+    own = F.col("kind") == "profile"
+    return items.groupBy("user_id").agg(
+        *[_set_of(F.col("kind") == kind, "item").alias(column) for kind, column in ITEM_COLUMNS.items()],
         F.max("last_activity_ms").alias("last_activity_ms"),
-        F.count("*").alias("session_count"),
-        F.avg("avg_session_duration").alias("avg_session_duration"),
-    )
-    items = profile_items(profiles).groupBy("user_id").agg(
-        *[_set_of(F.col("kind") == kind, "item").alias(column) for kind, column in ITEM_COLUMNS.items()]
-    )
-    nothing = F.array().cast("array<string>")
-    return totals.join(items, "user_id", "left").select(
-        "user_id", *[F.coalesce(c, nothing).alias(c) for c in ITEM_COLUMNS.values()],
-        "last_activity_ms", "session_count", "avg_session_duration",
+        F.count_if(own).alias("session_count"),
+        F.avg(F.when(own, F.col("avg_session_duration"))).alias("avg_session_duration"),
     )
 
 

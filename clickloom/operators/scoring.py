@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchored import with_segment
-from .ordered import block_start, running
+from .ordered import DAY_MS, block_start, running
 
 CACHE_MS = 300_000
 CACHED_LATENCY_MS = 0.1
@@ -40,7 +40,7 @@ def cached_predictions(requests: DataFrame, predictions: DataFrame, ttl_ms: int
     entry = F.when(F.col("_request") == 0, F.struct(F.col("ts_ms").alias("at"), F.col("_score").alias("score")))
     found = running(
         both, PAIR, ["ts_ms", "_request"], entry, "_cached", how="last",
-        block=block_start(F.col("ts_ms"), max(ttl_ms, CACHE_MS)),
+        block=block_start(F.col("ts_ms"), DAY_MS),
     ).where(F.col("_request") == 1)
     usable = F.col("ts_ms") - F.col("_cached.at") < ttl_ms
     return found.select(

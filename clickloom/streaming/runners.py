@@ -6,6 +6,7 @@ that are repeated overwrite their own folders.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +15,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.drift import batch_overview, drift_parts, drift_totals
 from ..operators.intake import dead_letters, valid_rows, with_error
-from ..operators.profiles import window_profiles
+from ..operators.profiles import PROFILE_LIMIT, window_profiles
+from ..operators.recommend import (
+    CACHE_LIST_MS, FALLBACK_LIMIT, cold_start, enrich, filter_and_rank, personalized,
+)
 from ..session import prepare_streaming
 from ..settings import Settings
 from ..sources.files import stream_raw_csv
 from ..sources.sinks import as_json, with_retries, write_batch_csv, write_batch_parquet
 from ..sources.tables import EVENT_COLUMNS
+from .processors import PROFILE_OUTPUT, MergedProfiles, keyed
+
+log = logging.getLogger(__name__)
 
 
 def start_batches(
@@ -118,3 +125,58 @@ def start_json_files(stream: DataFrame, path: str, checkpoint: str, **options) -
         stream, lambda df, batch: as_json(df).write.mode("overwrite").text(f"{path.rstrip('/')}/batch_id={batch}"),
         checkpoint, **options,
     )
+
+
+def lists_for_profiles(
+    profiles: DataFrame, products: DataFrame, ranked: DataFrame, generic: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """R1-R3, T1, J1 for profiles that each name their route: the ranked list of every profile.
+
+    ``ranked`` comes from ``ranked_products``, ``generic`` from ``cold_start_products``.
+    """
+    # A user may have several profiles, so the operators work on a key of user and window.
+    keyed_profiles = profiles.withColumn("_user", F.col("user_id")).withColumn(
+        "user_id", F.concat_ws("|", "_user", F.col("window_start_ms").cast("string"))
+    )
+    personal = keyed_profiles.where("route = 'personalized'")
+    interests = personal.select("user_id", F.explode("categories_preferred").alias("category_code"))
+    bought = personal.select("user_id", F.explode("purchased_products").alias("product_id")).join(
+        products.select("product_id", "category_code"), "product_id"
+    )
+    cold = cold_start(keyed_profiles.where("route = 'cold_start'").select("user_id"), generic)
+    made = cold.unionByName(personalized(interests, bought, ranked, PROFILE_LIMIT))
+    options = settings.recommendation
+    best = filter_and_rank(made, min_score=options.min_score, max_count=options.max_count)
+    named = best.join(
+        keyed_profiles.select("user_id", "_user", "window_start_ms", "generated_at_ms"), "user_id"
+    ).drop("user_id", "position").withColumnRenamed("_user", "user_id")
+    return enrich(named, products, F.col("generated_at_ms"))
+
+
+def start_recommendations(
+    events: DataFrame, products: DataFrame, ranked: DataFrame, generic: DataFrame, path: str, checkpoint: str, *,
+    settings: Settings = Settings(), list_ms: int = CACHE_LIST_MS, **options,
+) -> StreamingQuery:
+    """Profiles of closed windows, their merge per user (X6), and a list per profile as JSON.
+
+    A list that is still young is made again from the same stored profile, which gives the same list. When
+    the lists of a batch cannot be made, its users get the fallback list.
+    """
+    merged = keyed(profile_stream(events, settings), "user_id", MergedProfiles(list_ms), PROFILE_OUTPUT)
+
+    def write_json(df: DataFrame, batch_id: int) -> None:
+        as_json(df).write.mode("overwrite").text(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            try:
+                write_json(lists_for_profiles(batch, products, ranked, generic, settings), batch_id)
+            except Exception as error:  # noqa: BLE001 - whatever stops the lists
+                log.error("no lists for batch %d: %s", batch_id, error)
+                fallback = cold_start(batch.select("user_id").distinct(), generic, "fallback")
+                write_json(fallback.where(F.col("position") < FALLBACK_LIMIT), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_batches(merged, write, checkpoint, **options)

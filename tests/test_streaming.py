@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.activity import trailing_activity
 from clickloom.operators.late import classify_late
-from clickloom.operators.profiles import window_profiles
+from clickloom.operators.profiles import running_profiles, window_profiles
 from clickloom.operators.sessions import session_summary, sessionize
 from clickloom.settings import Settings, load_settings, merge_settings
 from clickloom.sources.sinks import as_json, with_retries
@@ -197,6 +197,45 @@ def test_json_sink(spark, tmp_path):
     assert as_json(df).first()["value"] == '{"user_id":"u","score":0.5}'
 
 
+@pytest.mark.parametrize("broken", [False, True])
+def test_recommendation_stream(spark, tmp_path, broken):
+    from clickloom.operators.activity import product_scores
+    from clickloom.operators.recommend import cold_start_list, ranked_products
+    from clickloom.sources.tables import behaviour, catalog
+    from clickloom.streaming.runners import start_recommendations
+
+    whole = behaviour(spark, SMALL)
+    products = catalog(spark, SMALL)
+    ranked = ranked_products(product_scores(whole), products)
+    generic = cold_start_list(whole, F.lit(1_706_000_000_000), 20)
+    parts = whole.select("event_id", "user_id", "event_type", "product_id", "ts_ms", "category_code", "event_time")
+    for low, high in ((0, 600), (600, 1000)):
+        parts.where(F.col("event_id").between(low, high - 1)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(parts.schema).options(**ONE_FILE).parquet(f"{tmp_path}/in")
+    if broken:
+        products = products.withColumn("list_price", F.raise_error(F.lit("no catalog")).cast("double"))
+    start_recommendations(
+        stream, products, ranked, generic, f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    ).awaitTermination()
+    schema = "user_id string, product_id string, score double, reason string, rank int, window_start_ms long, " \
+             "product_name string, generated_at_ms long"
+    out = spark.read.text(f"{tmp_path}/out").select(F.from_json("value", schema).alias("r")).select("r.*").persist()
+    if broken:
+        assert {r["reason"] for r in out.collect()} == {"fallback"}
+        return
+    profiles = window_profiles(parts).where("window_start_ms + 600000 <= (1706657176220 - 5000)")
+    # A returning user who viewed and bought nothing so far has no category to choose from.
+    empty = running_profiles(profiles).where("session_count > 1 and category_items = 0").count()
+    assert out.select("user_id", "window_start_ms").distinct().count() == profiles.count() - empty
+    first = profiles.groupBy("user_id").agg(F.min("window_start_ms").alias("window_start_ms"))
+    cold = out.where("reason = 'cold_start'")
+    assert cold.join(first, ["user_id", "window_start_ms"], "left_anti").count() == 0
+    assert cold.where("score != 0.7").count() == 0 and out.where("rank > 10 or score < 0.3").count() == 0
+    bought = parts.where("event_type = 'purchase'").select("user_id", "product_id", F.col("ts_ms").alias("bought_ms"))
+    again = out.where("reason = 'personalized'").join(bought, ["user_id", "product_id"])
+    assert again.where("bought_ms < window_start_ms").count() == 0
+
+
 def test_settings(tmp_path):
     assert load_settings(str(tmp_path / "none.yaml")) == Settings()
     path = tmp_path / "config.yaml"
