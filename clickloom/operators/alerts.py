@@ -156,21 +156,28 @@ def busy_percent(idle_rates: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def notifications(alerts: DataFrame) -> DataFrame:
-    """Inhibition, receivers and groups for firing alerts with alertname, cluster, service and severity."""
-    labelled = alerts.select(
-        *[F.coalesce(c, F.lit("")).alias(c) for c in GROUP_LABELS],
-        *[c for c in alerts.columns if c not in GROUP_LABELS],
+    """Inhibition, receivers and groups for firing alerts with alertname, cluster, service and severity.
+
+    Alerts are counted per group and severity first; a group then has one entry per severity to look at.
+    """
+    labels = [F.coalesce(c, F.lit("")).alias(c) for c in GROUP_LABELS]
+    counted = alerts.select(*labels, "severity", "active_since_ms").groupBy(*GROUP_LABELS, "severity").agg(
+        F.count("*").alias("alerts"), F.min("active_since_ms").alias("first_since_ms")
+    )
+    entry = F.struct("severity", "alerts", "first_since_ms")
+    grouped = counted.groupBy(*GROUP_LABELS).agg(
+        F.collect_list(entry).alias("_entries"), F.max(F.col("severity") == "critical").alias("_critical")
     )
-    critical = labelled.where("severity = 'critical'").select(*GROUP_LABELS).distinct()
-    warnings = labelled.where("severity = 'warning'").join(critical, list(GROUP_LABELS), "left_anti")
-    sent = labelled.where("severity is null or severity != 'warning'").unionByName(warnings)
     receiver = (
         F.when(F.col("severity") == "critical", F.lit("critical-alerts"))
         .when(F.col("severity") == "warning", F.lit("warning-alerts"))
         .otherwise(F.lit("slack-notifications"))
     )
-    return sent.withColumn("receiver", receiver).groupBy("receiver", *GROUP_LABELS).agg(
-        F.count("*").alias("alerts"), F.min("active_since_ms").alias("first_since_ms")
+    kept = grouped.select("*", F.inline("_entries")).where(
+        F.coalesce(F.col("severity") != "warning", F.lit(True)) | ~F.coalesce("_critical", F.lit(False))
+    )
+    return kept.groupBy(receiver.alias("receiver"), *GROUP_LABELS).agg(
+        F.sum("alerts").alias("alerts"), F.min("first_since_ms").alias("first_since_ms")
     )
 
 

@@ -26,15 +26,12 @@ SMALL_BATCH = 100_000
 def numeric_baseline(df: DataFrame, column: str = "price") -> DataFrame:
     """One row of figures for a numeric column."""
     value = F.col(column)
+    spread = percentile_columns(exact_percentiles(df, [], value, list(PERCENTILES)), [], PERCENTILES).drop("rows")
     moments = df.agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"),
-    ).select(F.lit(column).alias("column"), "*")
-    tagged = df.select(F.lit(column).alias("column"), value.alias("_value"))
-    spread = percentile_columns(
-        exact_percentiles(tagged, ["column"], F.col("_value"), list(PERCENTILES)), ["column"], PERCENTILES
-    ).drop("rows")
-    return moments.join(spread, "column")
+    ).withColumn("_p", spread.select(F.struct(*spread.columns).alias("p")).scalar())
+    return moments.select(F.lit(column).alias("column"), "mean", "std", "min", "max", "_p.*")
 
 
 def _category_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -151,13 +148,17 @@ def category_divergence(
     ).where(F.col("_rows") >= MIN_CATEGORY_ROWS)
     p = F.coalesce("_p", F.lit(MISSING_SHARE)) / F.col("_ps")
     q = F.coalesce(F.col("_events") / F.col("_rows"), F.lit(MISSING_SHARE)) / F.col("_qs")
-    middle = (p + q) / 2.0
-    term = p * F.ln((p + LOG_GUARD) / (middle + LOG_GUARD)) + q * F.ln((q + LOG_GUARD) / (middle + LOG_GUARD))
     return merged.join(sums, pair).groupBy(*pair).agg(
-        clamp(F.sum(term) / 2.0).alias("score")
+        clamp(F.sum(_divergence(p, q)) / 2.0).alias("score")
     ).select(*keys, F.col("column").alias("part"), "score")
 
 
+def _divergence(p: Column, q: Column) -> Column:
+    """Twice the contribution of one value to the Jensen-Shannon divergence."""
+    middle = (p + q) / 2.0
+    return p * F.ln((p + LOG_GUARD) / (middle + LOG_GUARD)) + q * F.ln((q + LOG_GUARD) / (middle + LOG_GUARD))
+
+
 def _hour_distance() -> Column:
     present = F.filter("hours", lambda n: n > 0)
     rows = F.aggregate(present, F.lit(0).cast("long"), lambda a, n: a + n)
@@ -228,18 +229,30 @@ def two_sample_distance(baseline: DataFrame, current: DataFrame, column: str) ->
     )
 
 
+def two_sample_divergence(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Jensen-Shannon divergence of two whole tables, per column over the values of either side."""
+    stacked = lambda df, side: _category_values(df, [], columns).withColumn("_side", F.lit(side))
+    counts = stacked(baseline, 0).unionByName(stacked(current, 1)).groupBy("column", "value").agg(
+        F.sum(F.when(F.col("_side") == 0, F.col("events"))).alias("_a"),
+        F.sum(F.when(F.col("_side") == 1, F.col("events"))).alias("_b"),
+    )
+    sides = ("_a", "_b")
+    sums = counts.groupBy("column").agg(
+        *[F.sum(c).alias(f"{c}_rows") for c in sides],
+        *[(1.0 + F.count_if(F.col(c).isNull()) * MISSING_SHARE).alias(f"{c}_sum") for c in sides],
+    )
+    p, q = (F.coalesce(F.col(c) / F.col(f"{c}_rows"), F.lit(MISSING_SHARE)) / F.col(f"{c}_sum") for c in sides)
+    return counts.join(sums, "column").groupBy("column").agg(
+        clamp(F.sum(_divergence(p, q)) / 2.0).alias("statistic")
+    ).select("column", F.lit("jensen_shannon").alias("method"), "statistic")
+
+
 def drift_report(
     baseline: DataFrame, current: DataFrame, numeric: Sequence[str] = ("price",),
     categorical: Sequence[str] = CATEGORICAL, threshold: float = MODERATE,
 ) -> DataFrame:
     """Statistic per column and whether it drifted; whole tables, no samples."""
-    one = F.lit(0).alias("_all")
-    shares = _category_values(baseline, [], categorical)
-    totals = shares.groupBy("column").agg(F.sum("events").alias("_total"))
-    expected = shares.join(totals, "column").select("column", "value", (F.col("events") / F.col("_total")).alias("share"))
-    report = category_divergence(current.select("*", one), expected, ["_all"], categorical).select(
-        F.col("part").alias("column"), F.lit("jensen_shannon").alias("method"), F.col("score").alias("statistic")
-    )
+    report = two_sample_divergence(baseline, current, categorical)
     for column in numeric:
         report = report.unionByName(two_sample_distance(baseline, current, column))
     return report.withColumn("drifted", F.col("statistic") > threshold)

@@ -51,17 +51,22 @@ def classify_late(
     return with_late_columns(marked, allowed_seconds, max_seconds)
 
 
-def main_stream(classified: DataFrame, processed_ms: Column) -> DataFrame:
-    """Events on time and moderately late ones, the latter with their metadata."""
+def with_late_metadata(classified: DataFrame, processed_ms: Column) -> DataFrame:
+    """The metadata of each class, empty for events on time and for discarded ones."""
     nothing = F.create_map().cast("map<string,string>")
-    on_time = classified.where(F.col("late_class") == ON_TIME).withColumn("metadata", nothing)
-    moderate = classified.where(F.col("late_class") == MODERATE).withColumn(
-        "metadata", moderate_metadata(F.col("delay_seconds"), F.col("ts_ms"), processed_ms)
+    delay = F.col("delay_seconds")
+    return classified.withColumn(
+        "metadata",
+        F.when(F.col("late_class") == MODERATE, moderate_metadata(delay, F.col("ts_ms"), processed_ms))
+        .when(F.col("late_class") == VERY_LATE, very_late_metadata(delay))
+        .otherwise(nothing),
     )
-    return on_time.unionByName(moderate)
 
 
-def very_late_stream(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("late_class") == VERY_LATE).withColumn(
-        "metadata", very_late_metadata(F.col("delay_seconds"))
-    )
+def main_stream(classified: DataFrame, processed_ms: Column) -> DataFrame:
+    """Events on time and moderately late ones, the latter with their metadata, in one pass."""
+    return with_late_metadata(classified.where(F.col("late_class").isin(ON_TIME, MODERATE)), processed_ms)
+
+
+def very_late_stream(classified: DataFrame, processed_ms: Column) -> DataFrame:
+    return with_late_metadata(classified.where(F.col("late_class") == VERY_LATE), processed_ms)

@@ -114,14 +114,12 @@ def sla_stats(samples: DataFrame, limit_ms: float = SLA_MS) -> DataFrame:
     )
 
 
-def batch_efficiency(by_batch_size: DataFrame, single: DataFrame) -> DataFrame:
-    """Mean of single requests * batch size / mean of a batch."""
-    return by_batch_size.where(F.col("batch_size") > 1).withColumn(
-        "_single", single.select("mean_ms").scalar()
-    ).select(
-        "batch_size", "mean_ms",
-        ratio(F.col("_single") * F.col("batch_size"), F.col("mean_ms")).alias("efficiency"),
-    )
+def batch_efficiency(by_batch_size: DataFrame) -> DataFrame:
+    """Mean of single requests * batch size / mean of a batch; a row per batch size comes in."""
+    single = F.max(F.when(F.col("batch_size") == 1, F.col("mean_ms"))).over(Window.partitionBy())
+    return by_batch_size.select(
+        "batch_size", "mean_ms", ratio(single * F.col("batch_size"), F.col("mean_ms")).alias("efficiency")
+    ).where(F.col("batch_size") > 1)
 
 
 def histogram(df: DataFrame, value: Column, edges: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:

@@ -16,6 +16,8 @@ def _set_of(condition: Column, column: str) -> Column:
 
 def window_profiles(events: DataFrame, minutes: int = 10) -> DataFrame:
     """A1: profile per user and tumbling window; the same call serves a stream with a watermark."""
+    if "category_code" not in events.columns:
+        events = events.withColumn("category_code", F.lit(None).cast("string"))
     viewed, bought = F.col("event_type") == VIEW, F.col("event_type") == PURCHASE
     has_category = F.col("category_code").isNotNull() & (F.col("category_code") != "")
     return (

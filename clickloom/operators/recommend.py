@@ -68,24 +68,21 @@ def personalized(
 ) -> DataFrame:
     """The best products of the user's categories that the user has not bought.
 
-    ``interests`` holds user_id and category_code, ``bought`` user_id, product_id and category_code, both
-    without repeats. A user who bought b products of a category finds ``limit`` others among its first
-    ``limit`` + b, so the user takes that many from pages of ``limit`` ranked products. The work grows with
-    what users bought, never with users times products.
+    ``interests`` has a row per user_id and category_code with ``bought_count``, the products bought there;
+    ``bought`` has user_id and product_id without repeats. A user who bought b products of a category finds
+    ``limit`` others among its first ``limit`` + b, so the user takes that many from pages of ``limit``
+    ranked products. The work grows with what users bought, never with users times products.
     """
-    bought_counts = bought.groupBy("user_id", "category_code").agg(F.count("*").alias("_b"))
     pages = (
         ranked.withColumn("_page", F.floor(F.col("rank") / limit).cast("long"))
         .groupBy("category_code", "_page")
         .agg(F.collect_list(F.struct("product_id", "score")).alias("_items"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     )
-    wanted = interests.join(bought_counts, ["user_id", "category_code"], "left").select(
+    last_page = F.floor((F.col("bought_count") + limit - 1) / limit).cast("long")
+    wanted = interests.select(
         "user_id", "category_code",
-        F.explode(F.sequence(
-            F.lit(0).cast("long"),
-            F.floor((F.coalesce("_b", F.lit(0)) + limit - 1) / limit).cast("long"),
-        )).alias("_page"),
+        F.explode(F.sequence(F.lit(0).cast("long"), last_page)).alias("_page"),
         F.pmod(F.xxhash64("user_id"), F.lit(copies)).cast("int").alias("_copy"),
     )
     candidates = wanted.join(pages, ["category_code", "_page", "_copy"]).select("user_id", F.inline("_items"))
@@ -97,17 +94,23 @@ def personalized(
     )
 
 
-def interests_of(events: DataFrame) -> DataFrame:
-    """Categories a user viewed or bought from."""
-    return events.where(
-        F.col("event_type").isin("view", "purchase") & (F.coalesce("category_code", F.lit("")) != "")
-    ).select("user_id", "category_code").distinct()
+def touched_products(events: DataFrame, products: DataFrame) -> DataFrame:
+    """What each user viewed or bought, with its category; repeats are counted away before the catalog join."""
+    touched = events.where(
+        F.col("event_type").isin("view", "purchase") & F.col("product_id").isNotNull()
+    ).groupBy("user_id", "product_id").agg(F.max(F.col("event_type") == "purchase").alias("bought"))
+    return touched.join(products.select("product_id", "category_code"), "product_id", "left")
 
 
-def bought_of(events: DataFrame) -> DataFrame:
-    return events.where((F.col("event_type") == "purchase") & F.col("product_id").isNotNull()).select(
-        "user_id", "product_id", "category_code"
-    ).distinct()
+def interests_of(touched: DataFrame) -> DataFrame:
+    """Categories a user viewed or bought from, and how many products were bought there."""
+    return touched.where(F.coalesce("category_code", F.lit("")) != "").groupBy("user_id", "category_code").agg(
+        F.count_if("bought").alias("bought_count")
+    )
+
+
+def bought_of(touched: DataFrame) -> DataFrame:
+    return touched.where("bought").select("user_id", "product_id")
 
 
 def filter_and_rank(
@@ -144,9 +147,9 @@ def recommend(
     cold_users = profiles.where(F.col("route") == "cold_start").select("user_id")
     known_users = profiles.where(F.col("route") == "personalized").select("user_id")
     generic = cold_start(cold_users, cold_start_list(events, now_ms, PROFILE_LIMIT))
+    touched = touched_products(events, products)
     personal = personalized(
-        interests_of(events).join(known_users, "user_id", "left_semi"),
-        bought_of(events),
+        interests_of(touched).join(known_users, "user_id", "left_semi"), bought_of(touched),
         ranked_products(product_scores(events), products),
     )
     best = filter_and_rank(generic.unionByName(personal), min_score=min_score, max_count=max_count)

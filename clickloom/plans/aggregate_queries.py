@@ -15,7 +15,7 @@ from ..operators.ordered import HOUR_MS
 from ..operators.profiles import merged_profiles, route, running_profiles, window_profiles
 from ..operators.recommend import TRENDING_MS
 from ..operators.sessions import kept_events, session_history, session_snapshot, session_summary, sessionize
-from ..sources.tables import behaviour
+from ..sources.tables import behaviour, catalog
 from .inputs import ARRIVALS_SQL, arrivals, latest_ms, numbered_batches
 from .registry import query
 
@@ -206,7 +206,9 @@ sessions AS (
 
 
 def _sessionized(spark, folder):
-    return sessionize(behaviour(spark, folder).withColumn("category_id", F.col("category_code")))
+    """Sessions are cut on the bare events; the category is looked up afterwards."""
+    products = catalog(spark, folder).select("product_id", F.col("category_code").alias("category_id"))
+    return sessionize(behaviour(spark, folder, with_catalog=False)).join(products, "product_id", "left")
 
 
 @query("x4_capped_sessions", f"""
@@ -309,8 +311,8 @@ SELECT user_id, window_start_ms, len(viewed) AS viewed, len(bought) AS purchased
 FROM profiles WHERE window_start_ms + 600000 <= (SELECT max(ts_ms) FROM ev) - 5000
 """)
 def x2_closed_windows(spark, folder):
-    events = behaviour(spark, folder)
-    watermark = latest_ms(behaviour(spark, folder, with_catalog=False)) - 5000
+    events = behaviour(spark, folder, with_catalog=False)
+    watermark = latest_ms(events) - 5000
     return window_profiles(events).where(F.col("window_start_ms") + 600_000 <= watermark).select(
         "user_id", "window_start_ms", F.size("viewed_products").cast("long").alias("viewed"),
         F.size("purchased_products").cast("long").alias("purchased"), "last_activity_ms",
@@ -362,9 +364,7 @@ SELECT user_id, window_start_ms, generated_at_ms, generated_at_ms <> window_star
 """)
 def x6_list_reuse(spark, folder):
     # Six hours instead of five minutes: profiles of a user are at least ten minutes apart.
-    emitted = window_profiles(behaviour(spark, folder, with_catalog=False).withColumn(
-        "category_code", F.lit(None).cast("string")
-    )).select("user_id", "window_start_ms", F.col("window_start_ms").alias("_order"))
+    emitted = window_profiles(behaviour(spark, folder, with_catalog=False)).select("user_id", "window_start_ms", F.col("window_start_ms").alias("_order"))
     kept = with_segment(emitted, ["user_id"], "window_start_ms", "_order", 6 * HOUR_MS, closes=False,
                         start="generated_at_ms")
     return kept.select("user_id", "window_start_ms", "generated_at_ms", (~F.col("opens")).alias("reused"))
@@ -378,7 +378,7 @@ SELECT user_id, window_start_ms,
 FROM profiles
 """)
 def r1_profile_routes(spark, folder):
-    running = running_profiles(window_profiles(behaviour(spark, folder)))
+    running = running_profiles(window_profiles(behaviour(spark, folder, with_catalog=False)))
     return running.select(
         "user_id", "window_start_ms", route(F.col("session_count"), F.col("viewed_in_window")).alias("route")
     )

@@ -11,11 +11,10 @@ from ..operators.drift import categorical_baseline
 from ..operators.intake import (
     dead_letters, intake_counts, late_by_clock, unknown_if_null, valid_rows, with_error,
 )
-from ..operators.late import classify_late, main_stream, very_late_stream
-from ..operators.recommend import recommend
+from ..operators.late import classify_late, with_late_metadata
 from ..sources.files import first_rows, parse_csv_lines, parse_json_events
 from ..sources.sinks import as_json
-from ..sources.tables import EVENT_COLUMNS, behaviour, catalog
+from ..sources.tables import EVENT_COLUMNS, behaviour
 from .inputs import ARRIVALS_SQL, FAULTY_SQL, arrivals, faulty_rows, latest_ms
 from .registry import query
 
@@ -218,10 +217,8 @@ SELECT event_id, late_class,
 FROM classified WHERE late_class IN ('moderate', 'very_late')
 """)
 def p8_late_metadata(spark, folder):
-    classified = classify_late(arrivals(spark, folder))
-    late = main_stream(classified, F.col("arrival_ms")).where("late_class = 'moderate'").unionByName(
-        very_late_stream(classified)
-    )
+    classified = classify_late(arrivals(spark, folder)).where("late_class in ('moderate', 'very_late')")
+    late = with_late_metadata(classified, F.col("arrival_ms"))
     named = ["late_processed", "original_timestamp", "processed_timestamp", "very_late", "discarded_from_windows"]
     return late.select(
         "event_id", "late_class", *[F.try_element_at("metadata", F.lit(n)).alias(n) for n in named],

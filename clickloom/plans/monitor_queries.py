@@ -16,7 +16,7 @@ from ..operators.latency_stats import (
     PROCESSING_BUCKETS, batch_efficiency, histogram, load_stats, service_stats, sla_stats,
 )
 from ..operators.ordered import HOUR_MS
-from ..session import shared_folder
+from ..session import shared_folder, stored
 from ..sources.sinks import read_categorical_baseline, read_numeric_baseline, write_baseline
 from ..sources.tables import behaviour
 from .inputs import (
@@ -200,7 +200,8 @@ SELECT * FROM (SELECT batch_id, batch_size, round(drift_score, 8) AS drift_score
 ORDER BY batch_id DESC LIMIT 1000
 """)
 def d8_drift_history(spark, folder):
-    return drift_history(_totals(spark, folder), "batch_id").select(
+    # The history is a table that batches append to, so it is written before it is summed up.
+    return drift_history(stored(_totals(spark, folder), "history"), "batch_id").select(
         "batch_id", "batch_size", F.round("drift_score", 8).alias("drift_score"), "processed_total"
     )
 
@@ -274,7 +275,7 @@ FROM load WHERE batch_size > 1
 """)
 def a12_batch_efficiency(spark, folder):
     by_size = load_stats(latency_samples(spark, folder), ["batch_size"])
-    return _rounded(batch_efficiency(by_size, by_size.where("batch_size = 1")), ["mean_ms", "efficiency"])
+    return _rounded(batch_efficiency(by_size), ["mean_ms", "efficiency"])
 
 
 @query("a10_sla_stats", f"""

@@ -15,7 +15,7 @@ from ..operators.ordered import DAY_MS
 from ..operators.profiles import window_profiles
 from ..operators.recommend import (
     FALLBACK_LIMIT, bought_of, cold_start, cold_start_list, enrich, filter_and_rank, interests_of, personalized, ranked_products,
-    recommend, user_routes,
+    recommend, touched_products, user_routes,
 )
 from ..operators.activity import product_scores
 from ..operators.scoring import (
@@ -83,8 +83,8 @@ SELECT user_id, product_id, round(score, 9) AS score, reason, CAST(rank AS INTEG
 FROM best LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = product_id
 """)
 def recommendations(spark, folder):
-    events = behaviour(spark, folder)
-    made = recommend(events, catalog(spark, folder), latest_ms(behaviour(spark, folder, with_catalog=False)))
+    events = behaviour(spark, folder, with_catalog=False)
+    made = recommend(events, catalog(spark, folder), latest_ms(events))
     return made.select(
         "user_id", "product_id", F.round("score", 9).alias("score"), "reason", "rank", "product_name", "category",
         "price", "generated_at_ms",
@@ -93,7 +93,7 @@ def recommendations(spark, folder):
 
 @query("r1_user_routes", f"WITH {PROFILES_SQL}, {ROUTES_SQL} SELECT user_id, route FROM routes")
 def r1_user_routes(spark, folder):
-    return user_routes(window_profiles(behaviour(spark, folder)))
+    return user_routes(window_profiles(behaviour(spark, folder, with_catalog=False)))
 
 
 @query("r2_cold_start", f"""
@@ -136,9 +136,10 @@ WITH {PERSONAL_SQL}
 SELECT user_id, CAST(position AS INTEGER) AS position, product_id, round(score, 9) AS score FROM personal
 """)
 def r3_personalized(spark, folder):
-    events = behaviour(spark, folder)
+    events, products = behaviour(spark, folder, with_catalog=False), catalog(spark, folder)
+    touched = touched_products(events, products)
     made = personalized(
-        interests_of(events), bought_of(events), ranked_products(product_scores(events), catalog(spark, folder))
+        interests_of(touched), bought_of(touched), ranked_products(product_scores(events), products)
     )
     return made.select("user_id", "position", "product_id", F.round("score", 9).alias("score"))
 

@@ -38,8 +38,7 @@ SELECT user_id, window_start_ms, len(viewed) AS viewed, len(bought) AS purchased
 FROM profiles WHERE window_start_ms + 600000 <= (SELECT max(ts_ms) FROM ev) - 5000
 """)
 def x2_stream_windows(spark, folder):
-    events = _stream(spark, folder).withColumn("category_code", F.lit(None).cast("string"))
-    return _finished(spark, profile_stream(events), "windows").select(
+    return _finished(spark, profile_stream(_stream(spark, folder)), "windows").select(
         "user_id", "window_start_ms", F.size("viewed_products").cast("long").alias("viewed"),
         F.size("purchased_products").cast("long").alias("purchased"), "last_activity_ms",
     )
@@ -102,9 +101,8 @@ walk AS (
 SELECT user_id, window_start_ms, generated_at_ms, generated_at_ms <> window_start_ms AS reused, session_count FROM walk
 """)
 def x6_stream_profiles(spark, folder):
-    events = _stream(spark, folder).withColumn("category_code", F.lit(None).cast("string"))
     # Two queries in a row: closed windows first, then the keyed profiles over that table.
-    windows = _finished(spark, profile_stream(events), "profile-windows")
+    windows = _finished(spark, profile_stream(_stream(spark, folder)), "profile-windows")
     base = windows.inputFiles()[0].split("/rows/")[0]
     again = spark.readStream.schema(windows.schema).parquet(f"{base}/rows")
     merged = keyed(again, "user_id", MergedProfiles(6 * HOUR_MS), PROFILE_OUTPUT)

@@ -139,9 +139,13 @@ def lists_for_profiles(
         "user_id", F.concat_ws("|", "_user", F.col("window_start_ms").cast("string"))
     )
     personal = keyed_profiles.where("route = 'personalized'")
-    interests = personal.select("user_id", F.explode("categories_preferred").alias("category_code"))
-    bought = personal.select("user_id", F.explode("purchased_products").alias("product_id")).join(
-        products.select("product_id", "category_code"), "product_id"
+    bought = personal.select("user_id", F.explode("purchased_products").alias("product_id"))
+    counts = bought.join(products.select("product_id", "category_code"), "product_id").groupBy(
+        "user_id", "category_code"
+    ).agg(F.count("*").alias("bought_count"))
+    interests = (
+        personal.select("user_id", F.explode("categories_preferred").alias("category_code"))
+        .join(counts, ["user_id", "category_code"], "left").fillna(0, ["bought_count"])
     )
     cold = cold_start(keyed_profiles.where("route = 'cold_start'").select("user_id"), generic)
     made = cold.unionByName(personalized(interests, bought, ranked, PROFILE_LIMIT))

@@ -106,7 +106,7 @@ def test_late_boundaries(spark):
     main = late.main_stream(late.classify_late(df), F.col("arrival_ms"))
     assert main.count() == 4
     assert main.where("event_id = 2").first()["metadata"]["original_timestamp"] == str(mark)
-    assert late.very_late_stream(late.classify_late(df)).first()["metadata"]["discarded_from_windows"] == "true"
+    assert late.very_late_stream(late.classify_late(df), F.col("arrival_ms")).first()["metadata"]["discarded_from_windows"] == "true"
 
 
 def session_rows(spark, times, user="u"):
@@ -194,18 +194,21 @@ def test_personal_lists_reach_past_what_was_bought(spark):
     products = spark.createDataFrame(
         [(f"p{i:03d}", "x" if i < 90 else "y") for i in range(100)], "product_id string, category_code string"
     )
-    interests = spark.createDataFrame([("heavy", "x"), ("light", "x"), ("light", "y")], "user_id string, category_code string")
-    bought = spark.createDataFrame(
-        [("heavy", f"p{i:03d}", "x") for i in range(70)] + [("light", "p000", "x")],
-        "user_id string, product_id string, category_code string",
+    events = spark.createDataFrame(
+        [("heavy", f"p{i:03d}", "purchase") for i in range(70)]
+        + [("light", "p000", "purchase"), ("light", "p000", "view"), ("light", "p095", "view"), ("none", "p001", "cart")],
+        "user_id string, product_id string, event_type string",
+    )
+    touched = recommend.touched_products(events, products)
+    out = recommend.personalized(
+        recommend.interests_of(touched), recommend.bought_of(touched), recommend.ranked_products(scores, products), 7
     )
-    out = recommend.personalized(interests, bought, recommend.ranked_products(scores, products), 7)
     lists = {}
     for r in out.orderBy("user_id", "position").collect():
         lists.setdefault(r["user_id"], []).append((r["product_id"], r["score"]))
     assert [p for p, _ in lists["heavy"]] == [f"p{i:03d}" for i in range(70, 77)]
     assert lists["light"][0] == ("p090", 1.0) and len(lists["light"]) == 7
-    assert ("p000", 1.0) not in lists["light"]
+    assert ("p000", 1.0) not in lists["light"] and "none" not in lists
 
 
 def test_enrichment_keeps_unknown_products(spark):
