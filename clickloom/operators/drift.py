@@ -46,15 +46,15 @@ def _category_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
 
 def categorical_baseline(df: DataFrame, top: int = BASELINE_TOP) -> DataFrame:
     """Share per value; all event types without nulls, the top values of the other columns."""
-    counts = _category_values(df, [], ["category_code", "brand"]).unionByName(
-        df.where(F.col("event_type").isNotNull()).groupBy(F.col("event_type").alias("value"))
-        .agg(F.count("*").alias("events")).withColumn("column", F.lit("event_type"))
-    )
-    totals = counts.groupBy("column").agg(F.sum("events").alias("_total"))
-    shares = counts.join(totals, "column").withColumn("share", F.col("events") / F.col("_total"))
-    others = top_rows(shares.where("column != 'event_type'"), ["column"], [F.desc("events"), F.asc("value")], top)
-    return shares.where("column = 'event_type'").select("column", "value", "share").unionByName(
-        others.select("column", "value", "share")
+    sizes = df.agg(F.struct(F.count("*").alias("rows"), F.count("event_type").alias("types")).alias("s")).scalar()
+    types = df.where(F.col("event_type").isNotNull()).groupBy(F.col("event_type").alias("value")).agg(
+        F.count("*").alias("events")
+    ).select(F.lit("event_type").alias("column"), "value", "events", sizes["types"].alias("_total"))
+    others = top_rows(
+        _category_values(df, [], ["category_code", "brand"]), ["column"], [F.desc("events"), F.asc("value")], top
+    ).select("column", "value", "events", sizes["rows"].alias("_total"))
+    return types.unionByName(others).select(
+        "column", "value", (F.col("events") / F.col("_total")).alias("share")
     )
 
 

@@ -99,6 +99,11 @@ def lookup_user_features(
     return hits.unionByName(misses)
 
 
+def upsert_features(stored: DataFrame, fresh: DataFrame, key: str = "user_id") -> DataFrame:
+    """The feature table after ``fresh`` rows took the place of older ones."""
+    return stored.join(fresh, key, "left_anti").unionByName(fresh.select(*stored.columns))
+
+
 def lookup_product_features(
     requests: DataFrame, stored: DataFrame, now_ms: Column, ttl_ms: int = PRODUCT_FEATURES_MS
 ) -> DataFrame:

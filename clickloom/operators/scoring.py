@@ -27,6 +27,16 @@ MODEL_METADATA = {"version": "1.0.0", "features": [], "created_at": "2024-01-01"
 PAIR = ["user_id", "product_id"]
 
 
+def request_pairs(requests: DataFrame, users: str = "user_ids", products: str = "product_ids") -> DataFrame:
+    """One row per pair of a batch request; the longer list is cut to the length of the shorter one."""
+    size = F.least(F.size(users), F.size(products))
+    pairs = F.arrays_zip(F.slice(users, 1, size).alias("user_id"), F.slice(products, 1, size).alias("product_id"))
+    rest = [c for c in requests.columns if c not in (users, products)]
+    return requests.select(*rest, F.posexplode(pairs).alias("position", "_pair")).select(
+        *rest, "position", "_pair.user_id", "_pair.product_id"
+    )
+
+
 def cached_predictions(requests: DataFrame, predictions: DataFrame, ttl_ms: int = CACHE_MS) -> DataFrame:
     """The latest earlier prediction of the pair, while younger than the lifetime.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import pair_score
 from ..functions.linear_model import linear_model
 from ..operators.features import (
-    hit_ratio, lookup_product_features, lookup_user_features, transactions_of, user_features,
+    hit_ratio, lookup_product_features, lookup_user_features, transactions_of, upsert_features, user_features,
 )
 from ..operators.ordered import DAY_MS
 from ..operators.profiles import window_profiles
@@ -19,7 +19,7 @@ from ..operators.recommend import (
 )
 from ..operators.activity import product_scores
 from ..operators.scoring import (
-    cached_predictions, score_in_batches, score_with_cache, score_with_model, with_failure_default,
+    cached_predictions, request_pairs, score_in_batches, score_with_cache, score_with_model, with_failure_default,
 )
 from ..sources.tables import behaviour, catalog, table
 from .aggregate_queries import PROFILES_SQL
@@ -255,7 +255,7 @@ looked AS (
 """
 
 
-def _user_lookups(spark, folder):
+def _lookup_inputs(spark, folder):
     """Customers ask for features; stored ones are a day old in content and up to nine minutes in age."""
     now = latest_ms(behaviour(spark, folder, with_catalog=False))
     bought = transactions_of(behaviour(spark, folder))
@@ -263,6 +263,11 @@ def _user_lookups(spark, folder):
         "computed_at_ms", now - F.pmod(F.col("user_id").cast("long"), F.lit(10)) * 60_000
     )
     users = table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    return stored, users, bought, now
+
+
+def _user_lookups(spark, folder):
+    stored, users, bought, now = _lookup_inputs(spark, folder)
     return lookup_user_features(users, stored, bought, now)
 
 
@@ -271,6 +276,20 @@ def j2_user_features(spark, folder):
     return _rounded(_user_lookups(spark, folder)).drop("computed_at_ms")
 
 
+@query("j2_feature_upsert", f"""
+WITH {LOOKUP_SQL}
+SELECT user_id, preferred_category, total_transactions, false AS kept FROM looked WHERE NOT hit
+UNION ALL
+SELECT user_id, preferred_category, total_transactions, true FROM stored s
+WHERE NOT EXISTS (SELECT 1 FROM looked l WHERE l.user_id = s.user_id AND NOT hit)
+""")
+def j2_feature_upsert(spark, folder):
+    stored, users, bought, now = _lookup_inputs(spark, folder)
+    misses = lookup_user_features(users, stored, bought, now).where(~F.col("hit"))
+    table_after = upsert_features(stored.withColumn("kept", F.lit(True)), misses.withColumn("kept", F.lit(False)))
+    return table_after.select("user_id", "preferred_category", "total_transactions", "kept")
+
+
 @query("a11_hit_ratio", f"""
 WITH {LOOKUP_SQL}
 SELECT count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses,
@@ -360,6 +379,23 @@ def r5_cached_scores(spark, folder):
     return scored.select("event_id", "user_id", "product_id", "cached_at_ms", "cached", "score", "latency_ms")
 
 
+@query("r5_request_pairs", f"""
+WITH placed AS (SELECT *, event_id // 32 AS request_id, event_id % 32 AS position, max(event_id) OVER () AS newest FROM ev)
+SELECT request_id, CAST(position AS INTEGER) AS position, user_id, product_id, {PAIR_SCORE_SQL} AS score
+FROM placed WHERE position < 31 AND event_id < newest
+""")
+def r5_request_pairs(spark, folder):
+    # Requests of 32 users in the order of the event ids, with one product less than users.
+    entry = F.struct("event_id", "user_id", "product_id")
+    requests = behaviour(spark, folder, with_catalog=False).groupBy(
+        F.floor(F.col("event_id") / 32).alias("request_id")
+    ).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
+        "request_id", F.col("_e.user_id").alias("user_ids"),
+        F.slice(F.col("_e.product_id"), 1, F.size("_e") - 1).alias("product_ids"),
+    )
+    return request_pairs(requests).withColumn("score", pair_score(F.col("user_id"), F.col("product_id")))
+
+
 @query("r6_failure_default", f"""
 SELECT event_id, CASE WHEN event_type = 'error' THEN 0.5 ELSE {PAIR_SCORE_SQL} END AS score,
        CASE WHEN event_type = 'error' THEN 3000.0 ELSE price END AS latency_ms, event_type = 'error' AS failed

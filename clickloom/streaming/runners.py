@@ -38,6 +38,20 @@ def start_batches(
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def trigger_interval(settings: Settings) -> str:
+    """How often a long-running query commits."""
+    return f"{settings.recovery.checkpoint_interval} milliseconds"
+
+
+def run_restarting(start: Callable[[], StreamingQuery], settings: Settings = Settings(), **retry) -> None:
+    """Run a query to its end and start it again after a failure, a fixed number of times and waits."""
+    recovery = settings.recovery
+    with_retries(
+        lambda: start().awaitTermination(), attempts=recovery.restart_attempts + 1,
+        **{"initial_wait": recovery.restart_delay / 1000.0, "factor": 1.0, **retry},
+    )
+
+
 def start_table(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
     """Append a stream to a folder of Parquet batches."""
     return start_batches(stream, lambda df, batch: write_batch_parquet(df, path, batch), checkpoint, **options)
@@ -51,10 +65,11 @@ def start_clean_csv(
     """CSV files in, clean rows and dead letters out.
 
     A batch whose clean rows cannot be written after all attempts goes to the dead letters as a whole.
+    The progress of the query carries the counts as observed metrics named "intake".
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = with_error(batch).persist()
+        checked = batch.persist()
         try:
             rejects = dead_letters(checked).select(*EVENT_COLUMNS, "error")
             good = valid_rows(checked).select(*EVENT_COLUMNS)
@@ -69,7 +84,10 @@ def start_clean_csv(
         finally:
             checked.unpersist()
 
-    stream = stream_raw_csv(prepare_streaming(spark), source, per_trigger=per_trigger)
+    stream = with_error(stream_raw_csv(prepare_streaming(spark), source, per_trigger=per_trigger)).observe(
+        "intake", F.count(F.lit(1)).alias("processed"), F.count_if(F.col("error").isNull()).alias("valid"),
+        F.count("error").alias("rejected"),
+    )
     return start_batches(stream, write, checkpoint, interval=interval)
 
 

@@ -14,10 +14,11 @@ from clickloom.settings import Settings, load_settings, merge_settings
 from clickloom.sources.sinks import as_json, with_retries
 from clickloom.sources.tables import EVENT_COLUMNS, as_behaviour, table
 from clickloom.streaming.processors import (
-    ACTIVITY_OUTPUT, LATE_OUTPUT, SESSION_OUTPUT, CappedSessions, LateClasses, TrailingActivity, keyed,
+    ACTIVITY_OUTPUT, LATE_OUTPUT, SESSION_OUTPUT, SESSION_STATE_MS, CappedSessions, LateClasses, TrailingActivity,
+    keyed,
 )
 from clickloom.streaming.runners import (
-    profile_stream, start_clean_csv, start_drift_monitor, start_json_files, start_table,
+    profile_stream, run_restarting, start_batches, start_clean_csv, start_drift_monitor, start_json_files, start_table, trigger_interval,
 )
 
 SMALL = "/root/testdata/sf0.001"
@@ -119,7 +120,10 @@ def test_clean_csv(spark, tmp_path):
     run = lambda **k: start_clean_csv(
         spark, str(source), f"{tmp_path}/clean", f"{tmp_path}/dead", f"{tmp_path}/checkpoint", per_trigger=ONE_FILE, **k
     ).awaitTermination()
-    run()
+    first = start_clean_csv(spark, str(source), f"{tmp_path}/clean", f"{tmp_path}/dead", f"{tmp_path}/checkpoint")
+    first.awaitTermination()
+    seen = [p["observedMetrics"]["intake"] for p in first.recentProgress if p["observedMetrics"]]
+    assert [(m["processed"], m["valid"], m["rejected"]) for m in seen if m["processed"]] == [(50, 35, 15)]
     csv_file(source / "b.csv", 50, 30)
     run()
     run()
@@ -168,6 +172,33 @@ def test_retry_waits():
         with_retries(lambda: (_ for _ in ()).throw(ValueError("x")), attempts=2, sleep=waits.append)
 
 
+def test_restarts(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    csv_file(source / "a.csv", 0, 10)
+    stream = lambda: spark.readStream.text(str(source))
+    calls, waits = [], []
+
+    def fails_twice(df, batch_id):
+        calls.append(df.count())
+        if len(calls) < 3:
+            raise OSError("no space")
+
+    run_restarting(lambda: start_batches(stream(), fails_twice, f"{tmp_path}/checkpoint"), sleep=waits.append)
+    assert calls == [11, 11, 11] and waits == [10.0, 10.0]
+    assert trigger_interval(Settings()) == "1000 milliseconds"
+
+
+def test_session_lifetime(spark, tmp_path):
+    hour = 3_600_000
+    rows = [(i, "u", "view", "p", t, t, 0, "c", None) for i, t in enumerate([0, 60_000, 3 * hour, 3 * hour + 1, 4 * hour])]
+    df = spark.createDataFrame(rows, KEPT.replace(", event_time timestamp", "")).withColumn(
+        "event_time", F.timestamp_millis("ts_ms"))
+    stream = split(df, f"{tmp_path}/in", ["ts_ms"], 2)
+    got = finish(keyed(stream, "user_id", CappedSessions(lifetime_ms=SESSION_STATE_MS), SESSION_OUTPUT), tmp_path, spark)
+    assert [(r["start_time"], r["last_update"], r["event_count"]) for r in got.collect()] == [(3 * hour, 4 * hour, 3)]
+
+
 def test_drift_monitor(spark, tmp_path):
     from clickloom.operators.drift import categorical_baseline, numeric_baseline
     from clickloom.sources.sinks import read_categorical_baseline, read_numeric_baseline, write_baseline
