@@ -129,3 +129,20 @@ def test_top_rows_cuts_before_the_shuffle(spark):
     _, df = frame(spark, 10)
     plan = top_rows(df, ["user"], [F.desc("ts")], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_python_workers_need_no_copy_of_the_package(tmp_path):
+    """A pickled worker function loads in an interpreter that cannot import the package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from clickloom.operators import anchored
+    from clickloom.streaming.processors import LateClasses
+
+    path = tmp_path / "f.pkl"
+    path.write_bytes(cloudpickle.dumps((anchored._whole_groups, LateClasses())))
+    code = f"import pickle; f, p = pickle.load(open({str(path)!r}, 'rb')); print(list(f([], ['a'])), p.slack)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip() == "[] 5000", out.stderr
