@@ -17,7 +17,8 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,39 +28,62 @@ from .ordered import DAY_MS, block_start
 NONE_OPEN = -1  # marks "no segment is open" where a start position is expected
 
 
-def _whole_groups(frames: Iterator[pd.DataFrame], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """Frames of complete groups from sorted batches; the last group of a batch waits for the next batch."""
-    held: list[pd.DataFrame] = []
-    for frame in frames:
-        if not len(frame):
+def _key_changes(rows: pa.RecordBatch | pa.Table, columns: Sequence[str]) -> np.ndarray:
+    """Whether each row has another key than the row before; true for the first row."""
+    changes = np.zeros(rows.num_rows, bool)
+    changes[:1] = True
+    for name in columns:
+        column = rows.column(name)
+        unequal = pc.not_equal(column.slice(1), column.slice(0, max(len(column) - 1, 0)))
+        changes[1:] |= unequal.to_numpy(zero_copy_only=False) if isinstance(unequal, pa.Array) else unequal.to_numpy()
+    return changes
+
+
+def _key_at(rows: pa.RecordBatch, columns: Sequence[str], index: int) -> tuple:
+    return tuple(rows.column(name)[index].as_py() for name in columns)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], columns: Sequence[str]) -> Iterator[pa.Table]:
+    """Tables of complete groups from sorted batches; the last group of a batch waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        keys = frame[list(columns)]
-        edges = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy())
-        if held and (held[-1][list(columns)].iloc[-1] == keys.iloc[0]).all():
+        edges = np.flatnonzero(_key_changes(batch, columns))
+        if held and _key_at(held[-1], columns, held[-1].num_rows - 1) == _key_at(batch, columns, 0):
             edges = edges[1:]
         if len(edges):
-            ready = [*held, frame.iloc[: edges[-1]]]
-            held = [frame.iloc[edges[-1]:]]
-            whole = pd.concat(ready, ignore_index=True)
-            if len(whole):
-                yield whole
+            ready = [b for b in (*held, batch.slice(0, edges[-1])) if b.num_rows]
+            held = [batch.slice(edges[-1])]
+            if ready:
+                yield pa.Table.from_batches(ready)
         else:
-            held.append(frame)
+            held.append(batch)
     if held:
-        yield pd.concat(held, ignore_index=True)
+        yield pa.Table.from_batches(held)
+
+
+def _longs(table: pa.Table, name: str) -> np.ndarray:
+    return pc.fill_null(table.column(name), 0).to_numpy().astype(np.int64, copy=False)
+
+
+def _batch(table: pa.Table, rows: np.ndarray, names: Sequence[str], added: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The named columns of some rows, and new columns."""
+    picked = pa.array(rows, pa.int64())
+    columns = {name: table.column(name).take(picked).combine_chunks() for name in names}
+    return pa.RecordBatch.from_pydict({**columns, **added})
 
 
 class _Chunks:
     """The ticks of several whole chunks, as arrays over which all jumps are computed at once."""
 
-    def __init__(self, frame: pd.DataFrame, columns: Sequence[str], position: str, span: int, chunk: int, closes: bool):
-        keys = frame[list(columns)]
-        self.first = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy())
-        self.end = np.append(self.first[1:], len(frame))
+    def __init__(self, table: pa.Table, columns: Sequence[str], position: str, span: int, chunk: int, closes: bool):
+        self.first = np.flatnonzero(_key_changes(table, columns))
+        self.end = np.append(self.first[1:], table.num_rows)
         self.group = np.repeat(np.arange(len(self.first)), self.end - self.first)
-        self.at = frame[position].to_numpy(np.int64)
-        self.repeated = frame["_n"].to_numpy(np.int64) >= 2
-        self.base = frame["_chunk"].to_numpy(np.int64)[self.first]
+        self.at = _longs(table, position)
+        self.repeated = _longs(table, "_n") >= 2
+        self.base = _longs(table, "_chunk")[self.first]
         self.stride = chunk + span + 1
         self.line = self.group * self.stride + (self.at - self.base[self.group])
         self.span, self.closes = span, closes
@@ -113,9 +137,9 @@ def segment_table(
     long = lambda name: T.StructField(name, T.LongType())
     longs = lambda name: T.StructField(name, T.ArrayType(T.LongType()))
 
-    def reduce_chunks(frames):
-        for frame in _whole_groups(frames, columns):
-            c = _Chunks(frame, columns, position, span, chunk, closes)
+    def reduce_chunks(batches):
+        for table in _whole_groups(batches, columns):
+            c = _Chunks(table, columns, position, span, chunk, closes)
             previous = np.append(c.line[:1], c.line[:-1]) - c.group * c.stride
             is_first = np.zeros(len(c.at), bool)
             is_first[c.first] = True
@@ -125,98 +149,98 @@ def segment_table(
             fresh = c.follow(np.arange(len(c.first)), c.first)
             last = np.append((groups[1:] != groups[:-1]) | (exits[1:] != exits[:-1]), True)
             heads, groups, exits = heads[last], groups[last], exits[last]
-            cuts = np.searchsorted(groups, np.arange(1, len(c.first)))
-            out = frame.iloc[c.first][columns].reset_index(drop=True)
-            out["_fresh"] = fresh
-            out["_bounds"] = np.split(c.at[heads], cuts)
-            out["_exits"] = np.split(exits, cuts)
-            yield out
+            offsets = pa.array(np.searchsorted(groups, np.arange(len(c.first) + 1)), pa.int32())
+            yield _batch(table, c.first, columns, {
+                "_fresh": pa.array(fresh, pa.int64()),
+                "_bounds": pa.ListArray.from_arrays(offsets, pa.array(c.at[heads], pa.int64())),
+                "_exits": pa.ListArray.from_arrays(offsets, pa.array(exits, pa.int64())),
+            })
 
     summaries = (
         ticks.repartition(*[F.col(k) for k in columns]).sortWithinPartitions(*columns, position)
-        .mapInPandas(reduce_chunks, T.StructType([*key_fields, long("_chunk"), long("_fresh"), longs("_bounds"),
+        .mapInArrow(reduce_chunks, T.StructType([*key_fields, long("_chunk"), long("_fresh"), longs("_bounds"),
                                                   longs("_exits")]))
     )
 
-    def chain_chunks(frames):
+    def chain_chunks(batches):
         key, open_start = None, NONE_OPEN
         find = bisect_right if closes else bisect_left
-        for frame in frames:
-            entries = np.empty(len(frame), np.int64)
-            rows = zip(*[frame[k] for k in keys], frame["_fresh"], frame["_bounds"], frame["_exits"])
-            for i, row in enumerate(rows):
-                this, (fresh, bounds, exits) = row[: len(keys)], row[len(keys):]
-                if this != key:
-                    key, open_start = this, NONE_OPEN
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            changes = _key_changes(batch, keys)
+            changes[0] = _key_at(batch, keys, 0) != key
+            key = _key_at(batch, keys, batch.num_rows - 1)
+            edges = batch.column("_bounds").offsets.to_numpy().tolist()
+            bounds, exits = (batch.column(name).values.to_numpy() for name in ("_bounds", "_exits"))
+            fresh = batch.column("_fresh").to_numpy().tolist()
+            entries = np.empty(batch.num_rows, np.int64)
+            for i, changed in enumerate(changes.tolist()):
+                if changed:
+                    open_start = NONE_OPEN
                 entries[i] = open_start
                 if open_start == NONE_OPEN:
-                    open_start = fresh
+                    open_start = fresh[i]
                 else:
-                    at = find(bounds, open_start + span)
-                    if at < len(bounds):
+                    at = find(bounds, open_start + span, edges[i], edges[i + 1])
+                    if at < edges[i + 1]:
                         open_start = int(exits[at])
-            out = frame[columns].copy()
-            out["_entry"] = entries
-            yield out
+            yield pa.RecordBatch.from_pydict(
+                {**{name: batch.column(name) for name in columns}, "_entry": pa.array(entries, pa.int64())}
+            )
 
     entries = (
         summaries.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*columns)
-        .mapInPandas(chain_chunks, T.StructType([*key_fields, long("_chunk"), long("_entry")]))
+        .mapInArrow(chain_chunks, T.StructType([*key_fields, long("_chunk"), long("_entry")]))
     )
 
-    def find_starts(frames):
-        for frame in _whole_groups(frames, columns):
-            is_entry = frame["_entry"].notna().to_numpy()
-            entry = frame["_entry"].to_numpy()[is_entry].astype(np.int64)
-            frame = frame[~is_entry].reset_index(drop=True)
-            c = _Chunks(frame, columns, position, span, chunk, closes)
+    def find_starts(batches):
+        for table in _whole_groups(batches, columns):
+            is_entry = table.column("_entry").is_valid().to_numpy()
+            entry = _longs(table, "_entry")[is_entry]
+            table = table.filter(pa.array(~is_entry))
+            c = _Chunks(table, columns, position, span, chunk, closes)
             groups = np.arange(len(c.first))
             first = np.where(
                 entry == NONE_OPEN, c.first, c.start_after(groups, c.breaker_of(groups, entry))
             )
-            found: list[np.ndarray] = []
+            found = [np.empty(0, np.int64)]
             c.follow(groups, first, found.append)
-            starts = np.sort(np.concatenate(found)) if found else np.empty(0, np.int64)
+            starts = np.sort(np.concatenate(found))
             bucket = c.at - c.at % span
-            new_bucket = np.append(True, (c.group[1:] != c.group[:-1]) | (bucket[1:] != bucket[:-1]))
-            rows = np.flatnonzero(new_bucket)
-            out = frame.iloc[rows][keys].reset_index(drop=True)
-            out["_bucket"] = bucket[rows]
+            rows = np.flatnonzero(np.append(True, (c.group[1:] != c.group[:-1]) | (bucket[1:] != bucket[:-1])))
+            # The segment open before the bucket: the last start before it in the chunk, else the chunk's entry.
+            padded = np.append(starts, 0)
             earlier = np.searchsorted(starts, rows) - 1
-            own = (earlier >= 0) & (c.group[starts[np.maximum(earlier, 0)]] == c.group[rows]) if len(starts) else (
-                np.zeros(len(rows), bool))
-            carried = np.where(own, c.at[starts[np.maximum(earlier, 0)]], entry[c.group[rows]]) if len(starts) else (
-                entry[c.group[rows]])
-            out["_carried"] = pd.array(carried, "Int64").astype("Int64")
-            out.loc[carried == NONE_OPEN, "_carried"] = pd.NA
+            candidate = padded[np.maximum(earlier, 0)]
+            own = (earlier >= 0) & (c.group[candidate] == c.group[rows])
+            carried = np.where(own, c.at[candidate], entry[c.group[rows]])
             started = np.full(len(rows), -1, np.int64)
             started[np.searchsorted(rows, starts, "right") - 1] = starts
-            has = started >= 0
-            out["_started"] = pd.array(np.where(has, c.at[started], 0), "Int64")
-            out.loc[~has, "_started"] = pd.NA
+            has, begun = started >= 0, np.maximum(started, 0)
             # The edge row: the closer that shares its position with the next start, or the row that opened it.
+            edge = has
             if closes:
-                at_start = np.full(len(c.at), -1, np.int64)
-                at_start[starts] = 1
                 broke = np.zeros(len(c.at), bool)
                 after = c.breaker[starts]
                 broke[after[after < c.end[c.group[starts]]]] = True
                 opened = entry != NONE_OPEN
                 lead = c.breaker_of(groups[opened], entry[opened])
                 broke[lead[lead < c.end[opened]]] = True
-                edge = has & broke[np.maximum(started, 0)]
-            else:
-                edge = has
-            order_values = frame["_order"].to_numpy(np.int64)
-            out["_edge"] = pd.array(np.where(edge, order_values[np.maximum(started, 0)], 0), "Int64")
-            out.loc[~edge, "_edge"] = pd.NA
-            yield out
+                edge = has & broke[begun]
+            order_values = _longs(table, "_order")
+            yield _batch(table, rows, keys, {
+                "_bucket": pa.array(bucket[rows], pa.int64()),
+                "_carried": pa.array(carried, pa.int64(), mask=carried == NONE_OPEN),
+                "_started": pa.array(c.at[begun], pa.int64(), mask=~has),
+                "_edge": pa.array(order_values[begun], pa.int64(), mask=~edge),
+            })
 
     stacked = ticks.withColumn("_entry", F.lit(None).cast("long")).unionByName(entries, allowMissingColumns=True)
     return (
         stacked.repartition(*[F.col(k) for k in columns])
         .sortWithinPartitions(*columns, F.col(position).asc_nulls_first())
-        .mapInPandas(find_starts, T.StructType([*key_fields, long("_bucket"), long("_carried"), long("_started"),
+        .mapInArrow(find_starts, T.StructType([*key_fields, long("_bucket"), long("_carried"), long("_started"),
                                                 long("_edge")]))
     )
 
