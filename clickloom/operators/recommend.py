@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.times import window_floor
 from .activity import product_scores, top_products
 from .ordered import DAY_MS, running, top_rows
-from .profiles import PROFILE_LIMIT, route, window_profiles
+from .profiles import PROFILE_LIMIT, VIEW, route
 
 COLD_START_SCORE = 0.7
 FALLBACK_LIMIT = 10
@@ -131,10 +132,19 @@ def enrich(recommendations: DataFrame, products: DataFrame, generated_ms: Column
     return recommendations.join(known, "product_id", "left").withColumn("generated_at_ms", generated_ms)
 
 
-def user_routes(profiles: DataFrame) -> DataFrame:
-    """R1 at the end of the data: the number of viewed products only matters to users with a single profile."""
-    return profiles.groupBy("user_id").agg(
-        route(F.count("*"), F.max(F.size("viewed_products"))).alias("route")
+def user_routes(events: DataFrame, minutes: int = 10) -> DataFrame:
+    """R1 at the end of the data, without building the profiles.
+
+    A user with events in two windows has a previous profile; the number of viewed products only matters
+    to users with a single window, so it may be counted over all of them.
+    """
+    seen = events.select(
+        "user_id", window_floor(F.col("ts_ms"), minutes * 60_000).alias("_window"),
+        F.when(F.col("event_type") == VIEW, F.col("product_id")).alias("_viewed"),
+    ).groupBy("user_id", "_viewed").agg(F.min("_window").alias("_first"), F.max("_window").alias("_last"))
+    several = F.max("_last") > F.min("_first")
+    return seen.groupBy("user_id").agg(
+        route(F.when(several, F.lit(2)).otherwise(F.lit(1)), F.count("_viewed")).alias("route")
     )
 
 
@@ -143,7 +153,7 @@ def recommend(
     max_count: int = 10,
 ) -> DataFrame:
     """The recommendations of every user from the profile as it stands at the end of ``events``."""
-    profiles = user_routes(window_profiles(events, minutes))
+    profiles = user_routes(events, minutes)
     cold_users = profiles.where(F.col("route") == "cold_start").select("user_id")
     known_users = profiles.where(F.col("route") == "personalized").select("user_id")
     generic = cold_start(cold_users, cold_start_list(events, now_ms, PROFILE_LIMIT))

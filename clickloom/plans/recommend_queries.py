@@ -12,7 +12,6 @@ from ..operators.features import (
     hit_ratio, lookup_product_features, lookup_user_features, transactions_of, upsert_features, user_features,
 )
 from ..operators.ordered import DAY_MS
-from ..operators.profiles import window_profiles
 from ..operators.recommend import (
     FALLBACK_LIMIT, bought_of, cold_start, cold_start_list, enrich, filter_and_rank, interests_of, personalized, ranked_products,
     recommend, touched_products, user_routes,
@@ -93,7 +92,7 @@ def recommendations(spark, folder):
 
 @query("r1_user_routes", f"WITH {PROFILES_SQL}, {ROUTES_SQL} SELECT user_id, route FROM routes")
 def r1_user_routes(spark, folder):
-    return user_routes(window_profiles(behaviour(spark, folder, with_catalog=False)))
+    return user_routes(behaviour(spark, folder, with_catalog=False))
 
 
 @query("r2_cold_start", f"""

@@ -474,3 +474,29 @@ def test_lag(spark):
     lags = alerts.consumer_lag(ends, taken)
     assert {r["partition"]: r["lag"] for r in lags.collect()} == {0: 2000, 1: 0}
     assert alerts.lag_over(lags).first()["lag"] == 2000
+
+
+def test_routes_agree_with_profiles(spark):
+    from clickloom.operators.profiles import route
+
+    events = profile_events(spark, [
+        ("one", 0, "view", "a", "x"), ("one", 5, "view", "b", "x"), ("three", 0, "view", "a", "x"),
+        ("three", 1, "view", "b", "x"), ("three", 2, "view", "c", "x"), ("again", 0, "cart", "a", "x"),
+        ("again", 10 * MINUTE, "cart", "a", "x"), ("buys", 1, "purchase", "a", "x"), ("buys", 2, "purchase", "b", "x"),
+        ("buys", 3, "purchase", "c", "x"),
+    ])
+    merged = merged_profiles(window_profiles(events)).select(
+        "user_id", route(F.col("session_count"), F.size("viewed_products")).alias("route")
+    )
+    got = {tuple(r) for r in recommend.user_routes(events).collect()}
+    assert got == {tuple(r) for r in merged.collect()}
+    assert dict(got) == {"one": "cold_start", "three": "personalized", "again": "personalized", "buys": "cold_start"}
+
+
+def test_upsert_and_request_pairs(spark):
+    schema = "user_id string, x int"
+    stored = spark.createDataFrame([("a", 1), ("b", 2)], schema)
+    fresh = spark.createDataFrame([("b", 3), ("c", 4)], schema)
+    assert {tuple(r) for r in features.upsert_features(stored, fresh).collect()} == {("a", 1), ("b", 3), ("c", 4)}
+    requests = spark.createDataFrame([(1, ["u", "v", "w"], ["p", "q"])], "id int, user_ids array<string>, product_ids array<string>")
+    assert [tuple(r) for r in scoring.request_pairs(requests).collect()] == [(1, 0, "u", "p"), (1, 1, "v", "q")]
