@@ -192,3 +192,34 @@ def clean(
 
     pairs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return pairs.mapInArrow(run, SCHEMA + (", clean_text string" if with_text else ""))
+
+
+def keep_clean(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: str = "n_chars", rules: Rules = Rules(),
+) -> DataFrame:
+    """The kept rows of ``docs`` with their failing lines taken out; ``size`` is counted again where a text changed.
+
+    A row that loses no line is returned as it was. Ids and other columns may be null and are carried along.
+    """
+    columns, schema = docs.columns, docs.schema
+    text_at, size_at = columns.index(text), columns.index(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_at)
+            for start, stop, data, offsets in blocks(texts):
+                found = judge_block(data, offsets, rules)
+                keep = np.flatnonzero(found["kept"])
+                if not len(keep):
+                    continue
+                part = batch.slice(start, stop - start)
+                cleaned = _cleaned(part.column(text_at), data, offsets, found["cut"])
+                sizes = part.column(size_at).to_pylist()
+                for i in np.flatnonzero(found["n_lines_removed"]).tolist():
+                    sizes[i] = len(cleaned[i])
+                out = part.columns
+                out[text_at] = pa.array(cleaned, part.column(text_at).type)
+                out[size_at] = pa.array(sizes, part.column(size_at).type)
+                yield pa.RecordBatch.from_arrays(out, names=columns).take(pa.array(keep))
+
+    return docs.mapInArrow(run, schema)

@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality, substrings
+from . import bpe, chat, html, lm, minhash, packing, quality, substrings, vectors, warc
+from .tables import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,3 +68,75 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean(table(spark, folder, "documents"), with_text=False)
+
+
+@query("op3_html_text")
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
+@query("op5_chat_format", """
+WITH said AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), marked AS (
+  SELECT *, regexp_replace(regexp_replace(text, '###(\\\\*) ', '###\\\\\\1 ', 'g'), '</turn(\\\\*)>', '</turn\\\\\\1>', 'g') AS safe
+  FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ') + length(role) + length(': ') + length(safe) + length('</turn>') + 1) AS BIGINT)
+         AS formatted_chars
+FROM marked GROUP BY conv_id
+""")
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    read = chat.read_back(chat.format_chats(rows.unionByName(extra)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.encode(said, "UTF-8"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op6_lm_score")
+def op6_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, lm.learn(docs))
+
+
+@query("op7_warc_archive", """
+WITH paid AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), held AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+         max(page_id) OVER (PARTITION BY payload) AS holder
+  FROM paid
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to
+FROM held
+""")
+def op7_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), path)
+    return warc.read_archive(spark, path, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(stored(packing.measured(table(spark, folder, "documents")), "measured"))
+
+
+@query("op10_near_vectors")
+def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))

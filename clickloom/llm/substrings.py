@@ -40,6 +40,7 @@ class Chunk:
         rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         self.ids = rows["doc_id"]
         self.texts = rows["text"]
+        self.rows = rows
         self.order = np.array([NO_ID if i is None else i for i in self.ids.to_pylist()], np.int64)
         data, offsets = text_buffer(rows["text"])
         self.words: Words = find_words(data, offsets)
@@ -198,7 +199,7 @@ def factors(starts: np.ndarray, source: np.ndarray, owners: np.ndarray, window:
     return starts[head], np.diff(np.append(head, len(starts))) + window - 1
 
 
-def _parse(window: int, original: bool):
+def _parse(window: int, original: bool, carry: tuple[str, ...]):
     kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_text": pa.string(),
              "spans": pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))}
 
@@ -238,26 +239,29 @@ def _parse(window: int, original: bool):
                 texts.append(b" ".join([raw[starts[j]:ends[j]] for j in range(a, b)]).decode())
             spans.append([{"start": int(s) - a, "length": int(n)} for s, n in zip(
                 begin[factor_cut[i]:factor_cut[i + 1]], length[factor_cut[i]:factor_cut[i + 1]], strict=True)])
-        return _rows({"doc_id": chunk.ids.to_pylist(), "n_words": words.counts, "n_removed": removed,
-                      "kept_text": texts, "spans": spans}, kinds)
+        out = _rows({"doc_id": chunk.ids.to_pylist(), "n_words": words.counts, "n_removed": removed,
+                     "kept_text": texts, "spans": spans}, kinds)
+        for name in carry:
+            out = out.append_column(name, chunk.rows[name])
+        return out
 
     return run, f"doc_id long, n_words long, n_removed long, kept_text string, spans {SPANS}"
 
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
-    original: bool = False,
+    original: bool = False, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text, spans): every word in a window that also starts earlier is removed.
+    """(doc_id, n_words, n_removed, kept_text, spans, carried columns): every word in a window that also starts earlier is removed.
 
     ``kept_text`` has the kept words with single spaces; with ``original`` a document that loses nothing keeps its text
     as it was. ``spans`` are the factors, in words, which may overlap. Windows are judged on the input. A null or empty
     text has no words. Rows that share an id come in the order of their texts and keep a row each; rows without an id come
-    last. Other columns are dropped. Sizing the chunks is one aggregation over the table when this is called.
+    last. Columns that are not carried are dropped. Sizing the chunks is one aggregation over the table when this is called.
     """
     size, count = text_bytes(docs, text)
     buckets = bucket_count(size // 20)
-    parts = chunked(docs, doc_id, text, size, count)
+    parts = chunked(docs, doc_id, text, size, count, carry=carry)
     chunks = lambda: parts.groupBy("chunk")
     send, schema = _send_anchors(buckets, window, anchor)
     meet, met_schema = _meet_anchors()
@@ -267,5 +271,6 @@ def remove_repeats(
     sources = (
         chunks().cogroup(met.groupBy("chunk")).applyInArrow(send, schema)
         .groupBy("bucket").applyInArrow(found, found_schema))
-    parse, parse_schema = _parse(window, original)
+    parse, parse_schema = _parse(window, original, carry)
+    parse_schema += "".join(f", `{name}` {docs.schema[name].dataType.simpleString()}" for name in carry)
     return chunks().cogroup(sources.groupBy("chunk")).applyInArrow(parse, parse_schema)

@@ -36,8 +36,10 @@ def text_bytes(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     return int(row["size"] or 0), int(row["count"])
 
 
-def chunked(docs: DataFrame, doc_id: str, text: str, size: int, rows: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, doc_id, text): documents dealt evenly by their id, so that no source or date fills a chunk.
+def chunked(
+    docs: DataFrame, doc_id: str, text: str, size: int, rows: int, chunk_bytes: int = CHUNK_BYTES, carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """(chunk, doc_id, text, carried columns): documents dealt evenly by their id, so that no source or date fills a chunk.
 
     Every stage of a plan that groups by ``chunk`` reads the same exchange. Several rows of one id share a chunk; rows
     without an id are dealt by their text.
@@ -46,7 +48,7 @@ def chunked(docs: DataFrame, doc_id: str, text: str, size: int, rows: int, chunk
     return docs.select(
         F.pmod(F.xxhash64(F.col(doc_id), F.when(F.col(doc_id).isNull(), F.col(text))), F.lit(chunks))
         .cast("int").alias("chunk"),
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *carry,
     )
 
 
