@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 # Text of one chunk in bytes; chunks are what one Python call holds.
 CHUNK_BYTES = 2 * 1024 * 1024
 
-# Where a session names no folder (tests), one below the working directory's spark-warehouse is used.
-DEFAULT_FOLDER = "spark-warehouse/shared"
-
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
-    """A new path below ``spark.checkpoint.dir``, which the driver and all executors reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_FOLDER
+    """A new path below ``spark.checkpoint.dir``, or below the warehouse where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
