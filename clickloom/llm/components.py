@@ -36,6 +36,7 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
+    edges = stored(edges, "edges")  # every turn reads its edges several times
     last = None
     while True:
         edges = stored(_small_star(_large_star(edges)), "stars")
