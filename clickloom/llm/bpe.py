@@ -33,7 +33,11 @@ from pyspark.sql import functions as F
 from .words import Words, blocks
 
 # Words of at most this many are remembered by a task at once.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+# Bytes of text that are worked on at once.
+BLOCK = 512 * 1024
+# Rows that are given back at once.
+ROWS = 1000
 
 LETTER, NUMBER, SIGN, BLANK = 0, 1, 2, 3
 
@@ -311,7 +315,7 @@ class Encoder:
     def batch(self, texts: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         out: list[bytes] = []
-        for _, _, data, offsets in blocks(texts):
+        for _, _, data, offsets in blocks(texts, BLOCK):
             if any(content in data.tobytes() for content in self.automaton.special):
                 out += [self._special(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             else:
@@ -340,10 +344,18 @@ class Encoder:
         return out
 
 
-def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _texts(automaton: Automaton, encoded: list[bytes | None]) -> pa.Array:
+    return pa.array([
+        automaton.decode(np.frombuffer(ids or b"", "<u4").astype(np.int64)).tobytes().decode("utf-8", "replace")
+        for ids in encoded], pa.string())
+
+
+def encode(
+    docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text", with_decoded: bool = False,
+) -> DataFrame:
     """(doc_id, token_ids): the ids of every whole text as little-endian unsigned 32-bit integers.
 
-    ``definition`` is the JSON text of a byte-level BPE vocabulary; its size is bounded by the vocabulary. A null or empty
+    ``with_decoded`` adds ``decoded``, what ``decode`` makes of them, in the same pass. ``definition`` is the JSON text of a byte-level BPE vocabulary; its size is bounded by the vocabulary. A null or empty
     text has no ids; ids of documents may be null or repeat, each row is encoded by itself; other columns are dropped.
     """
 
@@ -353,12 +365,18 @@ def encode(docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str =
             if not batch.num_rows:
                 continue
             encoder = encoder or Encoder(shared.value)
-            ids = pa.array(encoder.batch(batch.column(1)), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "token_ids"])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                ids = encoder.batch(part.column(1))
+                columns, names = [part.column(0), pa.array(ids, pa.binary())], ["doc_id", "token_ids"]
+                if with_decoded:
+                    columns.append(_texts(encoder.automaton, ids))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     pairs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return pairs.mapInArrow(run, "doc_id long, token_ids binary")
+    return pairs.mapInArrow(run, "doc_id long, token_ids binary" + (", decoded string" if with_decoded else ""))
 
 
 def decode(encoded: DataFrame, definition: str, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -373,12 +391,8 @@ def decode(encoded: DataFrame, definition: str, carry: tuple[str, ...] = ("doc_i
             if not batch.num_rows:
                 continue
             automaton = automaton or Automaton(shared.value)
-            texts = [
-                automaton.decode(np.frombuffer(ids or b"", "<u4").astype(np.int64)).tobytes().decode("utf-8", "replace")
-                for ids in batch.column(len(carry)).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(carry)], pa.array(texts, pa.string())], names=[*carry, "decoded"])
+            texts = _texts(automaton, batch.column(len(carry)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(carry)], texts], names=[*carry, "decoded"])
 
     shared = encoded.sparkSession.sparkContext.broadcast(definition)
     columns = encoded.select(*carry, F.col("token_ids").cast("binary").alias("token_ids"))

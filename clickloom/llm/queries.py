@@ -43,14 +43,10 @@ def vocabulary(path: str | None = None) -> str:
 @query("op1_bpe_codec")
 def op1_bpe_codec(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
     definition = vocabulary(path)
-    ids = bpe.encode(table(spark, folder, "documents"), definition)
-    ids = ids.select(
-        "doc_id", "token_ids", F.octet_length("token_ids").cast("long").alias("_bytes"),
-        F.sha2("token_ids", 256).alias("ids_sha256"))
-    decoded = bpe.decode(ids, definition, ("doc_id", "_bytes", "ids_sha256"))
-    return decoded.select(
-        "doc_id", F.expr("_bytes div 4").alias("n_tokens"), "ids_sha256",
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    found = bpe.encode(table(spark, folder, "documents"), definition, with_decoded=True)
+    return found.select(
+        "doc_id", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
 @query("op2_near_duplicates")

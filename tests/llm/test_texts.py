@@ -69,6 +69,8 @@ def test_op1(spark, folder, library, definition, documents):
         assert found.decoded_sha256 == brute.hexed(library.decode(ids, skip_special_tokens=False))
     odd = bpe.encode(documents([(None, "a b", None), (1, None, "s"), (1, "", "s"), (1, "a b", "s")]), definition).collect()
     assert sorted(len(r.token_ids) for r in odd) == [0, 0, 8, 8]
+    again = bpe.decode(bpe.encode(documents([(1, "a  b\n", "s"), (2, None, "s")]), definition), definition).collect()
+    assert {r.doc_id: r.decoded for r in again} == {1: "a  b\n", 2: ""}
     assert bpe.encode(documents([]), definition).count() == 0
 
 
