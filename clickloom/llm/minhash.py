@@ -5,10 +5,10 @@
 2. The minima are cut into bands. Classes that share a band form a bucket; each member is paired with the smallest of its
    bucket, so a bucket of any size gives as many pairs as members. Pairs whose signatures agree well enough are
    confirmed on full sets, and the links joined to components by large-star and small-star.
-3. Buckets that still hold several components are looked at again: members outside the largest component of a bucket
-   are compared with all members of other components, in blocks of bounded size, by signature. A first turn confirms
-   on full sets the few partners that agree best, which joins nearly all that can be joined; a second one confirms all that agree with
-   members of components that are still apart. Nothing within a component is compared, and no bucket is cut short.
+3. Components that still meet in a bucket form a cluster. Its members outside its largest component are compared with
+   all members of other components, tile by tile in blocks of bounded size: signatures choose the pairs, full sets
+   decide, and a tile gives back at most one link for each pair of components it joins, never the pairs themselves. Nothing within
+   a component is compared, and no bucket or cluster is cut short.
 
 A pair at the wanted similarity of 0.85 is missed by all 20 bands of 5 with a probability of 8e-6, and by the signature
 check (68 of 100 equal) with one of about 1e-5. Higher similarities are missed more seldom still.
@@ -37,8 +37,7 @@ class Settings:
     rows: int = 5
     percent: int = 85  # links have 100 * intersection >= percent * union
     agree: int = 68  # equal minima for a pair to be confirmed on full sets
-    block: int = 1024  # members of a bucket compared in one task
-    first: int = 3  # partners that are confirmed before all others
+    block: int = 256  # members of a cluster on one side of a task
 
     @property
     def hashes(self) -> int:
@@ -116,7 +115,8 @@ def full_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, setting
                     [ids.slice(start, stop - start), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     wanted = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    wanted = wanted.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    # Merged at every size: the nodes grow with the documents, so they are not broadcast while they happen to be few.
+    wanted = wanted.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     return wanted.mapInArrow(run, "node long, shingles array<long>")
 
 
@@ -135,57 +135,70 @@ def _agreeing(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
-def _compare(settings: Settings, best: int | None):
-    """Pairs of a member from outside a bucket's largest component with members of other components, all or the best."""
+def _link(settings: Settings):
+    """Links of the members outside a cluster's largest component with members of other components in one tile.
+
+    Signatures choose the pairs, full sets decide. A pair whose components this tile has already joined is left out, so
+    there are fewer links than members.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("outside", "ascending"), ("node", "ascending")])
         role = np.array(rows["outside"].to_pylist(), bool)
         node, label = (np.array(rows[c].to_pylist(), np.int64) for c in ("node", "label"))
-        values = rows["signature"].combine_chunks()
-        signed = np.asarray(values.flatten()).reshape(len(node), -1)
+        signed = np.asarray(rows["signature"].combine_chunks().flatten()).reshape(len(node), -1)
+        values = rows["shingles"].combine_chunks()
+        edges, shingles = np.asarray(values.offsets), np.asarray(values.values)
+        of = lambda i: shingles[edges[i]:edges[i + 1]]
+        size = np.diff(edges)
         members = np.flatnonzero(~role)
         u, v = [], []
         for i in np.flatnonzero(role).tolist():
             equal = (signed[members] == signed[i]).sum(axis=1)
             agree = np.flatnonzero((equal >= settings.agree) & (label[members] != label[i]))
-            if best is not None and len(agree) > best:
-                agree = agree[np.argsort(-equal[agree], kind="stable")[:best]]
-            found = members[agree]
-            u.append(np.full(len(found), node[i]))
-            v.append(node[found])
-        joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return pa.table({"u": pa.array(joined(u), pa.int64()), "v": pa.array(joined(v), pa.int64())})
+            own = of(i)
+            for j in members[agree[np.argsort(-equal[agree], kind="stable")]].tolist():
+                if label[j] == label[i]:
+                    continue
+                other = of(j)
+                at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                both = int((own[at] == other).sum())
+                if 100 * both >= settings.percent * (size[i] + size[j] - both):
+                    u.append(node[i])
+                    v.append(node[j])
+                    label[label == label[j]] = label[i]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
 
 def _across(
-    members: DataFrame, links: DataFrame, signature: DataFrame, settings: Settings, best: int | None
+    members: DataFrame, links: DataFrame, signature: DataFrame, sets: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Pairs (u, v), u > v, that share a bucket and agree, but are in different components so far."""
-    labelled = stored(
-        members.select("bucket", "node").join(links, "node", "left").select(
-            "bucket", "node", F.coalesce("component", "node").alias("label")), "labels")
-    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-    mixed = sizes.groupBy("bucket").agg(
-        F.max_by("label", F.struct("size", "label")).alias("major"), F.max("size").alias("most"),
-        F.sum("size").alias("size"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    """Links (u, v) between components that share a bucket."""
+    labelled = members.select("bucket", "node").join(links, "node", "left").select(
+        "bucket", "node", F.coalesce("component", "node").alias("label"))
+    spans = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("_high"))
+    mixed = stored(labelled.join(spans.where("low < _high"), "bucket").select("node", "label", "low"), "mixed")
+    clusters = components(mixed, "label", "low").select(F.col("node").alias("label"), F.col("component").alias("cluster"))
+    apart = stored(
+        mixed.select("node", "label").distinct().join(clusters, "label", "left")
+        .select("node", "label", F.coalesce("cluster", "label").alias("cluster")), "apart")
+    sizes = apart.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("cluster").agg(
+        F.max_by("label", F.struct("size", "label")).alias("major"), F.max("size").alias("most"), F.sum("size").alias("size"))
     parts = lambda n: F.ceil(n / settings.block).cast("int")
     rows = (
-        labelled.join(mixed, "bucket").join(signature, "node")
+        apart.join(sizes, "cluster").join(signature, "node").join(sets, "node")
         .withColumn("blocks", parts(F.col("size"))).withColumn("cuts", parts(F.col("size") - F.col("most")))
     )
     mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    columns = ["bucket", "node", "label", "signature"]
+    columns = ["cluster", "node", "label", "signature", "shingles"]
     inside = rows.select(
         *columns, F.lit(False).alias("outside"), mine("blocks").alias("i"), F.explode(every("cuts")).alias("j"))
     outside = rows.where("label <> major").select(
         *columns, F.lit(True).alias("outside"), F.explode(every("blocks")).alias("i"), mine("cuts").alias("j"))
-    return (
-        inside.unionByName(outside).groupBy("bucket", "i", "j").applyInArrow(_compare(settings, best), "u long, v long")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    )
+    return inside.unionByName(outside).groupBy("cluster", "i", "j").applyInArrow(_link(settings), "u long, v long")
 
 
 def near_duplicates(
@@ -213,18 +226,13 @@ def near_duplicates(
     sets = stored(full_sets(docs, nodes, doc_id, text, settings), "sets")
 
     pairs = members.where("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
-    pairs = stored(pairs, "pairs")
     agree = (
         pairs.join(signature.select(F.col("node").alias("u"), F.col("signature").alias("sign_u")), "u")
         .join(signature.select(F.col("node").alias("v"), F.col("signature").alias("sign_v")), "v")
         .where(_agreeing(F.col("sign_u"), F.col("sign_v")) >= settings.agree).select("u", "v")
     )
     links = components(confirmed(agree, sets, settings))
-    for best in (settings.first, None):
-        more = _across(members, links, signature, settings, best)
-        tested = stored(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
-        links = components(confirmed(tested, sets, settings).union(links))
-        pairs = pairs.union(tested)
+    links = components(_across(members, links, signature, sets, settings).union(links))
 
     found = (
         linked.select("doc_id", "n_shingles", "set_key").join(classes, "set_key")
