@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .intake import unknown_if_null
-from .ordered import trailing_sums
+from .ordered import top_rows, trailing_sums
 
 
 def trailing_activity(events: DataFrame, event_types: Sequence[str], width_ms: int = 60_000) -> DataFrame:
@@ -39,19 +39,34 @@ def counts_by(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("events"))
 
 
-def top_by_count(df: DataFrame, column: str, limit: int = 20, fill_unknown: bool = True) -> DataFrame:
-    """The most frequent values, the name as tie-break."""
-    named = df.select((unknown_if_null(column) if fill_unknown else F.col(column)).alias(column))
-    counted = named.groupBy(column).agg(F.count("*").alias("events"))
+def top_by_count(
+    df: DataFrame, column: str, limit: int = 20, fill_unknown: bool = True, keys: Sequence[str] = (),
+) -> DataFrame:
+    """The most frequent values, of all rows or of every batch, the name as tie-break."""
+    named = df.select(*keys, (unknown_if_null(column) if fill_unknown else F.col(column)).alias(column))
+    counted = named.groupBy(*keys, column).agg(F.count("*").alias("events"))
+    if keys:
+        return top_rows(counted, keys, [F.desc("events"), F.asc(column)], limit).drop("rank")
     return counted.orderBy(F.desc("events"), F.asc(column)).limit(limit)
 
 
 def price_stats(df: DataFrame, keys: Sequence[str] = (), price: str = "price") -> DataFrame:
-    """A4 over non-null prices."""
-    return df.groupBy(*keys).agg(
-        F.avg(price).alias("mean"), F.stddev_samp(price).alias("std"),
-        F.min(price).alias("min"), F.max(price).alias("max"), F.count(price).alias("count"),
-    )
+    """A4 over the prices that are numbers."""
+    return df.groupBy(*keys).agg(*price_figures(price))
+
+
+def known_number(column: str) -> Column:
+    """The number, or null where there is none: NaN counts as missing."""
+    return F.when(~F.isnan(column), F.col(column))
+
+
+def price_figures(price: str) -> list[Column]:
+    """A4: mean, deviation, bounds and count of the known prices."""
+    value = known_number(price)
+    return [
+        F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"), F.count(value).alias("count"),
+    ]
 
 
 def product_scores(events: DataFrame, since_ms: Column | None = None) -> DataFrame:

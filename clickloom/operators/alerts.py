@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
-from .ordered import DAY_MS, HOUR_MS, block_start, running, trailing_sums
+from .ordered import DAY_MS, block_start, finite_parts, finite_total, running, trailing_sums
 
 MINUTE_MS = 60_000
 
@@ -81,8 +81,7 @@ def holding_runs(samples: DataFrame, keys: Sequence[str], condition: Column, hol
 
 def evaluate_rules(samples: DataFrame, rules: DataFrame, labels: Sequence[str]) -> DataFrame:
     """E1 for all rules at once; ``samples`` has metric, the label columns, ts_ms and value."""
-    # Rules are a written list, so their broadcast does not grow with the samples.
-    ruled = samples.join(F.broadcast(rules), "metric")
+    ruled = samples.join(rules, "metric")
     value, bound = F.col("value"), F.col("threshold")
     met = (
         F.when(F.col("op") == ">", value > bound).when(F.col("op") == "<", value < bound)
@@ -104,20 +103,26 @@ def increases(samples: DataFrame, keys: Sequence[str], width_ms: int, block_ms:
         .otherwise(F.col("value"))
     )
     summed = trailing_sums(
-        previous, keys, "ts_ms", {"increase": step}, width_ms,
-        block_width=max(HOUR_MS, 12 * width_ms), include_lower=False,
+        previous, keys, "ts_ms", {"increase": step}, width_ms, include_lower=False,
     )
     return summed.drop("_previous").withColumn("rate", F.col("increase") / (width_ms / 1000.0))
 
 
 def absences(samples: DataFrame, keys: Sequence[str], now_ms: Column, hold_ms: int = ABSENCE_HOLD_MS,
-             block_ms: int = DAY_MS) -> DataFrame:
-    """Times without any sample of a series for longer than ``hold_ms``; the open one ends at ``now_ms``."""
+             block_ms: int = DAY_MS, expected: DataFrame | None = None) -> DataFrame:
+    """Times without any sample of a series for longer than ``hold_ms``; the open one ends at ``now_ms``.
+
+    ``expected`` has the keys and ``since_ms`` of series that should report; one that never did is absent from then on.
+    """
     gaps = running(
         samples.select(*keys, "ts_ms"), keys, ["ts_ms"], F.col("ts_ms"), "absent_since_ms", how="max",
         block=block_start(F.col("ts_ms"), block_ms), before=True,
     ).withColumnRenamed("ts_ms", "absent_until_ms")
     tail = samples.groupBy(*keys).agg(F.max("ts_ms").alias("absent_since_ms")).withColumn("absent_until_ms", now_ms)
+    if expected is not None:
+        never = expected.join(samples.select(*keys).distinct(), list(keys), "left_anti")
+        tail = tail.unionByName(never.select(
+            *keys, F.col("since_ms").alias("absent_since_ms")).withColumn("absent_until_ms", now_ms))
     return gaps.unionByName(tail).where(
         F.col("absent_until_ms") - F.col("absent_since_ms") > hold_ms
     ).withColumn("fires_at_ms", F.col("absent_since_ms") + hold_ms)
@@ -126,13 +131,13 @@ def absences(samples: DataFrame, keys: Sequence[str], now_ms: Column, hold_ms: i
 def mean_deviation(samples: DataFrame, keys: Sequence[str], width_ms: int, expected: float = EXPECTED_PRICE) -> DataFrame:
     """Relative distance of the trailing mean to an expected value."""
     summed = trailing_sums(
-        samples, keys, "ts_ms", {"_sum": F.col("value"), "_n": F.lit(1).cast("long")}, width_ms,
-        block_width=max(HOUR_MS, 12 * width_ms), include_lower=False,
+        samples, keys, "ts_ms", {**finite_parts("_sum", F.col("value")), "_n": F.lit(1).cast("long")}, width_ms,
+        include_lower=False,
     )
-    mean = F.col("_sum") / F.col("_n")
+    mean = finite_total("_sum") / F.col("_n")
     return summed.withColumn("mean", mean).withColumn(
         "deviation", F.abs(F.col("mean") - expected) / expected
-    ).drop("_sum", "_n")
+    ).drop("_sum", "_sum_nan", "_sum_up", "_sum_down", "_n")
 
 
 def side_by_side(samples: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -190,12 +195,24 @@ def consumer_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def lag_over(lags: DataFrame, threshold: int = 1000) -> DataFrame:
-    """E1's lag rule: lag of the partitions beyond the threshold, summed per group and topic."""
-    return lags.where(F.col("lag") > threshold).groupBy("consumer_group", "topic").agg(
+    """Lag of the partitions beyond the threshold, summed per group and topic (and per sample if there are several)."""
+    at = [c for c in ("ts_ms",) if c in lags.columns]
+    return lags.where(F.col("lag") > threshold).groupBy("consumer_group", "topic", *at).agg(
         F.sum("lag").alias("lag"), F.count("*").alias("partitions")
     )
 
 
+def lag_alerts(lags: DataFrame, threshold: int = 1000, hold_ms: int = 5 * MINUTE_MS) -> DataFrame:
+    """E1's lag rule: stretches in which the summed lag beyond the threshold exists at every sample, and whether they held.
+
+    ``lags`` has samples of consumer_group, topic, partition, ts_ms and lag.
+    """
+    series = ["consumer_group", "topic"]
+    over = lag_over(lags, threshold).select(*series, "ts_ms", F.lit(True).alias("_over"))
+    sampled = lags.select(*series, "ts_ms").distinct().join(over, [*series, "ts_ms"], "left")
+    return holding_runs(sampled, series, F.col("_over"), hold_ms).drop("_met", "_over")
+
+
 def roll_up(samples: DataFrame, by: Sequence[str], how: str = "sum") -> DataFrame:
     """Sum or mean by label."""
     value = {"sum": F.sum, "avg": F.avg}[how]("value")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import DAY_MS, block_start
+from .ordered import DAY_MS, block_start, null_safe_left
 
 NONE_OPEN = -1  # marks "no segment is open" where a start position is expected
 
@@ -34,7 +34,9 @@ def _key_changes(rows: pa.RecordBatch | pa.Table, columns: Sequence[str]) -> np.
     changes[:1] = True
     for name in columns:
         column = rows.column(name)
-        unequal = pc.not_equal(column.slice(1), column.slice(0, max(len(column) - 1, 0)))
+        here, before = column.slice(1), column.slice(0, max(len(column) - 1, 0))
+        unequal = pc.fill_null(pc.not_equal(here, before), False)
+        unequal = pc.or_(unequal, pc.xor(pc.is_null(here), pc.is_null(before)))
         changes[1:] |= unequal.to_numpy(zero_copy_only=False) if isinstance(unequal, pa.Array) else unequal.to_numpy()
     return changes
 
@@ -252,7 +254,7 @@ def with_segment(
     """Add the start of the segment each event belongs to, and ``opens``: whether the event opened it.
 
     ``position`` and ``order`` are non-negative longs, ``order`` is unique per key and settles equal
-    positions; keys are not null.
+    positions; null keys are a key of their own.
     """
     table = segment_table(events.select(*keys, position, order), keys, position, order, span,
                           closes=closes, chunk=chunk)
@@ -261,7 +263,7 @@ def with_segment(
         (at > F.col("_started"))
         | ((at == F.col("_started")) & (F.col("_edge").isNull() | (rank > F.col("_edge") if closes else F.lit(True))))
     )
-    joined = events.withColumn("_bucket", block_start(at, span)).join(table, [*keys, "_bucket"])
+    joined = null_safe_left(events.withColumn("_bucket", block_start(at, span)), table, [*keys, "_bucket"])
     joined = joined.withColumn(start, F.when(in_new, F.col("_started")).otherwise(F.col("_carried")))
     if not closes:
         joined = joined.withColumn("opens", in_new & (at == F.col("_started")) & (rank == F.col("_edge")))

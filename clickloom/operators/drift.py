@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clamp
+from .activity import known_number, price_figures
 from .intake import late_by_clock, unknown_if_null
-from .ordered import block_start, exact_percentiles, percentile_columns, running, top_rows, value_block
+from .ordered import block_start, exact_percentiles, percentile_columns, running, top_rows, value_block, value_slot
 
 PERCENTILES = {0.05: "p5", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95"}
 CATEGORICAL = ("event_type", "category_code", "brand")
@@ -19,13 +20,11 @@ LOG_GUARD = 1e-10
 MIN_PRICES, MIN_CATEGORY_ROWS, MIN_BATCH, MIN_REPORT_ROWS = 10, 10, 50, 100
 HIGH, MODERATE = 0.2, 0.1
 HISTORY = 1000
-# Batches up to this size may be worked on by one task each.
-SMALL_BATCH = 100_000
 
 
 def numeric_baseline(df: DataFrame, column: str = "price") -> DataFrame:
     """One row of figures for a numeric column."""
-    value = F.col(column)
+    value = known_number(column)
     spread = percentile_columns(exact_percentiles(df, [], value, list(PERCENTILES)), [], PERCENTILES).drop("rows")
     moments = df.agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
@@ -58,33 +57,17 @@ def categorical_baseline(df: DataFrame, top: int = BASELINE_TOP) -> DataFrame:
     )
 
 
-def batch_overview(
-    df: DataFrame, keys: Sequence[str], now: Column | None = None, max_batch_rows: int | None = None
-) -> DataFrame:
-    """Size, late rows (P7), price figures (A4) and hour counts of every batch in one pass.
-
-    Batches known to be small also get their exact percentiles in the same pass; the rows of one batch
-    then meet in one task, so ``max_batch_rows`` must be a bound by construction.
-    """
+def batch_overview(df: DataFrame, keys: Sequence[str], now: Column | None = None) -> DataFrame:
+    """Size, late rows (P7), price figures (A4) and hour counts of every batch in one pass."""
     hour = F.hour("event_time")
     late = F.count_if(late_by_clock("event_time", now)) if now is not None else F.lit(None).cast("long")
-    points = []
-    if is_small(max_batch_rows):
-        clean = F.when(~F.isnan("price"), F.col("price"))
-        points = [F.percentile(clean, F.array(*[F.lit(p) for p in PERCENTILES])).alias("points")]
     return df.groupBy(*keys).agg(
-        F.count("*").alias("batch_size"), late.alias("late_events"),
-        F.avg("price").alias("mean"), F.stddev_samp("price").alias("std"),
-        F.min("price").alias("min"), F.max("price").alias("max"), F.count("price").alias("count"),
+        F.count("*").alias("batch_size"), late.alias("late_events"), *price_figures("price"),
         F.array(*[F.count_if(hour == h) for h in range(24)]).alias("hours"),
-        F.max("event_time").alias("last_event"), *points,
+        F.max("event_time").alias("last_event"),
     )
 
 
-def is_small(max_batch_rows: int | None) -> bool:
-    return max_batch_rows is not None and max_batch_rows <= SMALL_BATCH
-
-
 def _with_reference(df: DataFrame, numeric: DataFrame) -> DataFrame:
     """Add ``_r``: the figures of the price baseline as one value; the baseline has one row per column."""
     row = numeric.where("column = 'price'").select(
@@ -135,7 +118,7 @@ def category_divergence(
     listed = categorical.where(F.col("column").isin(*columns)).agg(
         F.collect_list(F.struct("column", "value", "share")).alias("listed")
     )
-    expected = df.select(*keys).distinct().withColumn("_listed", listed.scalar()).select(
+    expected = current.select(*keys).distinct().withColumn("_listed", listed.scalar()).select(
         *keys, F.inline("_listed")
     ).withColumn("events", F.lit(None).cast("long"))
     merged = current.unionByName(expected).groupBy(*pair, "value").agg(
@@ -174,25 +157,18 @@ def hour_profile(overview: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def drift_parts(
-    df: DataFrame, numeric: DataFrame, categorical: DataFrame, keys: Sequence[str], max_batch_rows: int | None = None
+    df: DataFrame, numeric: DataFrame, categorical: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """D1-D4 in long form: keys, part, score; a part that cannot be computed is null or missing.
 
-    Mean and hours come from one pass, whose rows also bring ``batch_size``; so do the quantiles of small
-    batches.
+    Mean and hours come from one pass, whose rows also bring ``batch_size``.
     """
-    small = is_small(max_batch_rows)
     part = lambda name, score: F.struct(F.lit(name).alias("part"), score.alias("score"))
     plain = [part("price_mean", _mean_shift()), part("hour", _hour_distance())]
-    if small:
-        points = [F.get("points", F.lit(i)) for i in range(len(PERCENTILES))]
-        plain.append(part("price_quantiles", F.when(F.col("count") >= MIN_PRICES, _quantile_distance(points))))
-    parts = _with_reference(batch_overview(df, keys, max_batch_rows=max_batch_rows), numeric).select(
+    parts = _with_reference(batch_overview(df, keys), numeric).select(
         *keys, "batch_size", F.inline(F.array(*plain))
     )
-    others = category_divergence(df, categorical, keys)
-    if not small:
-        others = others.unionByName(quantile_distance(df, numeric, keys))
+    others = category_divergence(df, categorical, keys).unionByName(quantile_distance(df, numeric, keys))
     return parts.unionByName(others, allowMissingColumns=True)
 
 
@@ -222,7 +198,7 @@ def two_sample_distance(baseline: DataFrame, current: DataFrame, column: str) ->
     step = F.col("_a") / F.col("_n.a") - F.col("_b") / F.col("_n.b")
     walked = running(
         per_value.withColumn("_n", sizes.scalar()), [], ["_v"], step, "_gap", how="sum",
-        block=value_block(F.col("_v")),
+        block=F.struct(value_block(F.col("_v")).alias("block"), value_slot(F.col("_v")).alias("slot")),
     )
     return walked.agg(F.max(F.abs("_gap")).alias("statistic")).select(
         F.lit(column).alias("column"), F.lit("ks").alias("method"), "statistic"
@@ -249,13 +225,25 @@ def two_sample_divergence(baseline: DataFrame, current: DataFrame, columns: Sequ
 
 def drift_report(
     baseline: DataFrame, current: DataFrame, numeric: Sequence[str] = ("price",),
-    categorical: Sequence[str] = CATEGORICAL, threshold: float = MODERATE,
+    categorical: Sequence[str] = CATEGORICAL, threshold: float = MODERATE, gate: DataFrame | None = None,
 ) -> DataFrame:
-    """Statistic per column and whether it drifted; whole tables, no samples."""
+    """Statistic per column and whether it drifted; whole tables, no samples.
+
+    ``gate`` is a row with drift_score and batch_size; the report is empty unless ``report_wanted`` holds for it.
+    """
     report = two_sample_divergence(baseline, current, categorical)
     for column in numeric:
         report = report.unionByName(two_sample_distance(baseline, current, column))
-    return report.withColumn("drifted", F.col("statistic") > threshold)
+    report = report.withColumn("drifted", F.col("statistic") > threshold)
+    if gate is None:
+        return report
+    wanted = gate.agg(F.max(report_wanted(F.col("drift_score"), F.col("batch_size"))).alias("wanted"))
+    return report.where(F.coalesce(wanted.scalar(), F.lit(False)))
+
+
+def report_wanted(drift_score: Column, rows: Column) -> Column:
+    """Whether a batch drifted enough and is large enough for the detailed report."""
+    return (drift_score > MODERATE) & (rows >= MIN_REPORT_ROWS)
 
 
 def dataset_drift(report: DataFrame, share: float = 0.5) -> DataFrame:

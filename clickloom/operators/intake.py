@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.numbers import is_number, to_number
 from ..sources.tables import EVENT_COLUMNS
 
-# Fixed value: the longest field the row parser takes.
-FIELD_LIMIT = 131_072
-
 
 def _quoted(text: Column) -> Column:
     """The text in quotes, the way the parse error names it."""
@@ -20,15 +17,17 @@ def _quoted(text: Column) -> Column:
     ).otherwise(plain)
 
 
-def with_error(rows: DataFrame) -> DataFrame:
-    """Add ``error``, the first rule a raw row breaks, or null."""
+def with_error(rows: DataFrame, field_limit: int | None = None) -> DataFrame:
+    """Add ``error``, the first rule a raw row breaks, or null. Fields may have any length unless a limit is given."""
     price = F.col("price")
     blank = lambda name: F.col(name).isNull() | (F.col(name) == "")
-    too_long = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in EVENT_COLUMNS]) > FIELD_LIMIT
+    too_long = F.lit(False)
+    if field_limit is not None:
+        too_long = F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in EVENT_COLUMNS]) > field_limit
     filled = price.isNotNull() & (price != "")
     return rows.withColumn(
         "error",
-        F.when(too_long, F.lit(f"csv_parse_error: field larger than field limit ({FIELD_LIMIT})"))
+        F.when(too_long, F.lit(f"csv_parse_error: field larger than field limit ({field_limit})"))
         .when(blank("event_time"), F.lit("missing event_time"))
         .when(
             filled & ~is_number(price),

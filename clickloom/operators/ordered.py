@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
+# Frames in a block of trailing sums: one row in so many is repeated in the next block.
+BLOCK_FRAMES = 8
 
 # Value blocks for exact quantiles: a factor of about 1.6 percent between block edges.
 VALUE_BLOCKS_PER_LOG_UNIT = 64
@@ -66,13 +68,41 @@ def running(
         .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
     )
     return (
-        rows.join(carried, all_keys, "left")
+        null_safe_left(rows, carried, all_keys)
         .withColumn("_own", over_blocks(F.col("_value")).over(inside))
         .withColumn(name, merge(F.col("_carry"), F.col("_own")))
         .drop("_block", "_value", "_carry", "_own")
     )
 
 
+def null_safe_left(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A left join in which a null key meets a null key."""
+    other = found.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in found.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return rows.join(other, same, "left").drop(*[f"_key_{k}" for k in keys])
+
+
+def finite_parts(name: str, value: Column) -> dict[str, Column]:
+    """Measures that keep what is not finite apart from the sum of ``value``."""
+    odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    flag = lambda c: F.when(c, 1).otherwise(0).cast("long")
+    return {
+        name: F.when(odd, 0.0).otherwise(value), f"{name}_nan": flag(F.isnan(value)),
+        f"{name}_up": flag(value == float("inf")), f"{name}_down": flag(value == float("-inf")),
+    }
+
+
+def finite_total(name: str) -> Column:
+    """The sum that the measures of ``finite_parts`` stand for."""
+    some = lambda part: F.coalesce(F.col(f"{name}_{part}"), F.lit(0)) > 0
+    return (
+        F.when(some("nan") | (some("up") & some("down")), float("nan"))
+        .when(some("up"), float("inf")).when(some("down"), float("-inf")).otherwise(F.col(name))
+    )
+
+
 def trailing_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,7 +110,7 @@ def trailing_sums(
     measures: dict[str, Column],
     width: int,
     *,
-    block_width: int = HOUR_MS,
+    block_width: int | None = None,
     include_lower: bool = True,
 ) -> DataFrame:
     """Sums of ``measures`` over the rows of a key with position in [p - width, p], for every row.
@@ -88,8 +118,10 @@ def trailing_sums(
     Each row enters at its position and leaves again just behind the frame, so one running sum over both
     kinds of marks gives the trailing sum: the work is linear however many rows share a frame. Rows close
     to the end of a block are repeated as marks in the next one. ``include_lower=False`` leaves out the
-    rows at exactly p - width.
+    rows at exactly p - width. Blocks are a few frames wide unless a width is given, so that a hot key has many.
+    Measures must be finite, or a sum that left the frame would leave a trace (``finite_parts``).
     """
+    block_width = block_width or BLOCK_FRAMES * (width + 1)
     if width >= block_width:
         raise ValueError("the frame must be shorter than a block")
     payload = list(df.columns)
@@ -133,6 +165,12 @@ def value_block(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * VALUE_BLOCKS_PER_LOG_UNIT)
 
 
+def value_slot(value: Column) -> Column:
+    """A finer number that grows with the value within its block."""
+    place = F.signum(value) * F.log1p(F.abs(value)) * VALUE_BLOCKS_PER_LOG_UNIT
+    return F.floor((place - F.floor(place)) * SLOTS_PER_VALUE_BLOCK)
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float]
 ) -> DataFrame:

@@ -1,28 +1,20 @@
-"""Scores of user-product pairs: cache lookups, request batches, failure defaults, model files (2.8)."""
+"""Scores of user-product pairs: cache lookups, request batches, failure defaults, linear models (2.8)."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .anchored import with_segment
-from .ordered import DAY_MS, block_start, running
+from .ordered import DAY_MS, block_start, null_safe_left, running
 
 CACHE_MS = 300_000
 CACHED_LATENCY_MS = 0.1
 REQUEST_BATCH = 32
 # The answer to a request whose scoring failed.
 FAILED_SCORE, FAILED_LATENCY_MS = 0.5, 3000.0
-# A model travels to every executor, so its size has a limit.
-MODEL_BYTES_LIMIT = 512 * 1024 * 1024
-# Metadata of a model file that has none.
-MODEL_METADATA = {"version": "1.0.0", "features": [], "created_at": "2024-01-01"}
+# Rows that are numbered together.
+ORDER_BLOCK = 10_000
 
 PAIR = ["user_id", "product_id"]
 
@@ -60,15 +52,29 @@ def cached_predictions(requests: DataFrame, predictions: DataFrame, ttl_ms: int
 
 
 def score_with_cache(requests: DataFrame, score: Column, latency_ms: Column, ttl_ms: int = CACHE_MS) -> DataFrame:
-    """A first request scores and fills the cache, later ones reuse it until the lifetime ends.
+    """A first request scores and fills the cache, later ones get the stored score until the lifetime ends.
 
-    A reuse does not prolong the lifetime. Cached answers report a fixed latency.
+    A reuse does not prolong the lifetime, and a request without a score fills nothing: the next one is scored itself.
+    Cached answers report a fixed latency. ``cached_at_ms`` is null where there is neither an entry nor a score. Null users
+    and products are keys like others.
     """
-    marked = with_segment(requests, PAIR, "ts_ms", "event_id", ttl_ms, closes=False, start="cached_at_ms")
+    asked = requests.withColumn("_score", score)
+    fills = F.col("_score").isNotNull()
+    opened = with_segment(
+        asked.where(fills).select(*PAIR, "ts_ms", "event_id"), PAIR, "ts_ms", "event_id", ttl_ms, closes=False
+    ).where("opens").select(*PAIR, "ts_ms", "event_id", F.lit(True).alias("_opens"))
+    marked = null_safe_left(asked, opened, [*PAIR, "ts_ms", "event_id"])
+    entry = F.when(F.col("_opens"), F.struct(F.col("ts_ms").alias("at"), F.col("_score").alias("score")))
+    held = running(
+        marked, PAIR, ["ts_ms", "event_id"], entry, "_entry", how="last", block=block_start(F.col("ts_ms"), DAY_MS),
+    )
+    alive = F.coalesce(F.col("ts_ms") - F.col("_entry.at") < ttl_ms, F.lit(False))
     return (
-        marked.withColumn("cached", ~F.col("opens")).drop("opens")
-        .withColumn("score", score)
+        held.withColumn("cached", alive & F.col("_opens").isNull())
+        .withColumn("cached_at_ms", F.when(alive, F.col("_entry.at")))
+        .withColumn("score", F.when(alive, F.col("_entry.score")))
         .withColumn("latency_ms", F.when(F.col("cached"), F.lit(CACHED_LATENCY_MS)).otherwise(latency_ms))
+        .drop("_score", "_opens", "_entry")
     )
 
 
@@ -82,86 +88,27 @@ def with_failure_default(scored: DataFrame, score: str = "score", latency: str =
     )
 
 
-def score_in_batches(
-    requests: DataFrame, predict: Callable[[pd.DataFrame], np.ndarray], batch_size: int = REQUEST_BATCH
-) -> DataFrame:
-    """Requests go to ``predict`` in batches; the rest at a partition's end is sent as a short batch.
+def request_batches(requests: DataFrame, order: str = "event_id", batch_size: int = REQUEST_BATCH) -> DataFrame:
+    """``batch_id`` and ``batch_rows``: requests in order, in batches of one size and a short last one."""
+    placed = running(
+        requests, [], [order], F.lit(1).cast("long"), "_place", how="sum", block=block_start(F.col(order), ORDER_BLOCK))
+    batched = placed.withColumn("batch_id", F.floor((F.col("_place") - 1) / batch_size)).drop("_place")
+    return batched.withColumn("batch_rows", F.count("*").over(Window.partitionBy("batch_id")))
+
+
+def failed_batches(scored: DataFrame, score: str = "score") -> DataFrame:
+    """A batch in which one prediction fails gets the default answer as a whole."""
+    failed = F.max(F.col(score).isNull()).over(Window.partitionBy("batch_id"))
+    return scored.withColumn("failed", failed).withColumn(
+        score, F.when(F.col("failed"), F.lit(FAILED_SCORE)).otherwise(F.col(score)))
 
-    A batch whose prediction raises gets the default answer.
+
+def score_with_weights(df: DataFrame, weights: DataFrame, features: str, name: str = "prediction") -> DataFrame:
+    """A linear model over an array column; ``weights`` has a row (i, w) per feature, from 0.
+
+    The weights travel as one value, whose size is the number of features. Features of another length have no prediction.
     """
-    schema = T.StructType([*requests.schema.fields, T.StructField("score", T.DoubleType()),
-                           T.StructField("failed", T.BooleanType())])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None
-        for frame in frames:
-            pending = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            whole = len(pending) - len(pending) % batch_size
-            rest = pending.iloc[whole:]
-            if whole:
-                yield answer(pending.iloc[:whole])
-        if rest is not None and len(rest):
-            yield answer(rest)
-
-    def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        scores, failed = [], []
-        for start in range(0, len(frame), batch_size):
-            batch = frame.iloc[start:start + batch_size]
-            try:
-                scores.append(np.asarray(predict(batch), np.float64).reshape(len(batch)))
-                failed.append(np.zeros(len(batch), bool))
-            except Exception:  # noqa: BLE001 - whatever fails in the model
-                scores.append(np.full(len(batch), FAILED_SCORE))
-                failed.append(np.ones(len(batch), bool))
-        return frame.assign(score=np.concatenate(scores), failed=np.concatenate(failed))
-
-    return requests.mapInPandas(run, schema)
-
-
-def _read_bytes(spark: SparkSession, path: str) -> bytes | None:
-    found = (
-        spark.read.format("binaryFile").load(path)
-        .where(F.col("length") <= MODEL_BYTES_LIMIT).select("content").take(1)
-    )
-    return bytes(found[0]["content"]) if found else None
-
-
-def model_metadata(spark: SparkSession, model_path: str) -> dict:
-    """The JSON next to the model file, or the default metadata."""
-    try:
-        content = _read_bytes(spark, model_path.rsplit(".", 1)[0] + ".json")
-        return {**MODEL_METADATA, **json.loads(content)} if content else dict(MODEL_METADATA)
-    except Exception:  # noqa: BLE001 - a missing or broken file means default metadata
-        return dict(MODEL_METADATA)
-
-
-def read_model(spark: SparkSession, path: str) -> bytes:
-    """The bytes of a model file on storage that the driver can read."""
-    content = _read_bytes(spark, path)
-    if content is None:
-        raise ValueError(f"no model file of at most {MODEL_BYTES_LIMIT} bytes: {path}")
-    return content
-
-
-def score_with_model(df: DataFrame, model: bytes, features: str, name: str = "prediction") -> DataFrame:
-    """Run an ONNX model over an array column; the model is sent once and opened once per Python worker."""
-    if len(model) > MODEL_BYTES_LIMIT:
-        raise ValueError(f"the model is larger than {MODEL_BYTES_LIMIT} bytes")
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf(T.DoubleType())
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import onnxruntime
-
-        options = onnxruntime.SessionOptions()
-        options.intra_op_num_threads = options.inter_op_num_threads = 1
-        session = onnxruntime.InferenceSession(shared.value, options, providers=["CPUExecutionProvider"])
-        source, target = session.get_inputs()[0].name, session.get_outputs()[0].name
-        for batch in batches:
-            if len(batch):
-                matrix = np.stack(batch.to_numpy()).astype(np.float32)
-                yield pd.Series(session.run([target], {source: matrix})[0].reshape(len(batch)).astype(np.float64))
-            else:
-                yield pd.Series([], dtype="float64")
-
-    return df.withColumn(name, predict(F.col(features)))
+    row = weights.agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("weights")).scalar()
+    products = F.zip_with(F.col(features), F.col("_weights"), lambda x, w: x.cast("double") * w["w"])
+    return df.withColumn("_weights", row).withColumn(
+        name, F.aggregate(products, F.lit(0.0), lambda total, x: total + x)).drop("_weights")

@@ -9,7 +9,7 @@ from ..operators.ordered import DAY_MS, HOUR_MS, block_start
 from ..sources.tables import behaviour
 
 INSTANCES = 4
-SHARDS = 8
+SHARDS = 512
 BATCH_ROWS = 1000
 
 
@@ -77,7 +77,7 @@ def arrivals(spark: SparkSession, folder: str) -> DataFrame:
 ARRIVALS_SQL = """
 arrived AS (
   SELECT event_id, user_id, event_type, product_id, price, ts_ms,
-         ts_ms + (event_id * 7919) % 2400000 AS arrival_ms, CAST(user_id AS BIGINT) % 8 AS shard
+         ts_ms + (event_id * 7919) % 2400000 AS arrival_ms, CAST(user_id AS BIGINT) % 512 AS shard
   FROM ev
 ),
 marked AS (

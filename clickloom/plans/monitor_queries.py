@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.alerts import (
-    Rule, absences, available_percent, busy_percent, consumer_lag, evaluate_rules, holding_runs, increases, lag_over,
+    Rule, absences, available_percent, busy_percent, consumer_lag, evaluate_rules, holding_runs, increases, lag_alerts, lag_over,
     mean_deviation, notifications, roll_up, rules_frame, side_by_side, top_series, used_percent,
 )
 from ..operators.drift import (
@@ -15,12 +15,13 @@ from ..operators.drift import (
 from ..operators.latency_stats import (
     PROCESSING_BUCKETS, batch_efficiency, histogram, load_stats, service_stats, sla_stats,
 )
-from ..operators.ordered import HOUR_MS
+from ..operators.activity import price_stats, top_by_count
+from ..operators.ordered import HOUR_MS, block_start
 from ..session import shared_folder, stored
 from ..sources.sinks import read_categorical_baseline, read_numeric_baseline, write_baseline
-from ..sources.tables import behaviour
+from ..sources.tables import behaviour, table
 from .inputs import (
-    BATCH_ROWS, CELLS_SQL, COUNTER_SQL, SAMPLES_SQL, counter_samples, hourly_cells, latency_samples, latest_ms, numbered_batches,
+    CELLS_SQL, COUNTER_SQL, SAMPLES_SQL, counter_samples, hourly_cells, latency_samples, latest_ms, numbered_batches,
     price_samples,
 )
 from .registry import query
@@ -128,7 +129,7 @@ def d4_hour_profile(spark, folder):
 
 def _totals(spark, folder):
     numeric, categorical = _baseline(spark, folder)
-    return drift_totals(drift_parts(_batches(spark, folder), numeric, categorical, KEYS, BATCH_ROWS), KEYS)
+    return drift_totals(drift_parts(_batches(spark, folder), numeric, categorical, KEYS), KEYS)
 
 
 @query("d5_drift_score", f"""
@@ -183,6 +184,19 @@ def d7_drift_report(spark, folder):
     return _report(spark, folder).withColumn("statistic", F.round("statistic", 8))
 
 
+@query("d7_gated_report", f"""
+WITH {BASE_SQL}, {REPORT_SQL.replace("scaled", "evened")}
+SELECT "column", method, round(statistic, 8) AS statistic, drifted FROM report
+WHERE (SELECT bool_or(drift_score > 0.1 AND batch_size >= 100) FROM totals)
+""")
+def d7_gated_report(spark, folder):
+    # The report is made only if one of the month's batches drifted and is large enough.
+    events = behaviour(spark, folder)
+    old = F.col("event_time") < F.expr(SPLIT)
+    report = drift_report(events.where(old), events.where(~old), gate=_totals(spark, folder))
+    return report.withColumn("statistic", F.round("statistic", 8))
+
+
 @query("d7_dataset_drift", f"""
 WITH {REPORT_SQL}
 SELECT count(*) AS columns, count(*) FILTER (drifted) AS drifted_columns,
@@ -533,3 +547,123 @@ FROM lags WHERE lag > 100 GROUP BY 1, 2
 """)
 def e1_lag_over(spark, folder):
     return lag_over(_lags(spark, folder), 100)
+
+
+HELD_SQL = """
+hourly AS (
+  SELECT g.consumer_group, event_type AS topic, CAST(user_id AS BIGINT) % 4 AS partition, ts_ms - ts_ms % 3600000 AS ts_ms,
+         count(*) FILTER (event_id % g.step = 0) AS lag
+  FROM ev, (VALUES ('streaming', 2), ('analytics', 5), ('monitoring', 50)) g(consumer_group, step) GROUP BY 1, 2, 3, 4),
+sampled AS (SELECT consumer_group, topic, ts_ms, bool_or(lag > 0) AS met FROM hourly GROUP BY 1, 2, 3),
+named AS (SELECT *, coalesce(max(CASE WHEN NOT met THEN ts_ms END) OVER (PARTITION BY consumer_group, topic ORDER BY ts_ms), -1)
+          AS after FROM sampled),
+runs AS (SELECT consumer_group, topic, min(ts_ms) AS active_since_ms, max(ts_ms) AS active_until_ms, count(*) AS samples
+         FROM named WHERE met GROUP BY consumer_group, topic, after)
+"""
+
+
+@query("e1_lag_alerts", f"""
+WITH {HELD_SQL}
+SELECT *, active_until_ms - active_since_ms >= 7200000 AS firing,
+       CASE WHEN active_until_ms - active_since_ms >= 7200000 THEN active_since_ms + 7200000 END AS fires_at_ms FROM runs
+""")
+def e1_lag_alerts(spark, folder):
+    # The lag of an hour is what a group left out in it; any lag must hold for two hours.
+    events = behaviour(spark, folder, with_catalog=False)
+    steps = {"streaming": 2, "analytics": 5, "monitoring": 50}
+    counted = events.groupBy(
+        F.col("event_type").alias("topic"), F.pmod(F.col("user_id").cast("long"), F.lit(4)).alias("partition"),
+        block_start(F.col("ts_ms"), HOUR_MS).alias("ts_ms"),
+    ).agg(F.array(*[
+        F.struct(F.lit(g).alias("consumer_group"), F.count_if(F.pmod("event_id", F.lit(n)) == 0).alias("lag"))
+        for g, n in steps.items()]).alias("_lags"))
+    return lag_alerts(counted.select("topic", "partition", "ts_ms", F.inline("_lags")), 0, 2 * HOUR_MS)
+
+
+@query("e3_never_seen", f"""
+WITH {CELLS_SQL},
+expected AS (SELECT DISTINCT 'node-' || CAST(c_custkey % 7 AS VARCHAR) AS instance FROM customer),
+bounds AS (SELECT min(ts_ms) AS low, max(ts_ms) + 7200000 AS high FROM ev)
+SELECT instance, low AS absent_since_ms, high AS absent_until_ms, low + 3600000 AS fires_at_ms
+FROM expected, bounds WHERE instance NOT IN (SELECT instance FROM cells)
+""")
+def e3_never_seen(spark, folder):
+    events = behaviour(spark, folder, with_catalog=False)
+    bounds = events.agg(F.struct(F.min("ts_ms").alias("low"), F.max("ts_ms").alias("high")).alias("b")).scalar()
+    expected = table(spark, folder, "customer").select(
+        F.concat(F.lit("node-"), F.pmod("c_custkey", F.lit(7))).alias("instance")).distinct().withColumn(
+        "since_ms", bounds["low"])
+    found = absences(hourly_cells(spark, folder), ["instance"], bounds["high"] + 2 * HOUR_MS, HOUR_MS, expected=expected)
+    return found.join(hourly_cells(spark, folder).select("instance").distinct(), "instance", "left_anti").select(
+        "instance", "absent_since_ms", "absent_until_ms", "fires_at_ms")
+
+
+@query("e4_infinite_sample", f"""
+WITH {CELLS_SQL},
+odd AS (SELECT instance, ts_ms, CASE WHEN ts_ms // 3600000 % 53 = 0 THEN CAST('inf' AS DOUBLE) ELSE price_mean END AS value
+        FROM cells),
+moved AS (SELECT instance, ts_ms, count(*) FILTER (isinf(value)) OVER w AS endless,
+                 avg(CASE WHEN NOT isinf(value) THEN value END) OVER w AS mean
+          FROM odd WINDOW w AS (PARTITION BY instance ORDER BY ts_ms RANGE BETWEEN 17999999 PRECEDING AND CURRENT ROW))
+SELECT instance, ts_ms, endless > 0 AS endless, CASE WHEN endless = 0 THEN round(mean, 8) END AS mean FROM moved
+""")
+def e4_infinite_sample(spark, folder):
+    cells = hourly_cells(spark, folder)
+    odd = F.pmod(F.floor(F.col("ts_ms") / HOUR_MS), F.lit(53)) == 0
+    samples = cells.select(
+        "instance", "ts_ms", F.when(odd, float("inf")).otherwise(F.col("price_mean")).alias("value"))
+    moved = mean_deviation(samples, ["instance"], 5 * HOUR_MS, 50.0)
+    endless = F.col("mean") == float("inf")
+    return moved.select(
+        "instance", "ts_ms", endless.alias("endless"), F.when(~endless, F.round("mean", 8)).alias("mean"))
+
+
+NAN_SQL = "ev0 AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN CAST('nan' AS DOUBLE) ELSE price END AS cost FROM ev)"
+
+
+def _some_nan(df):
+    """Every seventh price is no number."""
+    return df.withColumn("price", F.when(F.pmod("event_id", F.lit(7)) == 0, float("nan")).otherwise(F.col("price")))
+
+
+@query("a4_nan_prices", f"""
+WITH {NAN_SQL}
+SELECT event_id // 1000 AS batch_id, round(avg(cost), 8) AS mean, round(stddev_samp(cost), 8) AS std, min(cost) AS min,
+       max(cost) AS max, count(*) AS count FROM ev0 WHERE NOT isnan(cost) GROUP BY 1
+""")
+def a4_nan_prices(spark, folder):
+    batches = numbered_batches(_some_nan(behaviour(spark, folder, with_catalog=False)))
+    return _rounded(price_stats(batches, KEYS), ["mean", "std"], 8)
+
+
+@query("a7_nan_baseline", f"""
+WITH {NAN_SQL}, known AS (SELECT cost FROM ev0 WHERE NOT isnan(cost))
+SELECT round(avg(cost), 8) AS mean, round(stddev_samp(cost), 8) AS std, min(cost) AS min, max(cost) AS max,
+       round(quantile_cont(cost, 0.5), 8) AS p50 FROM known
+""")
+def a7_nan_baseline(spark, folder):
+    figures = numeric_baseline(_some_nan(behaviour(spark, folder, with_catalog=False)))
+    return _rounded(figures, ["mean", "std", "p50"], 8).select("mean", "std", "min", "max", "p50")
+
+
+@query("d1_nan_prices", f"""
+WITH {NAN_SQL},
+ref AS (SELECT avg(cost) AS mean, greatest(stddev_samp(cost), 0.001) AS std FROM ev0 WHERE NOT isnan(cost)),
+sizes AS (SELECT event_id // 1000 AS batch_id, avg(cost) AS mean, count(*) AS n FROM ev0 WHERE NOT isnan(cost) GROUP BY 1)
+SELECT batch_id, 'price_mean' AS part, round(least(abs(s.mean - r.mean) / (r.std / sqrt(n)) / 5, 1.0), 8) AS score
+FROM sizes s, ref r WHERE n >= 10
+""")
+def d1_nan_prices(spark, folder):
+    events = _some_nan(behaviour(spark, folder, with_catalog=False))
+    numeric = stored(numeric_baseline(events), "baseline")
+    return _round_score(mean_shift(batch_overview(numbered_batches(events), KEYS), numeric, KEYS))
+
+
+@query("a3_batch_categories", """
+SELECT batch_id, category_code, events FROM (
+  SELECT event_id // 1000 AS batch_id, coalesce(category_code, 'unknown') AS category_code, count(*) AS events,
+         row_number() OVER (PARTITION BY event_id // 1000 ORDER BY count(*) DESC, coalesce(category_code, 'unknown')) AS place
+  FROM ev GROUP BY 1, 2) WHERE place <= 20
+""")
+def a3_batch_categories(spark, folder):
+    return top_by_count(_batches(spark, folder), "category_code", keys=KEYS).select("batch_id", "category_code", "events")

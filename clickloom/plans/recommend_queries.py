@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import functions as F
 
 from ..functions.keys import pair_score
-from ..functions.linear_model import linear_model
 from ..operators.features import (
     hit_ratio, lookup_product_features, lookup_user_features, transactions_of, upsert_features, user_features,
 )
@@ -18,7 +16,8 @@ from ..operators.recommend import (
 )
 from ..operators.activity import product_scores
 from ..operators.scoring import (
-    cached_predictions, request_pairs, score_in_batches, score_with_cache, score_with_model, with_failure_default,
+    cached_predictions, failed_batches, request_batches, request_pairs, score_with_cache, score_with_weights,
+    with_failure_default,
 )
 from ..sources.tables import behaviour, catalog, table
 from .aggregate_queries import PROFILES_SQL
@@ -408,17 +407,55 @@ def r6_failure_default(spark, folder):
     return with_failure_default(scored)
 
 
-def _predict(batch):
-    digests = (hashlib.md5(f"{u}_{p}".encode()).hexdigest() for u, p in zip(batch["user_id"], batch["product_id"]))
-    return [int(d[:8], 16) % 1000 / 1000.0 for d in digests]
+ENTRY_WALK_SQL = """
+ordered AS (SELECT *, row_number() OVER (PARTITION BY user_id, product_id ORDER BY ts_ms, event_id) AS n FROM asked),
+walk AS (
+  SELECT user_id, product_id, n, event_id, price, CASE WHEN own IS NOT NULL THEN ts_ms END AS since, own AS kept,
+         false AS cached FROM ordered WHERE n = 1
+  UNION ALL
+  SELECT o.user_id, o.product_id, o.n, o.event_id, o.price,
+         CASE WHEN coalesce(o.ts_ms - w.since < 604800000, false) THEN w.since WHEN o.own IS NOT NULL THEN o.ts_ms END,
+         CASE WHEN coalesce(o.ts_ms - w.since < 604800000, false) THEN w.kept ELSE o.own END,
+         coalesce(o.ts_ms - w.since < 604800000, false)
+  FROM walk w JOIN ordered o ON o.user_id = w.user_id AND o.product_id IS NOT DISTINCT FROM w.product_id AND o.n = w.n + 1
+)
+SELECT event_id, product_id, since AS cached_at_ms, cached, kept IS NULL AS failed, coalesce(kept, 0.5) AS score,
+       CASE WHEN kept IS NULL THEN 3000.0 WHEN cached THEN 0.1 ELSE price END AS latency_ms
+FROM walk
+"""
+
+
+def _entry_requests(spark, folder):
+    """Requests whose score is their own price; those of errors fail, and some have no product."""
+    return behaviour(spark, folder, with_catalog=False).select(
+        "event_id", "user_id", F.when(F.pmod("event_id", F.lit(11)) != 0, F.col("product_id")).alias("product_id"),
+        "ts_ms", "price", F.when(F.col("event_type") != "error", F.col("price")).alias("own"),
+    )
+
+
+@query("r5_stored_scores", f"""
+WITH RECURSIVE asked AS (
+  SELECT event_id, user_id, CASE WHEN event_id % 11 <> 0 THEN product_id END AS product_id, ts_ms, price,
+         CASE WHEN event_type <> 'error' THEN price END AS own FROM ev),
+{ENTRY_WALK_SQL}
+""")
+def r5_stored_scores(spark, folder):
+    scored = score_with_cache(_entry_requests(spark, folder), F.col("own"), F.col("price"), 7 * DAY_MS)
+    return with_failure_default(scored).select(
+        "event_id", "product_id", "cached_at_ms", "cached", "failed", "score", "latency_ms")
 
 
 @query("x8_request_batches", f"""
-SELECT event_id, user_id, product_id, {PAIR_SCORE_SQL} AS score, false AS failed FROM ev
+WITH placed AS (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 32 AS batch_id FROM ev),
+scored AS (SELECT *, count(*) OVER w AS batch_rows, bool_or(event_id % 700 = 0) OVER w AS failed
+           FROM placed WINDOW w AS (PARTITION BY batch_id))
+SELECT event_id, batch_id, batch_rows, failed, CASE WHEN failed THEN 0.5 ELSE {PAIR_SCORE_SQL} END AS score FROM scored
 """)
 def x8_request_batches(spark, folder):
-    requests = behaviour(spark, folder, with_catalog=False).select("event_id", "user_id", "product_id")
-    return score_in_batches(requests, _predict)
+    # Every seven hundredth request makes its batch fail.
+    requests = behaviour(spark, folder, with_catalog=False).select(
+        "event_id", F.when(F.pmod("event_id", F.lit(700)) != 0, pair_score(F.col("user_id"), F.col("product_id"))).alias("score"))
+    return failed_batches(request_batches(requests)).select("event_id", "batch_id", "batch_rows", "failed", "score")
 
 
 @query("r7_model_scores", """
@@ -436,6 +473,5 @@ def r7_model_scores(spark, folder):
         (F.avg(F.when(F.col("_zero"), F.col("x").cast("double")))
          - F.avg(F.when(~F.col("_zero"), F.col("x").cast("double")))).alias("w")
     )
-    model = linear_model([row["w"] for row in weights.orderBy("i").collect()])
-    scored = score_with_model(vectors, model, "embedding")
+    scored = score_with_weights(vectors, weights, "embedding")
     return scored.select("vec_id", F.round("prediction", 3).alias("prediction"))

@@ -5,25 +5,47 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.keys import pair_score
+from ..operators.activity import last_seen
 from ..operators.late import DISCARDED, MODERATE, ON_TIME, VERY_LATE
 from ..operators.ordered import DAY_MS, HOUR_MS
+from ..operators.scoring import PAIR
 from ..session import prepare_streaming, shared_folder
 from ..sources.files import stream_events
-from ..sources.tables import SCHEMAS, as_behaviour
+from ..sources.tables import EVENT_COLUMNS, SCHEMAS, as_behaviour, catalog, table, with_products
 from ..streaming.processors import (
     ACTIVITY_OUTPUT, LATE_OUTPUT, PROFILE_OUTPUT, SCORE_OUTPUT, SESSION_OUTPUT, CachedScores, CappedSessions,
     LateClasses, MergedProfiles, TrailingActivity, keyed,
 )
-from ..streaming.runners import profile_stream, start_split, start_table
+from ..streaming.runners import profile_stream, run_restarting, start_clean_csv, start_split, start_table
 from .aggregate_queries import ACTIVITY_SQL, PROFILES_SQL, SESSION_SQL, _activity
-from .inputs import ARRIVALS_SQL, SHARDS
-from .recommend_queries import CACHE_WALK_SQL, PAIR_SCORE_SQL
+from .inputs import ARRIVALS_SQL, FAULTY_SQL, arrivals, faulty_rows
+from .recommend_queries import CACHE_WALK_SQL, ENTRY_WALK_SQL, PAIR_SCORE_SQL
 from .registry import query
 
 
-def _stream(spark, folder):
-    """The event table as a stream of behaviour events without catalog columns."""
-    return as_behaviour(stream_events(prepare_streaming(spark), folder, SCHEMAS["events"]))
+FILES = 4
+ONE_FILE = {"maxFilesPerTrigger": "1"}
+
+
+def _in_files(spark, rows, order, purpose):
+    """Rows as a folder of ``FILES`` files by ``order``, each shuffled inside; a stream takes one per micro-batch."""
+    path = shared_folder(spark, purpose)
+    bounds = rows.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
+    width = (bounds["high"] - bounds["low"]) // FILES + 1
+    part = F.floor((F.col(order) - bounds["low"]) / width)
+    for i in range(FILES):
+        some = rows.where(part == i).repartition(1).sortWithinPartitions(F.xxhash64("event_id"))
+        some.write.mode("append").parquet(path)
+    return path
+
+
+def _stream(spark, folder, with_catalog=False):
+    """The event table in several files as a stream of behaviour events, with catalog columns if asked for."""
+    prepare_streaming(spark)
+    rows = table(spark, folder, "events").withColumn("_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    path = _in_files(spark, rows, "_ms", "event-files")
+    events = as_behaviour(stream_events(spark, path, SCHEMAS["events"], ONE_FILE))
+    return with_products(events, catalog(spark, folder)) if with_catalog else events
 
 
 def _finished(spark, stream, name, start=start_table, **options):
@@ -34,13 +56,15 @@ def _finished(spark, stream, name, start=start_table, **options):
 
 @query("x2_stream_windows", f"""
 WITH {PROFILES_SQL}
-SELECT user_id, window_start_ms, len(viewed) AS viewed, len(bought) AS purchased, last_activity_ms
+SELECT user_id, window_start_ms, len(viewed) AS viewed, len(bought) AS purchased, array_to_string(liked, ',') AS categories,
+       last_activity_ms
 FROM profiles WHERE window_start_ms + 600000 <= (SELECT max(ts_ms) FROM ev) - 5000
 """)
 def x2_stream_windows(spark, folder):
-    return _finished(spark, profile_stream(_stream(spark, folder)), "windows").select(
+    return _finished(spark, profile_stream(_stream(spark, folder, with_catalog=True)), "windows").select(
         "user_id", "window_start_ms", F.size("viewed_products").cast("long").alias("viewed"),
-        F.size("purchased_products").cast("long").alias("purchased"), "last_activity_ms",
+        F.size("purchased_products").cast("long").alias("purchased"),
+        F.array_join(F.array_sort("categories_preferred"), ",").alias("categories"), "last_activity_ms",
     )
 
 
@@ -49,10 +73,10 @@ WITH {ARRIVALS_SQL}
 SELECT event_id, shard, watermark_ms, delay_seconds, late_class FROM classified
 """)
 def x3_stream_late_classes(spark, folder):
-    arrived = _stream(spark, folder).select(
-        "event_id", "ts_ms", (F.col("ts_ms") + F.pmod(F.col("event_id") * 7919, F.lit(2_400_000))).alias("arrival_ms"),
-        F.pmod(F.col("user_id").cast("long"), F.lit(SHARDS)).alias("shard"),
-    )
+    prepare_streaming(spark)
+    rows = arrivals(spark, folder).select("event_id", "ts_ms", "arrival_ms", "shard")
+    path = _in_files(spark, rows, "arrival_ms", "arrivals")
+    arrived = stream_events(spark, path, rows.schema, ONE_FILE)
     classified = keyed(arrived, "shard", LateClasses(), LATE_OUTPUT)
     base = shared_folder(spark, "late")
     classes = (ON_TIME, MODERATE, VERY_LATE, DISCARDED)
@@ -66,15 +90,16 @@ def x3_stream_late_classes(spark, folder):
 
 @query("x4_stream_sessions", f"""
 WITH RECURSIVE {SESSION_SQL}
-SELECT user_id, start_time, last_update, duration_ms, event_count, unique_products FROM sessions WHERE closed
+SELECT user_id, start_time, last_update, duration_ms, event_count, unique_products, unique_categories
+FROM sessions WHERE closed
 """)
 def x4_stream_sessions(spark, folder):
-    events = _stream(spark, folder).select(
-        "event_id", "user_id", "ts_ms", "product_id", F.lit(None).cast("string").alias("category_id")
+    events = _stream(spark, folder, with_catalog=True).select(
+        "event_id", "user_id", "ts_ms", "product_id", F.col("category_code").alias("category_id")
     )
     closed = keyed(events, "user_id", CappedSessions(), SESSION_OUTPUT)
     return _finished(spark, closed, "sessions").select(
-        "user_id", "start_time", "last_update", "duration_ms", "event_count", "unique_products"
+        "user_id", "start_time", "last_update", "duration_ms", "event_count", "unique_products", "unique_categories"
     )
 
 
@@ -102,9 +127,10 @@ SELECT user_id, window_start_ms, generated_at_ms, generated_at_ms <> window_star
 """)
 def x6_stream_profiles(spark, folder):
     # Two queries in a row: closed windows first, then the keyed profiles over that table.
-    windows = _finished(spark, profile_stream(_stream(spark, folder)), "profile-windows")
-    base = windows.inputFiles()[0].split("/rows/")[0]
-    again = spark.readStream.schema(windows.schema).parquet(f"{base}/rows")
+    closed = profile_stream(_stream(spark, folder))
+    base = shared_folder(spark, "profile-windows")
+    start_table(closed, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    again = spark.readStream.schema(closed.schema).parquet(f"{base}/rows")
     merged = keyed(again, "user_id", MergedProfiles(6 * HOUR_MS), PROFILE_OUTPUT)
     return _finished(spark, merged, "profiles").select(
         "user_id", "window_start_ms", "generated_at_ms", "reused", "session_count"
@@ -120,4 +146,56 @@ def r5_stream_scores(spark, folder):
         "event_id", "user_id", "product_id", "ts_ms",
         pair_score(F.col("user_id"), F.col("product_id")).alias("score"),
     )
-    return _finished(spark, keyed(requests, "user_id", CachedScores(7 * DAY_MS), SCORE_OUTPUT), "scores")
+    return _finished(spark, keyed(requests, PAIR, CachedScores(7 * DAY_MS), SCORE_OUTPUT), "scores")
+
+
+@query("r5_stream_stored_scores", f"""
+WITH RECURSIVE asked AS (
+  SELECT event_id, user_id, CASE WHEN event_id % 11 <> 0 THEN product_id END AS product_id, ts_ms, price,
+         CASE WHEN event_type <> 'error' THEN price END AS own FROM ev),
+answered AS (WITH RECURSIVE {ENTRY_WALK_SQL})
+SELECT event_id, product_id, cached_at_ms, cached, CASE WHEN NOT failed THEN score END AS score FROM answered
+""")
+def r5_stream_stored_scores(spark, folder):
+    requests = _stream(spark, folder).select(
+        "event_id", "user_id", F.when(F.pmod("event_id", F.lit(11)) != 0, F.col("product_id")).alias("product_id"),
+        "ts_ms", F.when(F.col("event_type") != "error", F.col("price")).alias("score"),
+    )
+    return _finished(spark, keyed(requests, PAIR, CachedScores(7 * DAY_MS), SCORE_OUTPUT), "stored-scores").select(
+        "event_id", "product_id", "cached_at_ms", "cached", "score")
+
+
+@query("x5_stream_last_seen", "SELECT user_id, max(ts_ms) AS last_timestamp_ms FROM ev GROUP BY 1")
+def x5_stream_last_seen(spark, folder):
+    # Update mode: every micro-batch writes the users it touched; the newest row of a user is the state.
+    base = shared_folder(spark, "last-seen")
+    start_table(last_seen(_stream(spark, folder)), f"{base}/rows", f"{base}/checkpoint", mode="update").awaitTermination()
+    rows = spark.read.schema("user_id string, last_timestamp_ms long, batch_id long").parquet(f"{base}/rows")
+    return rows.groupBy("user_id").agg(F.max_by("last_timestamp_ms", "batch_id").alias("last_timestamp_ms"))
+
+
+@query("s5_clean_stream", f"""
+WITH {FAULTY_SQL}
+SELECT event_id AS event_number, event_type, user_id, error IS NULL AS clean, error FROM raw
+""")
+def s5_clean_stream(spark, folder):
+    """CSV files through the runner, stopped after some files, resumed, and both sinks read back."""
+    prepare_streaming(spark)
+    base = shared_folder(spark, "clean-stream")
+    rows = faulty_rows(spark, folder).withColumn("product_id", F.col("event_id").cast("string"))
+    write = lambda part: rows.where(F.pmod("event_id", F.lit(4)) == part).select(*EVENT_COLUMNS).write.mode(
+        "append").option("header", "true").option("escape", '"').csv(f"{base}/source")
+    start = lambda: start_clean_csv(
+        spark, f"{base}/source", f"{base}/clean", f"{base}/rejected", f"{base}/checkpoint", per_trigger=ONE_FILE)
+    for parts in ((0, 1), (2, 3)):  # the second run goes on where the first one ended
+        for part in parts:
+            write(part)
+        run_restarting(start)
+    read = lambda name, extra: spark.read.schema(
+        ", ".join(f"{c} string" for c in [*EVENT_COLUMNS, *extra])).option("header", "true").option("escape", '"').csv(
+        f"{base}/{name}/batch_id=*")
+    clean = read("clean", []).withColumn("error", F.lit(None).cast("string"))
+    both = clean.unionByName(read("rejected", ["error"]))
+    return both.select(
+        F.col("product_id").cast("long").alias("event_number"), "event_type", F.coalesce("user_id", F.lit("")).alias("user_id"),
+        F.col("error").isNull().alias("clean"), "error")

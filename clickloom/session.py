@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +11,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Sets per user and window are small, so a task may hold many groups (about a kilobyte each) before it sorts.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 STREAM_CONF = {
@@ -39,18 +35,12 @@ def prepare_streaming(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="clickloom-")
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder path below ``spark.checkpoint.dir``; a local one only where local mode leaves it unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
-        base = _local_folder()
+    """A new folder path below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
+
+    Driver and executors reach both of them, on any kind of cluster.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/clickloom"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

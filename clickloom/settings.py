@@ -17,6 +17,7 @@ class Topics:
 class Broker:
     bootstrap_servers: str = "localhost:9092"
     consumer_group: str = "flink-recommendation-group"
+    max_records_per_trigger: int = 5_000_000
     topics: Topics = field(default_factory=Topics)
 
 

@@ -65,6 +65,7 @@ def stream_topic(spark: SparkSession, settings: Settings) -> DataFrame:
         prepare(spark).readStream.format("kafka")
         .option("kafka.bootstrap.servers", settings.kafka.bootstrap_servers)
         .option("subscribe", settings.kafka.topics.input)
+        .option("maxOffsetsPerTrigger", settings.kafka.max_records_per_trigger)
         .load()
     )
 
@@ -75,13 +76,10 @@ def stream_json_files(spark: SparkSession, path: str, per_trigger: dict | None =
 
 
 def stream_events(
-    spark: SparkSession, folder: str, schema: T.StructType | str, per_trigger: dict | None = None,
-    pattern: str = "events.parquet",
+    spark: SparkSession, path: str, schema: T.StructType | str, per_trigger: dict | None = None,
 ) -> DataFrame:
-    return (
-        prepare(spark).readStream.schema(schema).option("pathGlobFilter", pattern)
-        .options(**(per_trigger or PER_TRIGGER)).parquet(folder)
-    )
+    """The event table at ``path`` as a stream, be it one file or a folder of part files."""
+    return prepare(spark).readStream.schema(schema).options(**(per_trigger or PER_TRIGGER)).parquet(path)
 
 
 def first_rows(df: DataFrame, order: list[Column], count: int, price: str = "price") -> DataFrame:

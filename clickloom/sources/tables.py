@@ -73,7 +73,9 @@ def behaviour(spark: SparkSession, folder: str, with_catalog: bool = True) -> Da
     it the skew join splits the partitions of hot products.
     """
     events = as_behaviour(table(spark, folder, "events"))
-    if not with_catalog:
-        return events
-    products = catalog(spark, folder).select("product_id", "category_code", "brand", "product_name")
-    return events.join(products, "product_id", "left")
+    return with_products(events, catalog(spark, folder)) if with_catalog else events
+
+
+def with_products(events: DataFrame, products: DataFrame) -> DataFrame:
+    """Events, or a stream of them, with the catalog columns of their products."""
+    return events.join(products.select("product_id", "category_code", "brand", "product_name"), "product_id", "left")

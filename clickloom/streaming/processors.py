@@ -1,9 +1,13 @@
 """Keyed state for streams: late classes (X3), sessions (X4), trailing activity (W1), profiles and lists (X6),
 cached scores (J4).
 
-Rows of a key are handled in arrival order. Spark hands over the rows of one key in one micro-batch, whose
-size the source limits; the state of a key is bounded by the cap, the frame or the lifetime it serves.
-Lifetimes (X7) compare stored times with event times, so a finite run ends and a replay gives the same rows.
+Micro-batches are handled in the order they arrive, and the rows of a key inside one by time (late classes: by
+arrival), so sources that are in order up to the size of a micro-batch give the same rows however they are cut; older rows
+that come in a later micro-batch are held against the state as it is then. Spark hands over the rows of one key in one
+micro-batch, whose size the source limits; the state of a key is bounded by the cap, the frame or the lifetime it serves.
+With a lifetime (X7: ``SESSION_STATE_MS`` and its like as ``state_ms``) a key that stops arriving leaves the state by the
+clock. Such a query looks at the clock again and again, so it is one that runs on; a run over what is there, which ends,
+has no lifetime, and compares stored times with event times where that is asked for.
 """
 
 from __future__ import annotations
@@ -78,14 +82,15 @@ LATE_OUTPUT = (
 class CappedSessions(StatefulProcessor):
     """X4 per user: the open session in one value, the starts and durations of the last ten in a list."""
 
-    def __init__(self, cap_ms: int = CAP_MS, lifetime_ms: int | None = None):
-        self.cap, self.lifetime = cap_ms, lifetime_ms
+    def __init__(self, cap_ms: int = CAP_MS, lifetime_ms: int | None = None, state_ms: int | None = None):
+        self.cap, self.lifetime, self.state_ms = cap_ms, lifetime_ms, state_ms
 
     def init(self, handle) -> None:
         self.open = handle.getValueState(
-            "open", "start long, last long, times array<long>, products array<string>, categories array<string>"
+            "open", "start long, last long, times array<long>, products array<string>, categories array<string>",
+            self.state_ms,
         )
-        self.history = handle.getListState("history", "start long, duration long")
+        self.history = handle.getListState("history", "start long, duration long", self.state_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         frame = _in_order(rows, ["ts_ms", "event_id"])
@@ -102,7 +107,9 @@ class CappedSessions(StatefulProcessor):
             if current is None:
                 current = [ts, ts, [], set(), set()]
             current[1] = ts
-            current[2] = [*current[2], ts][-KEPT_EVENTS:]
+            current[2].append(ts)
+            if len(current[2]) > KEPT_EVENTS:
+                del current[2][0]
             if product is not None:
                 current[3].add(product)
             if category is not None:
@@ -141,11 +148,11 @@ SESSION_OUTPUT = (
 class TrailingActivity(StatefulProcessor):
     """W1 per user: the events of the trailing frame are the state; each arrival drops what is too old for it."""
 
-    def __init__(self, width_ms: int = 60_000):
-        self.width = width_ms
+    def __init__(self, width_ms: int = 60_000, state_ms: int | None = None):
+        self.width, self.state_ms = width_ms, state_ms
 
     def init(self, handle) -> None:
-        self.recent = handle.getValueState("recent", "times array<long>, kinds array<string>")
+        self.recent = handle.getValueState("recent", "times array<long>, kinds array<string>", self.state_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         frame = _in_order(rows, ["ts_ms", "event_id"])
@@ -247,35 +254,42 @@ PROFILE_OUTPUT = (
 
 
 class CachedScores(StatefulProcessor):
-    """J4/R5 per user: scores by product with the time they were made; expired ones leave the state."""
+    """J4/R5 per user and product: the stored score and when it was made. A request without a score stores nothing."""
 
-    def __init__(self, ttl_ms: int = CACHE_MS):
-        self.ttl = ttl_ms
+    def __init__(self, ttl_ms: int = CACHE_MS, state_ms: int | None = None):
+        self.ttl, self.state_ms = ttl_ms, state_ms
 
     def init(self, handle) -> None:
-        self.scores = handle.getMapState("scores", "product string", "score double, at long")
+        self.entry = handle.getValueState("entry", "score double, at long", self.state_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         frame = _in_order(rows, ["ts_ms", "event_id"])
-        cached, scores, made = [], [], []
-        for ts, product, score in zip(
-            frame["ts_ms"].tolist(), frame["product_id"].tolist(), frame["score"].tolist()
-        ):
-            entry = self.scores.getValue((product,)) if self.scores.containsKey((product,)) else None
-            hit = entry is not None and ts - entry[1] < self.ttl
-            if not hit:
-                entry = (score, ts)
-                self.scores.updateValue((product,), entry)
-            cached.append(hit)
-            scores.append(entry[0])
-            made.append(entry[1])
-        latest = int(frame["ts_ms"].max())
-        for name in [k for k, v in self.scores.iterator() if latest - v[1] >= self.ttl]:
-            self.scores.removeKey(name)
-        yield pd.DataFrame({
-            "event_id": frame["event_id"], "user_id": key[0], "product_id": frame["product_id"],
-            "score": scores, "cached": cached, "cached_at_ms": made,
-        })
+        times = frame["ts_ms"].to_numpy(np.int64)
+        own = frame["score"].to_numpy(np.float64, na_value=np.nan)
+        able = np.flatnonzero(~np.isnan(own))
+        stored = self.entry.get() if self.entry.exists() else None
+        cached, scores = np.zeros(len(times), bool), np.full(len(times), np.nan)
+        made = np.full(len(times), -1)
+        at = 0
+        while at < len(times):  # once for each entry that the batch meets, not for each row
+            if stored is not None and times[at] - stored[1] < self.ttl:
+                end = int(np.searchsorted(times, stored[1] + self.ttl))
+                cached[at:end], scores[at:end], made[at:end] = True, stored[0], stored[1]
+                at = end
+                continue
+            here = np.searchsorted(able, at)
+            if here == len(able):
+                break
+            at = int(able[here])
+            stored = (float(own[at]), int(times[at]))
+            scores[at], made[at] = stored
+            at += 1
+        if stored is not None:
+            self.entry.update(stored)
+        out = frame[["event_id", "user_id", "product_id"]].assign(
+            score=pd.array(np.where(made < 0, 0, scores), "Float64"), cached=cached, cached_at_ms=pd.array(made, "Int64"))
+        out.loc[made < 0, ["score", "cached_at_ms"]] = pd.NA
+        yield out
 
     def close(self) -> None:
         pass
@@ -284,7 +298,9 @@ class CachedScores(StatefulProcessor):
 SCORE_OUTPUT = "event_id long, user_id string, product_id string, score double, cached boolean, cached_at_ms long"
 
 
-def keyed(df: DataFrame, key: str, processor: StatefulProcessor, output: str) -> DataFrame:
-    return df.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="None"
+def keyed(df: DataFrame, key: str | list[str], processor: StatefulProcessor, output: str) -> DataFrame:
+    keys = [key] if isinstance(key, str) else key
+    clock = "ProcessingTime" if getattr(processor, "state_ms", None) else "None"
+    return df.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=clock
     )

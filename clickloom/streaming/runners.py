@@ -6,29 +6,26 @@ that are repeated overwrite their own folders.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.activity import counts_by, top_by_count
 from ..operators.drift import batch_overview, drift_parts, drift_totals
 from ..operators.intake import dead_letters, valid_rows, with_error
 from ..operators.profiles import PROFILE_LIMIT, window_profiles
 from ..operators.recommend import (
     CACHE_LIST_MS, FALLBACK_LIMIT, cold_start, enrich, filter_and_rank, personalized,
 )
-from ..session import prepare_streaming
+from ..session import prepare_streaming, stored
 from ..settings import Settings
 from ..sources.files import stream_raw_csv
 from ..sources.sinks import as_json, with_retries, write_batch_csv, write_batch_parquet
 from ..sources.tables import EVENT_COLUMNS
 from .processors import PROFILE_OUTPUT, MergedProfiles, keyed
 
-log = logging.getLogger(__name__)
-
-
 def start_batches(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *,
     mode: str = "append", interval: str | None = None,
@@ -116,21 +113,36 @@ def start_split(
 
 def start_drift_monitor(
     events: DataFrame, numeric: DataFrame, categorical: DataFrame, history: str, checkpoint: str, *,
-    now: Column | None = None, max_batch_rows: int | None = None, **options,
+    now: Column | None = None, **options,
 ) -> StreamingQuery:
-    """Drift, price figures and late rows of every micro-batch, appended to a history table."""
+    """Figures of every micro-batch, appended to a history table.
+
+    Drift, prices, late rows, counts by event type and of the most frequent categories, the time, and the rows processed
+    so far, which are those of the batches before it in the table; a batch that is repeated gives the same total.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
         try:
             keys = ["batch_id"]
-            parts = drift_parts(batch, numeric, categorical, keys, max_batch_rows)
+            parts = drift_parts(batch, numeric, categorical, keys)
             overview = batch_overview(batch, keys, now).select(
                 "batch_id", "late_events", "mean", "std", "min", "max", "count", "last_event"
             )
-            write_batch_parquet(
-                drift_totals(parts, keys).join(overview, "batch_id").drop("batch_id"), history, batch_id
-            )
+            counts = batch.select("batch_id").distinct()
+            for name, counted in (
+                ("event_types", counts_by(batch, keys, "event_type").withColumnRenamed("event_type", "value")),
+                ("categories", top_by_count(batch, "category_code", keys=keys).withColumnRenamed("category_code", "value")),
+            ):
+                listed = F.sort_array(F.collect_list(F.struct("value", "events")))
+                counts = counts.join(counted.groupBy("batch_id").agg(listed.alias(name)), "batch_id", "left")
+            before = 0
+            if batch_id:
+                known = batch.sparkSession.read.option("mergeSchema", "false").parquet(history)
+                before = known.where(F.col("batch_id") < batch_id).agg(F.sum("batch_size")).first()[0] or 0
+            row = drift_totals(parts, keys).join(overview, "batch_id").join(counts, "batch_id").select(
+                "*", F.current_timestamp().alias("timestamp"), (F.col("batch_size") + before).alias("processed_total"))
+            write_batch_parquet(row.drop("batch_id"), history, batch_id)
         finally:
             batch.unpersist()
 
@@ -150,7 +162,8 @@ def lists_for_profiles(
 ) -> DataFrame:
     """R1-R3, T1, J1 for profiles that each name their route: the ranked list of every profile.
 
-    ``ranked`` comes from ``ranked_products``, ``generic`` from ``cold_start_products``.
+    ``ranked`` comes from ``ranked_products``, ``generic`` from ``cold_start_products``. A profile for which no list can
+    be made gets the fallback list.
     """
     # A user may have several profiles, so the operators work on a key of user and window.
     keyed_profiles = profiles.withColumn("_user", F.col("user_id")).withColumn(
@@ -169,6 +182,9 @@ def lists_for_profiles(
     made = cold.unionByName(personalized(interests, bought, ranked, PROFILE_LIMIT))
     options = settings.recommendation
     best = filter_and_rank(made, min_score=options.min_score, max_count=options.max_count)
+    without = keyed_profiles.select("user_id").join(best.select("user_id").distinct(), "user_id", "left_anti")
+    fallback = cold_start(without, generic, "fallback").where(F.col("position") < FALLBACK_LIMIT)
+    best = best.unionByName(filter_and_rank(fallback, min_score=0.0, max_count=FALLBACK_LIMIT))
     named = best.join(
         keyed_profiles.select("user_id", "_user", "window_start_ms", "generated_at_ms"), "user_id"
     ).drop("user_id", "position").withColumnRenamed("_user", "user_id")
@@ -181,9 +197,11 @@ def start_recommendations(
 ) -> StreamingQuery:
     """Profiles of closed windows, their merge per user (X6), and a list per profile as JSON.
 
-    A list that is still young is made again from the same stored profile, which gives the same list. When
-    the lists of a batch cannot be made, its users get the fallback list.
+    A list that is still young is made again from the same stored profile, which gives the same list. The ranked and the
+    generic products are stored once when the query starts, so micro-batches read a table and not the history of events.
+    A batch that fails ends the query, which then repeats it.
     """
+    ranked, generic = stored(ranked, "ranked"), stored(generic, "generic")
     merged = keyed(profile_stream(events, settings), "user_id", MergedProfiles(list_ms), PROFILE_OUTPUT)
 
     def write_json(df: DataFrame, batch_id: int) -> None:
@@ -192,12 +210,7 @@ def start_recommendations(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            try:
-                write_json(lists_for_profiles(batch, products, ranked, generic, settings), batch_id)
-            except Exception as error:  # noqa: BLE001 - whatever stops the lists
-                log.error("no lists for batch %d: %s", batch_id, error)
-                fallback = cold_start(batch.select("user_id").distinct(), generic, "fallback")
-                write_json(fallback.where(F.col("position") < FALLBACK_LIMIT), batch_id)
+            write_json(lists_for_profiles(batch, products, ranked, generic, settings), batch_id)
         finally:
             batch.unpersist()
 
