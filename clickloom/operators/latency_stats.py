@@ -71,30 +71,31 @@ def _with_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def load_stats(samples: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """A9 over all rows; every percentile is exact and found without sorting a whole group."""
+    """A9 over all rows; every percentile is exact and found without sorting a whole group.
+
+    One pass gives the totals and the bound of outliers, which the same rows are then held against.
+    """
     keys = list(keys)
-    ok = samples.where("ok")
     x = F.col("latency_ms")
-    bound = F.avg(x) + OUTLIER_STDS * F.stddev_pop(x)
-    stats = ok.groupBy(*keys).agg(
-        F.when(F.min(x) < bound, bound).otherwise(F.lit(float("inf"))).alias("_bound"),
+    answered = F.when(F.col("ok"), x)
+    bound = F.avg(answered) + OUTLIER_STDS * F.stddev_pop(answered)
+    totals = samples.groupBy(*keys).agg(
+        F.count("*").alias("total_requests"), F.count_if(F.col("ok")).alias("successful_requests"),
+        F.sum(answered).alias("_sum"),
+        F.when(F.min(answered) < bound, bound).otherwise(F.lit(float("inf"))).alias("_bound"),
     )
-    kept = _with_stats(ok.select(*keys, "latency_ms"), stats, keys).where(x < F.col("_bound"))
+    kept = _with_stats(samples.where("ok").select(*keys, "latency_ms"), totals, keys).where(x < F.col("_bound"))
     figures = kept.groupBy(*keys).agg(
         F.avg(x).alias("mean_ms"), F.min(x).alias("min_ms"), F.max(x).alias("max_ms"),
         F.stddev_pop(x).alias("std_ms"),
     )
     spread = percentile_columns(exact_percentiles(kept, keys, x, list(LOAD_PERCENTILES)), keys, LOAD_PERCENTILES).drop("rows")
-    totals = samples.groupBy(*keys).agg(
-        F.count("*").alias("total_requests"), F.count_if(F.col("ok")).alias("successful_requests"),
-        F.sum(F.when(F.col("ok"), x)).alias("_sum"),
-    )
     joined = _with_stats(_with_stats(figures, spread, keys), totals, keys)
     return joined.withColumn(
         "throughput_rps", ratio(F.col("successful_requests"), F.col("_sum") / 1000.0)
     ).withColumn(
         "error_rate", (F.col("total_requests") - F.col("successful_requests")) / F.col("total_requests")
-    ).drop("_sum")
+    ).drop("_sum", "_bound")
 
 
 def sla_stats(samples: DataFrame, limit_ms: float = SLA_MS) -> DataFrame:

@@ -103,7 +103,7 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer
 def r2_cold_start(spark, folder):
     events = behaviour(spark, folder, with_catalog=False)
     users = table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
-    new_users = users.join(events, "user_id", "left_anti")
+    new_users = users.join(events.select("user_id").distinct(), "user_id", "left_anti")
     return cold_start(new_users, cold_start_list(events, latest_ms(events), 20))
 
 
