@@ -78,8 +78,13 @@ def stream_json_files(spark: SparkSession, path: str, per_trigger: dict | None =
 def stream_events(
     spark: SparkSession, path: str, schema: T.StructType | str, per_trigger: dict | None = None,
 ) -> DataFrame:
-    """The event table at ``path`` as a stream, be it one file or a folder of part files."""
-    return prepare(spark).readStream.schema(schema).options(**(per_trigger or PER_TRIGGER)).parquet(path)
+    """The event table at ``path`` as a stream, be it one file or a folder of part files.
+
+    A stream takes a plain path for a folder, so the path is written as a pattern that only it matches.
+    """
+    path = path.rstrip("/")
+    only = f"{path[:-1]}[{path[-1]}]"
+    return prepare(spark).readStream.schema(schema).options(**(per_trigger or PER_TRIGGER)).parquet(only)
 
 
 def first_rows(df: DataFrame, order: list[Column], count: int, price: str = "price") -> DataFrame:

@@ -313,3 +313,16 @@ def test_state_with_a_lifetime(spark, tmp_path):
             writer.format("parquet").start(f"{base}/rows").awaitTermination()
             time.sleep(wait)
         assert spark.read.schema(closed.schema).parquet(f"{base}/rows").count() == sessions
+
+
+def test_event_stream_of_one_file_and_of_a_folder(spark, tmp_path):
+    from clickloom.sources.files import stream_events
+    from clickloom.sources.tables import SCHEMAS
+    from clickloom.streaming.runners import start_table
+
+    events = table(spark, SMALL, "events")
+    events.repartition(7).write.parquet(f"{tmp_path}/events.parquet")
+    for i, path in enumerate((f"{SMALL}/events.parquet", f"{tmp_path}/events.parquet")):
+        stream = stream_events(spark, path, SCHEMAS["events"], ONE_FILE)
+        start_table(stream, f"{tmp_path}/{i}/rows", f"{tmp_path}/{i}/checkpoint").awaitTermination()
+        assert spark.read.parquet(f"{tmp_path}/{i}/rows").count() == events.count()
