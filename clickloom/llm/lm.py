@@ -2,12 +2,14 @@
 
 Learning: tasks cut training texts into tokens (lower-cased words and an end mark) and count pairs of a token and the one before it.
 Counts of a stretch of text go to buckets by hash; a bucket adds them up and enters each pair with a count of c into its
-slice of the filter 1 + floor(log2 c) times, once for each level. The filter has a fixed size at most, so it may be broadcast. Buckets also give the
-number of training tokens and of distinct ones.
-
-Scoring: exact counts of single tokens are fetched for each chunk of documents through the same kind of buckets, not
-broadcast. The level of a pair is found by repeated membership probes, level after level until one is missing, which can only
-overstate it; the counts of its two tokens bound it from above. With c(h, w) from the level, P1 the smoothed share of a single token
+slice of the filter 1 + floor(log2 c) times, once for each level. A slice has the size that its counted entries need, and the
+number of buckets grows with the text, so the filter grows with the corpus and no task or driver holds more than a slice.
+Buckets also give the number of training tokens and of distinct ones.
+
+Scoring: a chunk of documents sends its distinct tokens and pairs to the same buckets. They give back the exact counts of the
+tokens and the levels of the pairs; nothing is broadcast. The level of a pair is found by repeated membership probes, level
+after level until one is missing or the top level of the slice is reached, which can only overstate it; the counts of its two
+tokens bound it from above. With c(h, w) from the level, P1 the smoothed share of a single token
 and T = c(h) ** ``novelty`` as the expected number of distinct successors,
 
     P(w | h) = (c(h, w) + T * P1(w)) / (c(h) + T),   P1(w) = (c(w) + 1) / (N + V + 1),
@@ -22,11 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bucket_count, chunked, pack, slices, text_bytes, unpack
+from .tables import bucket_count, chunked, pack, slices, stored, text_bytes, unpack
 from .words import blocks, find_words, lowered, mix, text_buffer
 
 END = np.uint64(0x517CC1B727220A95)  # token of the end of a text
@@ -34,14 +35,13 @@ START = np.uint64(0x2545F4914F6CDD1D)  # what the first token follows
 PAIR = np.uint64(0xD6E8FEB86659FD93)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
-PARTS = 256  # of the filter, each of 512 bits at least
+PARTS = 256  # slices of the filter at least, each of 512 bits at least
 STRETCH = 1_500_000  # tokens counted together before they are sent
 
 
 @dataclass(frozen=True)
 class Settings:
-    max_bytes: int = 64 * 1024 * 1024  # of the filter, at any size of the corpus
-    bits_per_pair: int = 10
+    bits_per_pair: int = 10  # for each level that it is entered at
     probes: int = 5
     novelty: float = 0.8
 
@@ -77,15 +77,9 @@ def pair_keys(before: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 
 def places(keys: np.ndarray, level: int, bits: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word of the filter, mask) of each probe: leading bits choose the 512-bit line, further ones the bits in it.
-
-    A pair keeps to the part of the filter that its first eight bits name; the level moves it inside that part.
-    """
-    inner = (bits >> 17).bit_length() - 1  # bits of the number of lines in a part
+    """(word of a slice of the filter, mask) of each probe: a hash of pair and level chooses the 512-bit line and the bits in it."""
     spread = mix(keys + np.uint64(level * int(STEP) % 2**64))
-    line = (keys >> np.uint64(56)) << np.uint64(inner)
-    if inner:
-        line = line | (spread >> np.uint64(64 - inner))
+    line = ((spread >> np.uint64(32)) * np.uint64(bits // 512)) >> np.uint64(32)
     chosen = mix(spread + STEP)
     at = np.stack([(chosen >> np.uint64(9 * i)) & np.uint64(511) for i in range(probes)], axis=1)
     word = (line[:, None] << np.uint64(3)) | (at >> np.uint64(6))
@@ -100,11 +94,11 @@ def _present(words: np.ndarray, keys: np.ndarray, level: int, probes: int) -> np
     return alive
 
 
-def levels(words: np.ndarray, keys: np.ndarray, probes: int) -> np.ndarray:
-    """The largest level up to which every probe of a pair is found."""
+def levels(words: np.ndarray, keys: np.ndarray, probes: int, top: int = 64) -> np.ndarray:
+    """The largest level, ``top`` at most, up to which every probe of a pair is found."""
     out = np.zeros(len(keys), np.int64)
     at, level = np.arange(len(keys)), 1
-    while len(at):
+    while len(at) and level <= top:
         step = np.concatenate([
             _present(words, keys[at[i:i + 200_000]], level, probes) for i in range(0, len(at), 200_000)])
         at = at[step]
@@ -154,59 +148,39 @@ def _summed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.bincount(which, counts, len(keys)).astype(np.int64)
 
 
-def _fill(bits: int, probes: int):
-    """(place, bits, tokens, types, pairs): the words of the filter that the pairs of a bucket set, and token figures."""
-    kinds = {"place": pa.binary(), "bits": pa.binary(), "tokens": pa.int64(), "types": pa.int64(), "pairs": pa.int64()}
+def _fill(settings: Settings):
+    """(bucket, words, top, tokens, types, pairs): the slice of the filter that a bucket owns, its top level, and figures."""
+    kinds = {"bucket": pa.int32(), "words": pa.binary(), "top": pa.int32(), "tokens": pa.int64(), "types": pa.int64(),
+             "pairs": pa.int64()}
 
     def run(rows: pa.Table) -> pa.Table:
         kind = np.array(rows["kind"].to_pylist())
         single, pair = (rows.take(pa.array(np.flatnonzero(kind == k))) for k in (0, 1))
-        counted = types = entered = 0
-        place, value = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        counted = types = entered = most = 0
+        words = np.zeros(0, np.uint64)
         if single.num_rows:
             _, counts = _summed(single)
             counted, types = int(counts.sum()), len(counts)
         if pair.num_rows:
             keys, counts = _summed(pair)
-            entered = len(keys)
             top = np.frexp(counts.astype(np.float64))[1]  # 1 + floor(log2 c)
-            all_places, all_masks = [], []
-            for level in range(1, int(top.max()) + 1):
-                at, mask = places(keys[top >= level], level, bits, probes)
-                all_places.append(at.reshape(-1))
-                all_masks.append(mask.reshape(-1))
-            at, mask = np.concatenate(all_places), np.concatenate(all_masks)
-            order = np.argsort(at, kind="stable")
-            place, first = np.unique(at[order], return_index=True)
-            value = np.bitwise_or.reduceat(mask[order], first)
-        return pa.table({n: pa.array([v], t) for (n, t), v in zip(
-            kinds.items(), (pack(place), pack(value), counted, types, entered), strict=True)})
+            entered, most = len(keys), int(top.max())
+            words = np.zeros(-(-int(top.sum()) * settings.bits_per_pair // 512) * 8, np.uint64)
+            for level in range(1, most + 1):
+                at, mask = places(keys[top >= level], level, len(words) * 64, settings.probes)
+                np.bitwise_or.at(words, at.reshape(-1), mask.reshape(-1))
+        values = (rows["bucket"][0].as_py(), words.tobytes(), most, counted, types, entered)
+        return pa.table({n: pa.array([v], t) for (n, t), v in zip(kinds.items(), values, strict=True)})
 
-    return run, "place binary, bits binary, tokens long, types long, pairs long"
-
-
-def _join_filter(parts: DataFrame, bits: int):
-    """Buckets of one part of the filter put together: (at, words) of a stretch of the filter, and figures."""
-    part_words = bits // 64 // PARTS
-
-    def run(rows: pa.Table) -> pa.Table:
-        base = rows["part"][0].as_py() * part_words
-        words = np.zeros(part_words, np.uint64)
-        for place, value in zip(rows["place"].to_pylist(), rows["bits"].to_pylist(), strict=True):
-            at = unpack(place, np.int64) - base
-            words[at] |= unpack(value, np.uint64)
-        figures = {name: [sum(rows[name].to_pylist())] for name in ("tokens", "types", "pairs")}
-        return pa.table({"at": pa.array([base], pa.int64()), "words": pa.array([words.tobytes()], pa.binary()),
-                         **{n: pa.array(v, pa.int64()) for n, v in figures.items()}})
-
-    return parts.groupBy("part").applyInArrow(run, "at long, words binary, tokens long, types long, pairs long")
+    return run, "bucket int, words binary, top int, tokens long, types long, pairs long"
 
 
 @dataclass
 class Model:
-    """What learning leaves: the broadcast filter and the corpus figures."""
+    """What learning leaves: the slices of the filter and the corpus figures."""
 
-    words: Broadcast
+    slices: DataFrame  # (bucket, words, top), one row for each bucket with training tokens
+    buckets: int
     tokens: int  # N
     types: int  # V
     texts: int
@@ -215,30 +189,16 @@ class Model:
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> Model:
-    """Count the training texts and build the filter. Runs jobs; the driver receives the filter, bounded by ``max_bytes``."""
+    """Count the training texts and write the filter to the shared folder. Runs jobs; the driver receives only figures."""
     wanted = docs.where(~held_out(F.col(doc_id))).select(F.col(text).cast("string").alias("text"))
-    size, texts = text_bytes(wanted)
-    bits = PARTS * 512
-    while bits < size // 7 * settings.bits_per_pair and bits < settings.max_bytes * 8:
-        bits *= 2
-    buckets = bucket_count(size // 7)
+    # Sized by all texts: those held out ask the same buckets.
+    size, texts = docs.agg(F.sum(F.octet_length(text)), F.count_if(~held_out(F.col(doc_id)))).first()
+    buckets = bucket_count((size or 0) // 7, least=PARTS)
     count, schema = _count_pairs(buckets)
-    fill, filled = _fill(bits, settings.probes)
-    per_part = buckets // PARTS
-
-    def fill_bucket(rows: pa.Table) -> pa.Table:
-        out = fill(rows)
-        return out.append_column("part", pa.array([rows["bucket"][0].as_py() // per_part], pa.int32()))
-
-    parts = wanted.mapInArrow(count, schema).groupBy("bucket").applyInArrow(fill_bucket, filled + ", part int")
-    words = np.zeros(bits // 64, np.uint64)
-    n_tokens = n_types = n_pairs = 0
-    for row in _join_filter(parts, bits).toLocalIterator():
-        part = np.frombuffer(row["words"], np.uint64)
-        words[row["at"]:row["at"] + len(part)] |= part
-        n_tokens, n_types, n_pairs = n_tokens + row["tokens"], n_types + row["types"], n_pairs + row["pairs"]
-    shared = docs.sparkSession.sparkContext.broadcast(words.tobytes())
-    return Model(shared, n_tokens, n_types, texts, n_pairs, settings)
+    fill, filled = _fill(settings)
+    found = stored(wanted.mapInArrow(count, schema).groupBy("bucket").applyInArrow(fill, filled), "pair-filter")
+    n_tokens, n_types, n_pairs = (n or 0 for n in found.agg(F.sum("tokens"), F.sum("types"), F.sum("pairs")).first())
+    return Model(found.select("bucket", "words", "top"), buckets, n_tokens, n_types, texts, n_pairs, settings)
 
 
 def _chunk_tokens(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -249,38 +209,59 @@ def _chunk_tokens(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.
     return rows, found, first, keys, which
 
 
+def _chunk_pairs(found: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(pair_keys(histories(found, first), found), return_inverse=True)
+
+
 def _ask(buckets: int):
-    """Rows (bucket, chunk, keys, counts): the distinct tokens of a chunk and how often its training texts have them."""
-    kinds = {"bucket": pa.int32(), "chunk": pa.int32(), "keys": pa.binary(), "counts": pa.binary()}
+    """Rows (bucket, chunk, keys, counts, pairs): the distinct tokens of a chunk, how often its training texts have them, and
+    its distinct pairs."""
+    kinds = {"bucket": pa.int32(), "chunk": pa.int32(), "keys": pa.binary(), "counts": pa.binary(), "pairs": pa.binary()}
 
     def run(rows: pa.Table) -> pa.Table:
         number = rows["chunk"][0].as_py()
-        rows, _, first, keys, which = _chunk_tokens(rows)
+        rows, found, first, keys, which = _chunk_tokens(rows)
         learned = ~np.array(rows["held_out"].to_pylist(), bool)
         counts = np.bincount(which[np.repeat(learned, np.diff(first))], minlength=len(keys))
-        edges = slices(keys, buckets)
+        pairs, _ = _chunk_pairs(found, first)
+        edges, pair_edges = slices(keys, buckets), slices(pairs, buckets)
         out = {name: [] for name in kinds}
-        for bucket in np.flatnonzero(np.diff(edges)).tolist():
-            part = slice(edges[bucket], edges[bucket + 1])
-            for name, value in zip(
-                    kinds, (bucket, number, pack(keys[part]), pack(counts[part].astype(np.uint32))), strict=True):
+        for bucket in np.flatnonzero(np.diff(edges) + np.diff(pair_edges)).tolist():
+            part, pair_part = (slice(e[bucket], e[bucket + 1]) for e in (edges, pair_edges))
+            values = (bucket, number, pack(keys[part]), pack(counts[part].astype(np.uint32)), pack(pairs[pair_part]))
+            for name, value in zip(kinds, values, strict=True):
                 out[name].append(value)
         return pa.table({n: pa.array(out[n], t) for n, t in kinds.items()})
 
-    return run, "bucket int, chunk int, keys binary, counts binary"
+    return run, "bucket int, chunk int, keys binary, counts binary, pairs binary"
 
 
-def _answer():
-    def run(rows: pa.Table) -> pa.Table:
+def _answer(probes: int):
+    """Rows (chunk, bucket, counts, levels): what the bucket knows of the tokens and pairs that each chunk asks for."""
+
+    names = ["chunk", "bucket", "counts", "levels"]
+
+    def run(rows: pa.Table, owned: pa.Table) -> pa.Table:
+        if not rows.num_rows:  # nobody asks this bucket
+            return pa.table([[], [], [], []], pa.schema(list(zip(names, [pa.int32()] * 2 + [pa.binary()] * 2, strict=True))))
         keys, total = _summed(rows)
-        answers = [pack(total[np.searchsorted(keys, unpack(k, np.uint64))]) for k in rows["keys"].to_pylist()]
-        return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "counts": pa.array(answers, pa.binary())})
+        counts = [pack(total[np.searchsorted(keys, unpack(k, np.uint64))]) for k in rows["keys"].to_pylist()]
+        asked = [unpack(p, np.uint64) for p in rows["pairs"].to_pylist()]
+        pairs, which = np.unique(np.concatenate(asked), return_inverse=True)
+        level = np.zeros(len(pairs), np.uint8)  # a bucket without training pairs knows none
+        if owned.num_rows and owned["top"][0].as_py():
+            words = np.frombuffer(owned["words"][0].as_py(), np.uint64)
+            level = levels(words, pairs, probes, owned["top"][0].as_py()).astype(np.uint8)
+        found = np.split(level[which], np.cumsum([len(p) for p in asked])[:-1])
+        return pa.table(dict(zip(names, [
+            rows["chunk"], rows["bucket"], pa.array(counts, pa.binary()),
+            pa.array([f.tobytes() for f in found], pa.binary())], strict=True)))
 
-    return run, "chunk int, bucket int, counts binary"
+    return run, "chunk int, bucket int, counts binary, levels binary"
 
 
 def _score(model: Model):
-    shared, settings = model.words, model.settings
+    settings = model.settings
     n_tokens, n_types, texts = model.tokens, model.types, model.texts
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -292,14 +273,9 @@ def _score(model: Model):
         before = np.empty_like(count)
         before[1:] = count[:-1]
         before[first[:-1]] = texts
-        words = np.frombuffer(shared.value, np.uint64)
-        pairs, of = np.unique(pair_keys(histories(found, first), found), return_inverse=True)
         bound = np.minimum(before, count)
-        seen = np.zeros(len(pairs), bool)
-        seen[of[bound > 0]] = True
-        level = np.zeros(len(pairs), np.int64)
-        level[seen] = levels(words, pairs[seen], settings.probes)
-        level = level[of]
+        _, of = _chunk_pairs(found, first)
+        level = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8).astype(np.int64)[of]
         # The middle of the counts of a level, at most what the two tokens allow.
         together = np.where(level > 1, 1.4 * np.exp2(level - 1), level)
         together = np.minimum(together, bound)
@@ -324,10 +300,10 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     mark. Rows that share an id are scored one by one; a row without an id counts as training text. Other columns are dropped.
     """
     size, rows = text_bytes(docs, text)
-    buckets = bucket_count(size // 14)
     parts = chunked(docs, doc_id, text, size, rows).withColumn("held_out", held_out(F.col("doc_id")))
-    ask, schema = _ask(buckets)
-    answer, answered = _answer()
-    known = parts.groupBy("chunk").applyInArrow(ask, schema).groupBy("bucket").applyInArrow(answer, answered)
+    ask, schema = _ask(model.buckets)
+    answer, answered = _answer(model.settings.probes)
+    asked = parts.groupBy("chunk").applyInArrow(ask, schema)
+    known = asked.groupBy("bucket").cogroup(model.slices.groupBy("bucket")).applyInArrow(answer, answered)
     run, schema = _score(model)
     return parts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)

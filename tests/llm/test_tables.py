@@ -5,11 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import zlib
+from collections import Counter
 
 import brute
 import numpy as np
 import pytest
 from compare import compare, connect
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import chat, html, lm, minhash, quality, queries, substrings, vectors, warc
@@ -226,6 +229,38 @@ def test_language_model_learns_pairs(documents):
     assert lm.score(odd, lm.learn(odd)).count() == 3
 
 
+def test_filter_is_sized_by_its_entries(documents):
+    """Short words have more pairs for each byte than any guess from bytes allows for; few absent pairs may look seen."""
+    rng = random.Random(11)
+    vocabulary = [a + b for a in "0123456789abcdefghijklmnopqrstuvwxyz" for b in "0123456789abcdefghijklmnopqrstuvwxyz"]
+    held = [i for i in range(14_000) if zlib.crc32(str(i).encode()) % 7 == 2][:1500]
+    learned = [i for i in range(14_000) if zlib.crc32(str(i).encode()) % 7 != 2][:400]
+    texts = {i: " ".join(rng.choices(vocabulary, k=700)) for i in learned} | {i: rng.choice(vocabulary) for i in held}
+    docs = documents([(i, t, "s") for i, t in texts.items()])
+    model = lm.learn(docs)
+    cut = {i: [*t.split(), None] for i, t in texts.items()}
+    single = Counter(t for i in learned for t in cut[i])
+    pairs = Counter(p for i in learned for p in zip(["", *cut[i]], cut[i]))
+    entries = sum(n.bit_length() for n in pairs.values())
+    assert model.pairs == len(pairs)
+    assert model.slices.agg(F.sum(F.octet_length("words"))).first()[0] * 8 >= entries * model.settings.bits_per_pair
+    single[""], total, kinds = len(learned), sum(single.values()), len(single)
+
+    def exact(found):
+        out = 0
+        for h, w in zip(["", *found], found):
+            n, alone = pairs[h, w], (single[w] + 1) / (total + kinds + 1)
+            together = min(1.4 * 2 ** (n.bit_length() - 1) if n > 1 else n, single[h], single[w])
+            novel = single[h] ** model.settings.novelty
+            out += math.log10((together + novel * alone) / (single[h] + novel) if single[h] else alone)
+        return out
+
+    rows = lm.score(docs, model).where("held_out").collect()
+    assert len(rows) == len(held)
+    wrong = sum(r.score != pytest.approx(exact(cut[r.doc_id]), rel=1e-9) for r in rows)
+    assert wrong < 0.05 * len(rows)
+
+
 def test_pipeline(spark, folder, documents):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
