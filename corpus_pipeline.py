@@ -18,6 +18,10 @@ ORACLE_SQL = None
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+# Texts with a similarity of 0.8 or more. A pair at 0.8 is missed by all bands with a probability of 2e-6, and by the signature check with
+# one of about 1e-6.
+NEAR = minhash.Settings(percent=80, bands=25, rows=4, agree=60)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without their failing lines; a document that loses no line keeps its text as it was."""
@@ -25,11 +29,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id.
+    """One document of each group of near-duplicates (see ``NEAR``): that with the smallest id.
 
     Of rows that share an id the one with the smallest text stays; rows without an id all stay.
     """
-    dropped = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    dropped = minhash.near_duplicates(docs, settings=NEAR).where("not kept").select("doc_id").distinct()
     left = docs.join(dropped, "doc_id", "left_anti")
     row = F.struct(*COLUMNS[1:])
     one = left.where("doc_id is not null").groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")

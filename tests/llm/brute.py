@@ -44,14 +44,14 @@ def shingles(text):
     return frozenset(tuple(found[i:i + 5]) for i in range(len(found) - 4))
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, percent=85):
     """{doc_id: (size, component)} of {doc_id: text}"""
     sets = {i: shingles(t) for i, t in docs.items()}
     joined, index = Sets(), {}
     for i in sorted(sets):
         shared = Counter(j for s in sets[i] for j in index.get(s, ()))
         for j, both in shared.items():
-            if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 joined.join(i, j)
         for s in sets[i]:
             index.setdefault(s, []).append(i)

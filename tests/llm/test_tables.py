@@ -285,6 +285,27 @@ def test_pipeline(spark, folder, documents):
     assert {r.doc_id for r in packed.collect()} == {i for i, r in left.items() if brute.words(r.text)}
 
 
+def test_pipeline_links_from_a_similarity_of_four_fifths(spark, documents):
+    """Pairs of 0.80 to 0.85, which op2 does not link, lose their later copy; pairs just below 0.80 stay."""
+    rng = random.Random(8)
+    texts = {}
+    for i in range(150):
+        found = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 200))]
+        texts[2 * i] = " ".join(found)
+        for at in rng.sample(range(len(found)), max(1, round(len(found) / 46))):
+            found[at] = "changed"
+        texts[2 * i + 1] = " ".join(found)
+    texts |= {900: " ".join(f"a{i}" for i in range(13)), 901: " ".join(f"a{i}" for i in range(12)) + " z"}  # 8 of 10
+    docs = documents([(i, t, "s") for i, t in texts.items()])
+    groups = {n: brute.near_duplicates(texts, n) for n in (80, 85)}
+    want = {i for i, (_, c) in groups[80].items() if i == c}
+    assert 901 not in want and 20 < sum(i == c for i, (_, c) in groups[85].items()) - len(want)
+    assert len(want) > 152  # some pairs are below 0.80
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in got) == sorted(want)
+    assert minhash.Settings().percent == 85
+
+
 def test_pipeline_of_odd_rows(spark, documents):
     text = " ".join(f"word{i}" for i in range(60))
     docs = documents([(None, text, "s"), (1, text, None), (1, text, None), (2, text, "s"), (3, None, "s"), (4, "x", "s")])
