@@ -23,19 +23,33 @@ from .recommend_queries import CACHE_WALK_SQL, ENTRY_WALK_SQL, PAIR_SCORE_SQL
 from .registry import query
 
 
-FILES = 4
+FILES = 4  # at least
+FILE_BYTES = 64 * 1024 * 1024  # of values in a file, which bounds what a micro-batch and so a hot key brings to one task
 ONE_FILE = {"maxFilesPerTrigger": "1"}
 
 
+def _value_bytes(rows):
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(8) for c, kind in rows.dtypes]
+    return rows.agg(F.sum(sum(sizes, F.lit(0).cast("long")))).first()[0] or 0
+
+
 def _in_files(spark, rows, order, purpose):
-    """Rows as a folder of ``FILES`` files by ``order``, each shuffled inside; a stream takes one per micro-batch."""
-    path = shared_folder(spark, purpose)
-    bounds = rows.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
-    width = (bounds["high"] - bounds["low"]) // FILES + 1
-    part = F.floor((F.col(order) - bounds["low"]) / width)
-    for i in range(FILES):
-        some = rows.where(part == i).repartition(1).sortWithinPartitions(F.xxhash64("event_id"))
-        some.write.mode("append").parquet(path)
+    """Rows as a folder of files by ``order``, each shuffled inside; a stream takes one per micro-batch.
+
+    The number of files follows from the bytes of the rows. Rows are cut into ranges of about one size, those with equal
+    times by their id, so no time can fill a file; rows without a time come first. Spark takes files by their age, so the
+    ranges are copied one after the other. (It does not allow a limit in bytes beside the one in files.)
+    """
+    files = max(FILES, -(-_value_bytes(rows) // FILE_BYTES))
+    ranges = rows.repartitionByRange(files, order, "event_id").withColumn("_range", F.spark_partition_id())
+    staged, path = shared_folder(spark, f"{purpose}-ranges"), shared_folder(spark, purpose)
+    ranges.write.partitionBy("_range").parquet(staged)
+    ranges = spark.read.schema(ranges.schema).parquet(staged)
+    count = (ranges.agg(F.max("_range")).first()[0] or 0) + 1
+    for i in range(files):
+        low, high = -(-count * i // files), -(-count * (i + 1) // files)
+        some = ranges.where((F.col("_range") >= low) & (F.col("_range") < high)).drop("_range")
+        some.repartition(1).sortWithinPartitions(F.xxhash64("event_id")).write.mode("append").parquet(path)
     return path
 
 

@@ -326,3 +326,24 @@ def test_event_stream_of_one_file_and_of_a_folder(spark, tmp_path):
         stream = stream_events(spark, path, SCHEMAS["events"], ONE_FILE)
         start_table(stream, f"{tmp_path}/{i}/rows", f"{tmp_path}/{i}/checkpoint").awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/{i}/rows").count() == events.count()
+
+
+def test_stream_files_are_bounded_and_lose_no_row(spark, monkeypatch):
+    """A third of the rows at one time, a tenth without one, and one row far off: files stay small, in order and whole."""
+    from clickloom.plans import stream_queries
+
+    monkeypatch.setattr(stream_queries, "FILE_BYTES", 8_000, raising=False)
+    rows = spark.range(4000).select(
+        F.col("id").alias("event_id"),
+        F.expr("CASE WHEN id % 10 = 0 THEN null WHEN id % 3 = 0 THEN 5 WHEN id = 1 THEN 1000000000 ELSE id END").alias("ms"))
+    path = stream_queries._in_files(spark, rows, "ms", "bounded-files")
+    found = spark.read.schema(rows.schema).parquet(path).select("*", "_metadata.file_path", "_metadata.file_modification_time")
+    files = {}
+    for r in found.orderBy("file_modification_time").collect():
+        files.setdefault(r.file_path, []).append((r.ms is not None, r.ms or 0, r.event_id))
+    assert sum(map(len, files.values())) == 4000
+    assert len(files) == 8 and max(map(len, files.values())) < 800
+    parts = list(files.values())
+    assert all(max(a) < min(b) for a, b in zip(parts, parts[1:]))
+    empty = stream_queries._in_files(spark, rows.limit(0), "ms", "no-files")
+    assert spark.read.schema(rows.schema).parquet(empty).count() == 0
