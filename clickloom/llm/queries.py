@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html, infill, lm, minhash, packing, quality, substrings, urls, vectors, warc
+from . import bpe, chat, html, infill, lm, minhash, packing, quality, repair, substrings, urls, vectors, warc
 from .tables import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,3 +250,14 @@ FROM coded JOIN steps USING (row)
 """)
 def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    names = [c.split()[0] for c in repair.RESULT.split(", ")]
+    made = repair.repair(repair.damaged(rows)).select(F.col("conv_id").alias("_conv"), *names)
+    every = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(b""), 256)}
+    return every.join(made, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id", *[F.coalesce(F.col(name), none.get(name, F.lit(0).cast("long"))).alias(name) for name in names])

@@ -126,7 +126,7 @@ def _level(counts: DataFrame, length: int, lower: DataFrame | None) -> DataFrame
 def fit(labelled: DataFrame) -> DataFrame:
     """One row (model): the log ratio of each of the 32**4 grams, taken behind the longest context that was seen.
 
-    ``labelled`` has url and accepted. All of its rows count; without rows of both kinds the ratios are null.
+    ``labelled`` has url and accepted. All of its rows count; without rows of both kinds the model is null.
     """
     found = labelled.select(F.explode(grams(F.col("url"))).alias("gram"), "accepted")
     counts = found.groupBy("gram").agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r"))
