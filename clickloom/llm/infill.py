@@ -83,7 +83,7 @@ class BoundarySet:
     def __init__(self, offsets: np.ndarray):
         high = offsets >> CONTAINER_BITS
         first = np.flatnonzero(np.diff(high, prepend=-1))
-        stops = [*first[1:].tolist(), len(offsets)]
+        stops = [*first[1:].tolist(), len(offsets)][:len(first)]
         low = offsets & ((1 << CONTAINER_BITS) - 1)
         self.keys = high[first]
         self.containers = [container(low[a:b]) for a, b in zip(first.tolist(), stops, strict=True)]

@@ -236,11 +236,12 @@ WITH cut AS (
 ), known AS (
   SELECT * FROM steps WHERE rule IS NOT NULL AND held AND step IS NOT NULL
 ), tried AS (
-  SELECT step AS threshold, (SELECT count_if(accepted AND step >= t.step) FROM known) * (SELECT count_if(NOT accepted) FROM known)
+  SELECT step, CAST(ceil((coalesce(lag(step) OVER (ORDER BY step), step) + step) / 2.0) AS BIGINT) AS threshold,
+         (SELECT count_if(accepted AND step >= t.step) FROM known) * (SELECT count_if(NOT accepted) FROM known)
          + (SELECT count_if(NOT accepted AND step < t.step) FROM known) * (SELECT count_if(accepted) FROM known) AS good
   FROM (SELECT DISTINCT step FROM known) t
 ), best AS (
-  SELECT threshold FROM tried WHERE (SELECT bool_or(accepted) AND bool_or(NOT accepted) FROM known) ORDER BY good DESC, threshold LIMIT 1
+  SELECT threshold FROM tried WHERE (SELECT bool_or(accepted) AND bool_or(NOT accepted) FROM known) ORDER BY good DESC, step LIMIT 1
 )
 SELECT page_id, host, path, coded.rule,
        CASE WHEN CASE WHEN coded.rule IS NOT NULL THEN coded.accepted ELSE coalesce(step >= (SELECT threshold FROM best), true) END

@@ -160,7 +160,8 @@ def _scored(rows: DataFrame, model: Column, name: str) -> DataFrame:
 def calibrate(scored: DataFrame) -> DataFrame:
     """One row (threshold): the step from which URLs are allowed; null unless both classes occur.
 
-    ``scored`` has accepted and step. The classes weigh the same; of equally good thresholds the lowest is taken. There are as many groups
+    ``scored`` has accepted and step. The classes weigh the same; of equally good cuts the lowest is taken, and the threshold lies midway
+    between the steps on its two sides. There are as many groups
     as steps, a few thousand at most, whatever the number of rows.
     """
     steps = scored.where("step is not null").groupBy("step").agg(
@@ -171,9 +172,10 @@ def calibrate(scored: DataFrame) -> DataFrame:
     figures = steps.select(
         "step", F.sum("a").over(everything).alias("all_a"), F.sum("r").over(everything).alias("all_r"),
         F.coalesce(F.sum("a").over(below), F.lit(0)).alias("a_below"),
-        F.coalesce(F.sum("r").over(below), F.lit(0)).alias("r_below"))
+        F.coalesce(F.sum("r").over(below), F.lit(0)).alias("r_below"), F.max("step").over(below).alias("last"))
     right = wide(F.col("all_a") - F.col("a_below")) * wide(F.col("all_r")) + wide(F.col("r_below")) * wide(F.col("all_a"))
-    return figures.where("all_a > 0 and all_r > 0").agg(F.max_by("step", F.struct(right, -F.col("step"))).alias("threshold"))
+    middle = F.ceil((F.coalesce("last", "step") + F.col("step")) / 2)
+    return figures.where("all_a > 0 and all_r > 0").agg(F.max_by(middle, F.struct(right, -F.col("step"))).alias("threshold"))
 
 
 def filter_urls(
