@@ -242,3 +242,27 @@ def near_duplicates(
     alone = signed.where("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.union(alone).withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
+
+
+def keep_first(
+    docs: DataFrame, columns: tuple[str, ...], doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings(),
+) -> DataFrame:
+    """The wanted columns of one document of each component: that with the smallest id. Rows without an id all stay.
+
+    Rows that share an id but not their text are documents of their own and come behind all others of their component; each is
+    dropped for its own text only. Of rows that share id and text one stays, with the smallest other columns.
+    """
+    sign = F.xxhash64(text)
+    many = docs.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("_many")).agg(
+        F.min(sign).alias("_low"), F.max(sign).alias("_high")).where("_low < _high").select("_many")
+    own = F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text)), 2)
+    top = docs.agg(F.greatest(F.lit(0).cast("long"), F.max(F.col(doc_id).cast("long")))).scalar()
+    # Numbers above every id in use; without room above they are negative.
+    number = F.when(top < F.lit(1 << 62), top + own + 1).otherwise(-own - 1)
+    wanted = docs.select(*columns, F.col(doc_id).cast("long").alias("_doc")).join(many, F.col("_doc") == F.col("_many"), "left")
+    numbered = wanted.withColumn("_node", F.when(F.col("_many").isNotNull(), number).otherwise(F.col("_doc")))
+    dropped = near_duplicates(numbered, "_node", text, settings).where("not kept").select(F.col("doc_id").alias("_gone"))
+    left = numbered.join(dropped.distinct(), F.col("_node") == F.col("_gone"), "left_anti")
+    row = F.struct(*columns)
+    one = left.where("_node is not null").groupBy("_node").agg(F.min(row).alias("row")).select("row.*")
+    return one.union(left.where("_node is null").select(*columns))

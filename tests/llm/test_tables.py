@@ -273,7 +273,7 @@ def test_pipeline(spark, folder, documents):
     assert all(r.text == verdicts[i].clean_text and r.n_chars == len(r.text) for i, r in found.items())
     assert all(found[i] == rows[i] for i in found if not verdicts[i].n_lines_removed)
     one = stage(1, clean)
-    groups = brute.near_duplicates({i: r.text for i, r in found.items()})
+    groups = brute.near_duplicates({i: r.text for i, r in found.items()}, 80)
     unique = {r.doc_id: r for r in one.collect()}
     assert one.columns == docs.columns and unique == {i: found[i] for i, (_, c) in groups.items() if i == c}
     short = stage(2, one)
@@ -306,6 +306,17 @@ def test_pipeline_links_from_a_similarity_of_four_fifths(spark, documents):
     assert minhash.Settings().percent == 85
 
 
+def test_pipeline_keeps_each_text_that_occurs_once(spark, documents):
+    """Ids that repeat with different texts: only copies go, whichever row has them."""
+    rng = random.Random(12)
+    x, y, z, w, v = [" ".join(f"{c}{rng.randrange(900)}" for _ in range(60)) for c in "xyzwv"]
+    near = f"{z} end"
+    rows = [(1, x), (5, x), (5, y), (7, z), (7, w), (7, w), (8, near), (9, v), (9, v), (None, v)]
+    docs = documents([(i, t, "s") for i, t in rows])
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == Counter([(1, x), (5, y), (7, w), (8, near), (9, v), (None, v)])
+
+
 def test_pipeline_of_odd_rows(spark, documents):
     text = " ".join(f"word{i}" for i in range(60))
     docs = documents([(None, text, "s"), (1, text, None), (1, text, None), (2, text, "s"), (3, None, "s"), (4, "x", "s")])
