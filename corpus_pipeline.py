@@ -31,13 +31,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (see ``NEAR``): that with the smallest id.
 
-    Of rows that share an id the one with the smallest text stays; rows without an id all stay.
+    Rows that share an id are judged by their own texts; of equal ones, one stays. Rows without an id all stay.
     """
-    dropped = minhash.near_duplicates(docs, settings=NEAR).where("not kept").select("doc_id").distinct()
-    left = docs.join(dropped, "doc_id", "left_anti")
-    row = F.struct(*COLUMNS[1:])
-    one = left.where("doc_id is not null").groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")
-    return one.union(left.where("doc_id is null").select(*COLUMNS))
+    return minhash.keep_first(docs, COLUMNS, settings=NEAR)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
