@@ -24,6 +24,7 @@ from .words import blocks, find_words, lowered, mix
 
 CAPACITY = 2048
 SHARD_ITEMS = 4096
+SLAB = 4096  # copies of a row that one task numbers
 
 
 def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -114,19 +115,24 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_IT
     """
     shards = max(1, -(-items.count() // shard_items))
     pieces = (F.col("n_words") / capacity).cast("long")
-    key = F.xxhash64("doc_id", "n_words", "cluster")
-    cut = items.where("n_words > 0").select(
-        "doc_id", "source", "cluster", "n_words", pieces.alias("full"), key.alias("key"))
+    # Each row has a key of its own: equal rows are counted first and numbered again, in slabs that are dealt out.
+    same = items.where("n_words > 0").groupBy("doc_id", "source", "n_words", "cluster").agg(F.count(F.lit(1)).alias("copies"))
+    slabs = same.withColumn("slab", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {SLAB}"))))
+    last = F.least(F.col("copies"), (F.col("slab") + 1) * SLAB) - 1
+    rows = slabs.repartition("doc_id", "cluster", "slab").withColumn("copy", F.explode(F.sequence(F.col("slab") * SLAB, last)))
+    key = F.xxhash64("doc_id", "source", "n_words", "cluster", "copy")
+    cut = rows.select("doc_id", "source", "cluster", "n_words", "copy", pieces.alias("full"), key.alias("key"))
     rest = cut.where(F.col("n_words") % capacity > 0).select(
         F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "doc_id", "source", "cluster",
         F.col("full").alias("piece"), (F.col("full") * capacity).alias("start"),
         (F.col("n_words") % capacity).alias("length"))
     packed = rest.groupBy("shard").applyInArrow(
         _pack_shard(capacity), "doc_id long, piece long, start long, length long, bin_id string, bin_offset long")
-    whole = cut.where("full > 0").select(
-        "doc_id", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"))
+    whole = cut.where("full > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)))
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("none"))
+    named = F.concat_ws(
+        "-", F.lit("full"), text("doc_id"), "n_words", F.hex("cluster"), F.hex(F.xxhash64("source")), "copy", "piece")
     alone = whole.select(
         "doc_id", "piece", (F.col("piece") * capacity).alias("start"), F.lit(capacity).cast("long").alias("length"),
-        F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.hex("key")), "piece").alias("bin_id"),
-        F.lit(0).cast("long").alias("bin_offset"))
+        named.alias("bin_id"), F.lit(0).cast("long").alias("bin_offset"))
     return packed.union(alone)

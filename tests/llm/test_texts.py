@@ -246,6 +246,17 @@ def test_packing(spark, documents):
     assert packing.pack(packing.measured(documents([]))).count() == 0
 
 
+def test_packing_of_rows_that_share_an_id(documents, monkeypatch):
+    """Full pieces of two texts, of one text under two sources and of thousands of equal rows lie in bins of their own."""
+    monkeypatch.setattr(packing, "SLAB", 7)
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abc"]
+    rows = [(7, texts[0], "s"), (7, texts[1], "s"), (7, texts[1], "t"), (7, texts[1], None), *[(7, texts[2], "s")] * 50,
+            (None, texts[0], "s"), (None, texts[0], "s"), (8, texts[2] + " more words", "s")]
+    found = packing.pack(packing.measured(documents(rows)), capacity=30).collect()
+    assert len(found) == len(rows) + 1 and sum(r.length for r in found) == 30 * len(rows) + 2
+    assert len({r.bin_id for r in found}) == len(found)
+
+
 def test_op8(spark, folder):
     found = queries.QUERIES["op8_best_fit_packing"](spark, folder)
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
