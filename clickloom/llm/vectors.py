@@ -3,8 +3,10 @@
 Vectors are scaled to length one in double precision, where cosine >= c is the same as a distance of at most
 sqrt(2 - 2 c). Equal vectors are one class. A bounded number of vectors serve as pivots; each class belongs to the cell of its nearest pivot,
 and a cell knows its radius. By the triangle inequality a class can only have partners in another cell if its distance to that pivot
-is at most the cell's radius plus the range, and at most its distance to its own pivot plus twice the range; to those cells of a
-larger number a copy of it is sent. Cells then join independently, in blocks of bounded size. A block pair gives back link
+is at most the cell's radius plus the range, and if it is no farther than the range from the plane midway between both pivots, behind
+which the other cell lies: (d(x, q)^2 - d(x, p)^2) / (2 d(p, q)); to those cells of a
+larger number a copy of it is sent. Pivots are taken far apart from a bounded number of candidates, as planes between close pivots cut
+off little. Cells then join independently, in blocks of bounded size. A block pair gives back link
 counts and a spanning forest of its links, never the links themselves.
 
 The number of cells bounds what is broadcast, not what a task holds: blocks do that. Vectors without any structure are near the
@@ -31,6 +33,7 @@ class Settings:
     per_cell: int = 4096
     max_cells: int = 1024  # pivots are broadcast: 1,024 of them are half a megabyte at 64 dimensions
     block: int = 2048
+    candidates: int = 8  # vectors collected for each pivot that is chosen among them
 
     @property
     def range(self) -> float:
@@ -103,8 +106,18 @@ def _homes(pivots: dict[int, np.ndarray], numbers: dict[int, np.ndarray]):
     return run, "node long, copies long, unit binary, home int, distance double"
 
 
+def _far_apart(candidates: np.ndarray, count: int) -> np.ndarray:
+    """``count`` of the candidates, each as far as possible from those before it."""
+    chosen, nearest = [0], _distances(candidates, candidates[:1])[:, 0]
+    while len(chosen) < count:
+        chosen.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, _distances(candidates, candidates[chosen[-1:]])[:, 0])
+    return candidates[chosen]
+
+
 def _replicas(pivots: dict[int, np.ndarray], numbers: dict[int, np.ndarray], radius: dict[int, float], reach: float):
     """(cell, copy) rows: each class in its own cell and in those that its links may reach."""
+    apart = {width: _distances(found, found) for width, found in pivots.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,7 +131,9 @@ def _replicas(pivots: dict[int, np.ndarray], numbers: dict[int, np.ndarray], rad
                 found = _distances(_matrix(batch.column(2).take(pa.array(at))), pivots[width])
                 number = numbers[width]
                 wide = np.array([radius.get(int(n), -1.0) for n in number])
-                near = (found <= wide + reach) & (found <= distance[at][:, None] + 2 * reach) & (wide >= 0)
+                between = apart[width][home[at] - number[0]]
+                plane = (found**2 - (distance[at] ** 2)[:, None]) / np.maximum(2 * between, 1e-9)
+                near = (found <= wide + reach) & ((plane <= reach + 1e-6) | (between < 1e-6)) & (wide >= 0)
                 near &= number[None, :] > home[at][:, None]
                 i, j = np.nonzero(near)
                 rows.append(at[i])
@@ -211,8 +226,10 @@ def near_vectors(
     pivots, numbers, used = {}, {}, 0
     for size in sorted(sizes, key=lambda s: s["width"]):
         count = max(1, min(settings.max_cells, -(-size["count"] // settings.per_cell)))
-        chosen = classes.where(F.octet_length("unit") == size["width"]).orderBy(F.xxhash64("node")).limit(count)
-        pivots[size["width"]] = np.stack([np.frombuffer(r["unit"], np.float64) for r in chosen.collect()])
+        chosen = classes.where(F.octet_length("unit") == size["width"]).orderBy(F.xxhash64("node")).limit(
+            min(size["count"], count * settings.candidates))
+        found = np.stack([np.frombuffer(r["unit"], np.float64) for r in chosen.collect()])
+        pivots[size["width"]] = _far_apart(found, count)
         numbers[size["width"]] = np.arange(used, used + count)
         used += count
     homes, schema = _homes(pivots, numbers)
@@ -243,9 +260,11 @@ def near_vectors(
     copies = rows.where("copy").select(
         *columns, F.lit(True).alias("copy"), F.explode(up_to(zero, F.col("own") - 1)).alias("first"),
         F.col("block").alias("second"), F.lit(1).alias("side"))
-    tasks = with_later.union(with_earlier).union(with_copies).union(copies)
+    # Rows come from the join dealt by cell; one cell's blocks are tasks of their own only if they are dealt anew.
+    keys = ["cell", "copy", "first", "second"]
+    tasks = with_later.union(with_earlier).union(with_copies).union(copies).repartition(*keys)
     join, schema = _join(settings.cosine)
-    found = stored(tasks.groupBy("cell", "copy", "first", "second").applyInArrow(join, schema), "links")
+    found = stored(tasks.groupBy(*keys).applyInArrow(join, schema), "links")
 
     counts = found.where("to is null").groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.where("to is not null"), "node", "to")
