@@ -16,6 +16,7 @@ from ..operators.latency_stats import (
     PROCESSING_BUCKETS, batch_efficiency, histogram, load_stats, service_stats, sla_stats,
 )
 from ..operators.activity import price_stats, top_by_count
+from ..operators.notify import active_groups, schedule
 from ..operators.ordered import HOUR_MS, block_start
 from ..session import shared_folder, stored
 from ..sources.sinks import read_categorical_baseline, read_numeric_baseline, write_baseline
@@ -667,3 +668,64 @@ SELECT batch_id, category_code, events FROM (
 """)
 def a3_batch_categories(spark, folder):
     return top_by_count(_batches(spark, folder), "category_code", keys=KEYS).select("batch_id", "category_code", "events")
+
+
+# An alert lasts from when it fires to one evaluation after the last sample that met its condition.
+TIMED_SQL = f"""
+{CELLS_SQL}, {RULES_SQL}, {_runs_sql('ruled', 'is_met', 'hold_ms', RULE_KEYS)},
+timed AS (SELECT alertname, instance AS cluster, service, severity, fires_at_ms AS start_ms, active_until_ms + 3600000 AS end_ms
+          FROM runs WHERE firing),
+parts AS (SELECT CASE severity WHEN 'critical' THEN 'critical-alerts' WHEN 'warning' THEN 'warning-alerts'
+                 ELSE 'slack-notifications' END AS receiver, alertname, cluster, service, start_ms, end_ms FROM timed),
+edges AS (SELECT DISTINCT * FROM (
+            SELECT receiver, alertname, cluster, service, unnest([start_ms, end_ms]) AS t FROM parts
+            UNION ALL SELECT 'warning-alerts', alertname, cluster, service, unnest([start_ms, end_ms]) FROM timed
+            WHERE severity = 'critical')),
+state AS (SELECT e.*, EXISTS (SELECT 1 FROM parts p WHERE p.receiver = e.receiver AND p.alertname = e.alertname
+                   AND p.cluster = e.cluster AND p.service = e.service AND p.start_ms <= t AND p.end_ms > t)
+                 AND NOT (e.receiver = 'warning-alerts' AND EXISTS (
+                   SELECT 1 FROM parts p WHERE p.receiver = 'critical-alerts' AND p.alertname = e.alertname
+                   AND p.cluster = e.cluster AND p.service = e.service AND p.start_ms <= t AND p.end_ms > t)) AS is_on
+          FROM edges e),
+turns AS (SELECT *, coalesce(lag(is_on) OVER w, false) AS was FROM state
+          WINDOW w AS (PARTITION BY receiver, alertname, cluster, service ORDER BY t)),
+spans AS (SELECT receiver, alertname, cluster, service, t AS active_since_ms, is_on,
+                 lead(t) OVER (PARTITION BY receiver, alertname, cluster, service ORDER BY t) AS active_until_ms
+          FROM turns WHERE is_on <> was),
+active AS (SELECT receiver, alertname, cluster, service, active_since_ms, active_until_ms FROM spans WHERE is_on)
+"""
+
+
+def _timed_alerts(spark, folder):
+    return _alerts(spark, folder).where("firing").select(
+        "alertname", F.col("instance").alias("cluster"), "service", "severity", F.col("fires_at_ms").alias("start_ms"),
+        (F.col("active_until_ms") + HOUR_MS).alias("end_ms"))
+
+
+@query("e6_active_groups", f"WITH {TIMED_SQL} SELECT * FROM active")
+def e6_active_groups(spark, folder):
+    return active_groups(_timed_alerts(spark, folder))
+
+
+@query("e6_schedule", f"""
+WITH {TIMED_SQL},
+joined AS (
+  SELECT DISTINCT a.receiver, a.alertname, a.cluster, a.service, a.active_since_ms, a.active_until_ms,
+         greatest(0, CAST(ceil((greatest(p.start_ms, a.active_since_ms) - a.active_since_ms - 30000) / 300000.0) AS BIGINT)) AS tick
+  FROM active a JOIN parts p ON p.receiver = a.receiver AND p.alertname = a.alertname AND p.cluster = a.cluster
+       AND p.service = a.service AND p.start_ms < a.active_until_ms AND p.end_ms > a.active_since_ms),
+ticks AS (SELECT a.*, unnest(range(0, (active_until_ms - active_since_ms) // 300000 + 2)) AS tick FROM active a),
+timed_ticks AS (
+  SELECT t.*, t.active_since_ms + 30000 + t.tick * 300000 AS sent_ms, j.tick IS NOT NULL AS is_new,
+         max(j.tick) OVER (PARTITION BY t.receiver, t.alertname, t.cluster, t.service, t.active_since_ms ORDER BY t.tick) AS last_new
+  FROM ticks t LEFT JOIN joined j ON j.receiver = t.receiver AND j.alertname = t.alertname AND j.cluster = t.cluster
+       AND j.service = t.service AND j.active_since_ms = t.active_since_ms AND j.tick = t.tick)
+SELECT receiver, alertname, cluster, service, active_since_ms, sent_ms, CASE WHEN is_new THEN 'firing' ELSE 'repeat' END AS kind
+FROM timed_ticks WHERE sent_ms < active_until_ms AND (is_new OR (tick - last_new) % 48 = 0)
+UNION ALL
+SELECT receiver, alertname, cluster, service, active_since_ms, min(sent_ms), 'resolved'
+FROM timed_ticks WHERE receiver = 'slack-notifications' AND sent_ms >= active_until_ms
+  AND active_since_ms + 30000 < active_until_ms GROUP BY ALL
+""")
+def e6_schedule(spark, folder):
+    return schedule(_timed_alerts(spark, folder))
