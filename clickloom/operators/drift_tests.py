@@ -42,7 +42,7 @@ def kolmogorov_p(statistic: Column, n: Column, m: Column) -> Column:
     upper = sum((2.0 * (-1) ** (k - 1) * F.exp(-2.0 * k * k * x * x) for k in range(1, 6)), F.lit(0.0))
     lower = sum((F.exp(-((2 * k - 1) ** 2) * math.pi**2 / (8 * x * x)) for k in range(1, 4)), F.lit(0.0))
     p = F.when(x < 1.0, 1.0 - math.sqrt(2 * math.pi) / x * lower).otherwise(upper)
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
+    return F.when(statistic.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), p)))
 
 
 def number_distances(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:

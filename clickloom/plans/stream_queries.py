@@ -29,7 +29,11 @@ ONE_FILE = {"maxFilesPerTrigger": "1"}
 
 
 def _value_bytes(rows):
-    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(8) for c, kind in rows.dtypes]
+    def size(name, kind):
+        known = F.octet_length(name) if kind in ("string", "binary") else F.size(name) * 16 if kind.startswith("array") else F.lit(8)
+        return F.coalesce(known, F.lit(0))
+
+    sizes = [size(c, kind) for c, kind in rows.dtypes]
     return rows.agg(F.sum(sum(sizes, F.lit(0).cast("long")))).first()[0] or 0
 
 
