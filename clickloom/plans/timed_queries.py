@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ..operators.late import classify_late, main_stream
 from ..operators.ordered import DAY_MS, HOUR_MS
 from ..operators.profiles import merged_profiles, window_profiles
-from ..session import prepare_streaming, stored
+from ..session import prepare_streaming, shared_folder, stored
 from ..sources.files import stream_events
+from ..sources.ranges import stream_lines
 from ..sources.tables import behaviour
 from ..streaming.processors import PROFILE_OUTPUT
+from ..streaming.runners import start_table
 from ..streaming.timed import CLOSED_OUTPUT, ResumedProfiles, SilentSessions, corrected_windows, each_once, resumed, timed
 from .aggregate_queries import PROFILES_SQL
 from .inputs import ARRIVALS_SQL, arrivals
@@ -114,3 +116,23 @@ def s8_repeated_deliveries(spark, folder):
     path = _in_files(spark, delivered, "arrival_ms", "deliveries")
     once = each_once(stream_events(spark, path, delivered.schema, ONE_FILE), ["event_id"], "1 hour")
     return _finished(spark, once, "each-once").select("event_id", "user_id", "event_type", "ts_ms")
+
+
+@query("s8_resumed_inside_files", """
+SELECT event_id, user_id, event_type, ts_ms, true AS once FROM ev
+""")
+def s8_resumed_inside_files(spark, folder):
+    """Lines of a few large files: the first run stops inside each of them, the second goes on from that position."""
+    prepare_streaming(spark)
+    base = shared_folder(spark, "byte-positions")
+    rows = behaviour(spark, folder, with_catalog=False).select("event_id", "user_id", "event_type", "ts_ms")
+    lines = rows.select(F.to_json(F.struct("*")).alias("value"), "event_id").repartitionByRange(3, "event_id")
+    lines.select("value").write.text(f"{base}/lines")
+    middle = rows.count() * 80 // 6  # bytes in about half of a file
+    for until in (middle, None):
+        stream = stream_lines(spark, f"{base}/lines", suffix=".txt", range_bytes=max(100_000, middle // 8), until=until)
+        start_table(stream, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    read = spark.read.schema("file string, position long, line string").parquet(f"{base}/rows")
+    event = F.from_json("line", "event_id long, user_id string, event_type string, ts_ms long").alias("e")
+    counted = read.groupBy("file", "position", "line").agg(F.count("*").alias("_n"))
+    return counted.select(event, (F.col("_n") == 1).alias("once")).select("e.*", "once")
