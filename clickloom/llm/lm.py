@@ -297,7 +297,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; scores are log10.
 
     ``docs`` is the corpus the model was learned from: exact counts come from its training texts. A null or empty text is one end
-    mark. Rows that share an id are scored one by one; a row without an id counts as training text. Other columns are dropped.
+    mark. Rows that share an id are scored one by one; a row without an id counts as training text. A very long text is
+    held whole by one task. Other columns are dropped.
     """
     size, rows = text_bytes(docs, text)
     parts = chunked(docs, doc_id, text, size, rows).withColumn("held_out", held_out(F.col("doc_id")))

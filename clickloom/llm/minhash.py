@@ -208,7 +208,8 @@ def near_duplicates(
 
     Words are lower-cased in A-Z. Null and empty texts have an empty set and link with nothing, and neither do rows
     without an id, whose component is null and which are kept. Rows that share an id are judged by their own texts. Other columns are
-    dropped. Runs jobs when called and writes signatures, buckets and links to the shared folder.
+    dropped. A very long text is held whole by one task, in a block of its own.
+    Runs jobs when called and writes signatures, buckets and links to the shared folder.
     """
     signed = stored(signatures(docs, doc_id, text, settings), "signatures")
     linked = signed.where("n_shingles > 0 and doc_id is not null")

@@ -111,7 +111,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_IT
 
     ``items`` has doc_id, source, n_words and cluster, such as ``measured`` gives. Documents without words have no piece. A null source or
     cluster conflicts with nothing. Rows that share an id are items of their own, and their full pieces stay apart. No two items of a bin
-    share a source or a cluster. The shards are sized by a count of the table when this is called.
+    share a source or a cluster. A very long document has many full pieces, which are bins of their own. The shards are sized by a count of the table when this is called.
     """
     shards = max(1, -(-items.count() // shard_items))
     pieces = (F.col("n_words") / capacity).cast("long")

@@ -12,6 +12,9 @@ every chunk is a reference block that is indexed once and against which all othe
    goes on while the next window continues the same source. Windows over the edge of two factors have an answer of
    their own and start a factor as well. Factors of at least ``window`` words become duplicate spans.
 
+Every window is looked up, not only those at the edges of factors that were extended word by word: which words go follows from the
+answers alone, and factors group them to spans.
+
 A chunk sends a window once, however many of its documents hold it, so a passage that a third of all documents share
 brings a bucket one entry for each chunk. Texts are shuffled once; the three passes read the same exchange.
 """
@@ -257,7 +260,7 @@ def remove_repeats(
     ``kept_text`` has the kept words with single spaces; with ``original`` a document that loses nothing keeps its text
     as it was. ``spans`` are the factors, in words, which may overlap. Windows are judged on the input. A null or empty
     text has no words. Rows that share an id come in the order of their texts and keep a row each; rows without an id come
-    last. Columns that are not carried are dropped. Sizing the chunks is one aggregation over the table when this is called.
+    last. A very long text is held whole by one task. Columns that are not carried are dropped. Sizing the chunks is one aggregation over the table when this is called.
     """
     size, count = text_bytes(docs, text)
     buckets = bucket_count(size // 20)
