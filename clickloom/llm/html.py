@@ -2,10 +2,11 @@
 
 The standard library's parser streams events. Elements that end a line cut the text into lines; each line knows its text, how
 many tags stand in it, how much of it is link text, and which element holds it. Elements that are page furniture by their tag,
-role or class mark the lines inside them. The ratio of text to tags per line is smoothed with a Gaussian; lines above
-the threshold are content. The region is the element in which the content clusters: an article or main element if the page
-marks one, otherwise the smallest element with most of the content. Of the region all lines are kept that are not furniture,
-short ones too.
+role or class mark the lines inside them. The ratio of text outside links to tags per line is smoothed with a Gaussian; lines
+above the threshold are content. The region is the element in which the content clusters: an article or main element if the
+page marks one and less than half of the content lies outside such elements, otherwise the smallest element with most of the
+content. A marked region keeps all its lines that are not furniture, short ones and links too. Of another one the cluster is
+kept, from its first to its last line of content, without the link lines in it that are below the threshold.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ LINES = frozenset(
     "section summary table tbody tfoot thead tr ul".split())
 # Elements whose text is never content.
 SILENT = frozenset(
-    "applet audio button canvas datalist head iframe map math noframes noscript object script select style svg template "
+    "applet audio button canvas datalist head iframe map noframes noscript object script select style svg template "
     "textarea title video".split())
 FURNITURE = frozenset("aside dialog fieldset footer form menu nav search".split())
 FURNITURE_ROLES = frozenset(
@@ -40,6 +41,8 @@ FURNITURE_NAMES = frozenset(
     "notice notices notification overlay pager pagination popup promo promotion reactions recommended related replies reply "
     "respond search share sharebar sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription "
     "teaser teasers toolbar topbar widget widgets".split())
+# Elements that are one block of text. In an article only a whole class or id makes them furniture, not a word of it.
+BLOCKS = frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th tr".split())
 # Furniture whose articles are not the article of the page.
 APART = frozenset(
     "aside footer comment comments disqus discussion reactions recommended related replies reply respond teaser teasers "
@@ -60,6 +63,7 @@ MAX_LINK_SHARE = 0.6
 WRAPPER = 0.6  # of the text of a page, from which a name alone does not make furniture
 RUNNING = frozenset("a b em i li p span strong".split())
 MOST = 0.7  # of the content that a region without an article holds
+MARKED = 0.5  # of the content, which marked articles have to hold
 
 
 class Element:
@@ -74,10 +78,11 @@ class Element:
 
 
 class Line:
-    __slots__ = ("text", "tags", "linked", "element")
+    __slots__ = ("text", "size", "tags", "linked", "element")
 
     def __init__(self, text: str, tags: int, linked: int, element: Element) -> None:
         self.text, self.tags, self.linked, self.element = text, tags, linked, element
+        self.size = len(text) - text.count(" ")  # without white space, as is ``linked``
 
 
 class Lines(HTMLParser):
@@ -119,6 +124,8 @@ class Lines(HTMLParser):
         values = {name: value or "" for name, value in attributes}
         role = values.get("role", "").lower()
         names = {w.lower() for key in ("class", "id") for w in NAME.findall(values.get(key, ""))}
+        if tag in BLOCKS and element.in_root:
+            names = {w.lower() for key in ("class", "id") for w in values.get(key, "").split()}
         headed = not element.in_root
         element.named = bool(names & FURNITURE_NAMES) or (headed and "header" in names)
         element.furniture = (
@@ -210,14 +217,19 @@ def _furniture(page: Lines) -> list[bool]:
         for e in page.elements])
 
 
+def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    """Gaussian means; at the ends the weights that are left count as the whole."""
+    reach = max(1, int(3 * sigma))
+    weights = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    total = np.convolve(ratios, weights)[reach:-reach]
+    return total / np.convolve(np.ones(len(ratios)), weights)[reach:-reach]
+
+
 def content_lines(ratios: np.ndarray, sigma: float = SIGMA, threshold: float = THRESHOLD) -> np.ndarray:
     """Flags of the lines whose smoothed ratio is above the threshold; the highest line always is."""
     if not len(ratios):
         return np.zeros(0, bool)
-    reach = max(1, int(3 * sigma))
-    weights = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
-    total = np.convolve(ratios, weights)[reach:-reach]
-    smooth = total / np.convolve(np.ones(len(ratios)), weights)[reach:-reach]
+    smooth = smoothed(ratios, sigma)
     return smooth >= min(threshold * smooth.std(), smooth.max())
 
 
@@ -229,7 +241,7 @@ def _region(page: Lines, lines: list[Line], content: np.ndarray) -> Element | No
             weights[line.element.number] += len(line.text)
     credit = page.held(weights)
     roots = [e for e in page.elements if e.root and credit[e.number]]
-    if roots:
+    if sum(credit[e.number] for e in roots if not e.in_root) >= MARKED * credit[0] > 0:
         best = max(roots, key=lambda e: (credit[e.number], -e.number))
         inside = page.below([e is best for e in page.elements])
         # Further in, as long as most of the content is there; later elements of one line are deeper.
@@ -238,6 +250,19 @@ def _region(page: Lines, lines: list[Line], content: np.ndarray) -> Element | No
     return holders[-1] if holders else None
 
 
+def _cluster(lines: list[Line], content: list[bool]) -> list[Line]:
+    """The lines from the first to the last one of content, without the lines of links that are none.
+
+    A line of links at either end is no content: the mean of its neighbours alone lifts it above the threshold.
+    """
+    links = [x.linked > MAX_LINK_SHARE * x.size for x in lines]
+    own = [i for i, chosen in enumerate(content) if chosen and not links[i]]
+    if not own:
+        return []
+    hull = range(own[0], own[-1] + 1)
+    return [lines[i] for i in hull if content[i] or not links[i]]
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, one line per block; empty if there is none."""
     page = Lines()
@@ -247,15 +272,15 @@ def main_text(html: str | None) -> str:
     lines = [line for line in page.lines if not furniture[line.element.number]]
     if not lines:
         return ""
-    ratios = np.array([len(line.text) / max(1, line.tags) for line in lines])
-    region = _region(page, lines, content_lines(ratios))
+    content = content_lines(np.array([(line.size - line.linked) / max(1, line.tags) for line in lines]))
+    region = _region(page, lines, content)
     if region is None:
         return ""
     inside = page.below([e is region for e in page.elements])
-    kept = [line for line in lines if inside[line.element.number]]
-    if not region.root:
-        kept = [x for x in kept if x.linked <= MAX_LINK_SHARE * len("".join(x.text.split()))]
-    return "\n".join(line.text for line in kept)
+    kept = [(line, chosen) for line, chosen in zip(lines, content.tolist(), strict=True) if inside[line.element.number]]
+    if region.root:
+        return "\n".join(line.text for line, _ in kept)
+    return "\n".join(line.text for line in _cluster([line for line, _ in kept], [chosen for _, chosen in kept]))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

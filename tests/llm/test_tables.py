@@ -49,11 +49,51 @@ def test_components(spark):
      f"T\n{TEXT.strip()}\na&b c"),
     (f"<div class='main with-sidebar'><p>{TEXT}</p></div>", TEXT.strip()),
     (f"<article><p>{TEXT}</p><!-- no --><![if x]>y<![endif]></article", f"{TEXT.strip()}\ny"),
+    (f"<article><p class=social-policy>{TEXT}</p><p><a href=x>{TEXT}</a></p><p class=ad>Buy</p><math><mi>x</mi></math></article>",
+     f"{TEXT.strip()}\n{TEXT.strip()}\nx"),
+    (f"<article><p>Teaser</p></article><div><p>{TEXT * 2}</p><p>{TEXT}</p></div>", f"{(TEXT * 2).strip()}\n{TEXT.strip()}"),
 ])
 def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+def plain_cluster(blocks):
+    """Indexes of the blocks of a page that the ratio keeps; a block has its text, of that the links, and its tags"""
+    ratios = [(len(t.replace(" ", "")) - n) / tags for t, n, tags in blocks]
+    smooth = []
+    for i in range(len(ratios)):
+        near = [(math.exp(-0.5 * (i - j) ** 2), r) for j, r in enumerate(ratios) if abs(i - j) <= 3]
+        smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    mean = sum(smooth) / len(smooth)
+    least = min(0.5 * math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth)), max(smooth))
+    content = [x >= least for x in smooth]
+    link = [n > 0.6 * len(t.replace(" ", "")) for t, n, _ in blocks]
+    own = [i for i in range(len(blocks)) if content[i] and not link[i]]
+    return [i for i in range(own[0], own[-1] + 1) if content[i] or not link[i]] if own else []
+
+
+def test_pages_without_telling_names(monkeypatch):
+    """Paragraphs of a body, among them menus of links before, between and after: the smoothed ratio alone decides."""
+    rng = random.Random(3)
+    pages, changed = [], 0
+    for _ in range(200):
+        blocks, parts = [], []
+        for kind, most in (("menu", 9), ("text", 12), ("menu", 4), ("text", 8), ("menu", 9)):
+            for _ in range(rng.randrange(most)):
+                words = " ".join("w" * rng.randrange(1, 9) for _ in range(rng.choice((1, 3, 30, 90)) if kind == "text" else 2))
+                linked = kind == "menu" or rng.random() < 0.1
+                parts.append(f"<p><a href='/x'>{words}</a></p>" if linked else f"<p>{words}</p>")
+                blocks.append((words, len(words.replace(" ", "")) * linked, 3 if linked else 1))
+        pages.append(f"<html><body>{''.join(parts)}</body></html>")
+        want = [blocks[i][0] for i in plain_cluster(blocks)] if blocks else []
+        assert html.main_text(pages[-1]) == "\n".join(want)
+        changed += len(want) < len(blocks)
+    assert changed > 150
+    kept = [html.main_text(page) for page in pages]
+    monkeypatch.setattr(html, "content_lines", lambda ratios: np.ones(len(ratios), bool))
+    assert sum(html.main_text(page) != text for page, text in zip(pages, kept)) > 100
+
+
 def test_op3(spark, folder):
     pages = {r.page_id: r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     import html as references
