@@ -10,7 +10,7 @@ from ..operators.late import DISCARDED, MODERATE, ON_TIME, VERY_LATE
 from ..operators.ordered import DAY_MS, HOUR_MS
 from ..operators.scoring import PAIR
 from ..session import prepare_streaming, shared_folder
-from ..sources.files import stream_events
+from ..sources.files import age_in_order, stream_events
 from ..sources.tables import EVENT_COLUMNS, SCHEMAS, as_behaviour, catalog, table, with_products
 from ..streaming.processors import (
     ACTIVITY_OUTPUT, LATE_OUTPUT, PROFILE_OUTPUT, SCORE_OUTPUT, SESSION_OUTPUT, CachedScores, CappedSessions,
@@ -40,20 +40,14 @@ def _value_bytes(rows):
 def _in_files(spark, rows, order, purpose):
     """Rows as a folder of files by ``order``, each shuffled inside; a stream takes one per micro-batch.
 
-    The number of files follows from the bytes of the rows. Rows are cut into ranges of about one size, those with equal
-    times by their id, so no time can fill a file; rows without a time come first. Spark takes files by their age, so the
-    ranges are copied one after the other. (It does not allow a limit in bytes beside the one in files.)
+    The number of files follows from the bytes of the rows. One job writes a file for each range of about one size; equal times
+    are cut by their id, so no time can fill a file; rows without a time come first.
     """
     files = max(FILES, -(-_value_bytes(rows) // FILE_BYTES))
-    ranges = rows.repartitionByRange(files, order, "event_id").withColumn("_range", F.spark_partition_id())
-    staged, path = shared_folder(spark, f"{purpose}-ranges"), shared_folder(spark, purpose)
-    ranges.write.partitionBy("_range").parquet(staged)
-    ranges = spark.read.schema(ranges.schema).parquet(staged)
-    count = (ranges.agg(F.max("_range")).first()[0] or 0) + 1
-    for i in range(files):
-        low, high = -(-count * i // files), -(-count * (i + 1) // files)
-        some = ranges.where((F.col("_range") >= low) & (F.col("_range") < high)).drop("_range")
-        some.repartition(1).sortWithinPartitions(F.xxhash64("event_id")).write.mode("append").parquet(path)
+    path = shared_folder(spark, purpose)
+    ranges = rows.repartitionByRange(files, order, "event_id").sortWithinPartitions(F.xxhash64("event_id"))
+    ranges.write.parquet(path)
+    age_in_order(spark, path)
     return path
 
 
@@ -145,10 +139,10 @@ SELECT user_id, window_start_ms, generated_at_ms, generated_at_ms <> window_star
 """)
 def x6_stream_profiles(spark, folder):
     # Two queries in a row: closed windows first, then the keyed profiles over that table.
-    closed = profile_stream(_stream(spark, folder))
+    closed = profile_stream(_stream(spark, folder, with_catalog=True))
     base = shared_folder(spark, "profile-windows")
     start_table(closed, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
-    again = spark.readStream.schema(closed.schema).parquet(f"{base}/rows")
+    again = spark.readStream.schema(closed.schema).option("maxBytesPerTrigger", str(FILE_BYTES)).parquet(f"{base}/rows")
     merged = keyed(again, "user_id", MergedProfiles(6 * HOUR_MS), PROFILE_OUTPUT)
     return _finished(spark, merged, "profiles").select(
         "user_id", "window_start_ms", "generated_at_ms", "reused", "session_count"

@@ -87,6 +87,27 @@ def stream_events(
     return prepare(spark).readStream.schema(schema).options(**(per_trigger or PER_TRIGGER)).parquet(only)
 
 
+def age_in_order(spark: SparkSession, path: str) -> None:
+    """Give the files of one write modification times in the order of their names, which is that of its partitions.
+
+    A file stream takes files by their age. The times lie a millisecond apart and end at that of the newest file, so none is
+    too old to be read. A store that keeps no times of its files is an error, as the stream would be in any order.
+    """
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    folder = make(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = lambda: sorted(
+        (status.getPath().toString(), status.getModificationTime()) for status in store.listStatus(folder)
+        if status.getPath().getName().startswith("part-"))
+    found = listed()
+    newest = max((at for _, at in found), default=0)
+    wanted = [(name, newest - len(found) + 1 + i) for i, (name, _) in enumerate(found)]
+    for name, at in wanted:
+        store.setTimes(make(name), at, -1)
+    if listed() != wanted:
+        raise OSError(f"{path}: modification times of files cannot be set here")
+
+
 def first_rows(df: DataFrame, order: list[Column], count: int, price: str = "price") -> DataFrame:
     """S3: the first ``count`` rows of a source as drift baseline, the price read as a number or null."""
     typed = df if dict(df.dtypes)[price] == "double" else df.withColumn(price, to_number(F.col(price)))
