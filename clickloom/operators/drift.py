@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import clamp
 from .activity import known_number, price_figures
 from .intake import late_by_clock, unknown_if_null
-from .ordered import block_start, exact_percentiles, percentile_columns, running, top_rows, value_block, value_slot
+from .ordered import COARSE_BLOCKS, block_start, exact_percentiles, percentile_columns, running, top_rows, value_block, value_slot
 
 PERCENTILES = {0.05: "p5", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95"}
 CATEGORICAL = ("event_type", "category_code", "brand")
@@ -259,6 +259,6 @@ def drift_history(totals: DataFrame, order: str, kept: int = HISTORY, block: int
     """Scores with the running number of processed rows, the last ``kept`` batches."""
     counted = running(
         totals, [], [order], F.col("batch_size"), "processed_total", how="sum",
-        block=block_start(F.col(order), block),
+        block=block_start(F.col(order), block), coarse=block * COARSE_BLOCKS,
     )
     return counted.orderBy(F.desc(order)).limit(kept)

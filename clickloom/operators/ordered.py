@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
+# Blocks in a coarse block, where there are two levels.
+COARSE_BLOCKS = 1000
 # Frames in a block of trailing sums: one row in so many is repeated in the next block.
 BLOCK_FRAMES = 8
 
@@ -52,17 +54,18 @@ def running(
     how: str,
     block: Column,
     before: bool = False,
+    coarse: int | None = None,
 ) -> DataFrame:
     """Running ``max``, ``sum`` or ``last`` (non-null) of ``value`` per key.
 
-    ``block`` must grow with ``order``. With ``before`` the current row does not count.
+    ``block`` must grow with ``order``. With ``before`` the current row does not count. ``coarse`` is the width of a second
+    level of blocks, a multiple of the first one's; without keys one task then takes a row per coarse block, not per block.
     """
     partial, over_blocks, merge = _reducers(how, order)
     rows = df.withColumn("_block", block).withColumn("_value", value)
     all_keys = [*keys, "_block"]
     per_block = rows.groupBy(*all_keys).agg(partial(F.col("_value")).alias("_part"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_block.select(*all_keys, over_blocks(F.col("_part")).over(earlier).alias("_carry"))
+    carried = _carried(per_block, list(keys), over_blocks, merge, how, coarse)
     inside = (
         Window.partitionBy(*all_keys).orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
@@ -75,6 +78,23 @@ def running(
     )
 
 
+def _carried(per_block: DataFrame, keys: list[str], over_blocks, merge, how: str, coarse: int | None) -> DataFrame:
+    """keys, ``_block`` and ``_carry``: what the blocks before each one add up to."""
+
+    def ahead(within: list[str], order: str) -> Column:
+        earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return over_blocks(F.col("_part")).over(earlier).alias("_carry")
+
+    if coarse is None:
+        return per_block.select(*keys, "_block", ahead(keys, "_block"))
+    within = [*keys, "_coarse"]
+    placed = per_block.withColumn("_coarse", block_start(F.col("_block"), coarse))
+    whole = F.max_by("_part", F.when(F.col("_part").isNotNull(), F.col("_block"))) if how == "last" else over_blocks(F.col("_part"))
+    far = placed.groupBy(*within).agg(whole.alias("_part")).select(*within, ahead(keys, "_coarse")).withColumnRenamed("_carry", "_far")
+    near = placed.select(*within, "_block", ahead(within, "_block"))
+    return null_safe_left(near, far, within).select(*keys, "_block", merge(F.col("_far"), F.col("_carry")).alias("_carry"))
+
+
 def null_safe_left(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A left join in which a null key meets a null key."""
     other = found.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in found.columns if c not in keys])

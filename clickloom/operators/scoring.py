@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .anchored import with_segment
-from .ordered import DAY_MS, block_start, null_safe_left, running
+from .ordered import COARSE_BLOCKS, DAY_MS, block_start, null_safe_left, running
 
 CACHE_MS = 300_000
 CACHED_LATENCY_MS = 0.1
@@ -91,7 +91,8 @@ def with_failure_default(scored: DataFrame, score: str = "score", latency: str =
 def request_batches(requests: DataFrame, order: str = "event_id", batch_size: int = REQUEST_BATCH) -> DataFrame:
     """``batch_id`` and ``batch_rows``: requests in order, in batches of one size and a short last one."""
     placed = running(
-        requests, [], [order], F.lit(1).cast("long"), "_place", how="sum", block=block_start(F.col(order), ORDER_BLOCK))
+        requests, [], [order], F.lit(1).cast("long"), "_place", how="sum", block=block_start(F.col(order), ORDER_BLOCK),
+        coarse=ORDER_BLOCK * COARSE_BLOCKS)
     batched = placed.withColumn("batch_id", F.floor((F.col("_place") - 1) / batch_size)).drop("_place")
     return batched.withColumn("batch_rows", F.count("*").over(Window.partitionBy("batch_id")))
 

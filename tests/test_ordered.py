@@ -39,6 +39,18 @@ def test_running_without_keys(spark):
     assert [r["n"] for r in out.orderBy("ts", "id").collect()] == list(range(1, len(data) + 1))
 
 
+@pytest.mark.parametrize("how", ["max", "sum", "last"])
+@pytest.mark.parametrize("keys", [[], ["user"]])
+def test_two_levels_of_blocks_give_what_one_gives(spark, how, keys):
+    _, df = frame(spark, 4, rows=400)
+    rows = df.withColumn("user", F.when(F.col("user") != "u1", F.col("user")))
+    one, two = (
+        {r["id"]: r["out"] for r in running(
+            rows, keys, ["ts", "id"], F.col("v"), "out", how=how, block=block_start(F.col("ts"), 100), coarse=coarse).collect()}
+        for coarse in (None, 700))
+    assert one == two and len(one) == 400
+
+
 @pytest.mark.parametrize("include", [True, False])
 def test_trailing_sums(spark, include):
     data, df = frame(spark, 3, span=3000)
