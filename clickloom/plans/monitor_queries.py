@@ -13,7 +13,7 @@ from ..operators.drift import (
     drift_report, drift_totals, hour_profile, mean_shift, numeric_baseline, quantile_distance,
 )
 from ..operators.latency_stats import (
-    PROCESSING_BUCKETS, batch_efficiency, histogram, load_stats, service_stats, sla_stats,
+    CONSUMPTION_BUCKETS, PROCESSING_BUCKETS, batch_efficiency, histogram, load_stats, service_stats, sla_stats,
 )
 from ..operators.activity import price_stats, top_by_count
 from ..operators.notify import active_groups, schedule
@@ -319,6 +319,16 @@ def a13_latency_histogram(spark, folder):
     return counted.withColumn("sum", F.round("sum", 4))
 
 
+@query("a13_consumption_histogram", f"""
+WITH {SAMPLES_SQL}
+SELECT le, count(*) FILTER (latency_ms / 2 <= le) AS events, round(sum(latency_ms / 2), 4) AS sum
+FROM samples, (SELECT unnest([0.1, 0.5, 1, 2, 5, 10, 30, 60, CAST('inf' AS DOUBLE)]) AS le) GROUP BY 1
+""")
+def a13_consumption_histogram(spark, folder):
+    counted = histogram(latency_samples(spark, folder), F.col("latency_ms") / 2.0, CONSUMPTION_BUCKETS)
+    return counted.withColumn("sum", F.round("sum", 4))
+
+
 def _runs_sql(source: str, condition: str, hold: str, keys: str = "instance") -> str:
     return f"""
 named AS (SELECT *, coalesce(({condition}), false) AS met,
