@@ -38,6 +38,7 @@ def _header() -> Column:
         F.lit(f"WARC/1.1{BREAK}"),
         field("WARC-Type", F.col("record_type")),
         field("WARC-Record-ID", _urn(F.col("page_id"))),
+        field("WARC-Date", F.date_format(F.to_utc_timestamp("captured", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         F.coalesce(field("WARC-Target-URI", _one_line(F.col("url"))), none),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, field(
@@ -51,21 +52,25 @@ def _header() -> Column:
 
 def write_archive(
     pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_BYTES,
+    captured: str | None = None,
 ) -> None:
     """Write an archive of ``pages`` to a new folder.
 
+    ``captured`` names a timestamp column for the dates of the records; without it, or where it is null, they have the time of
+    writing.
     A null html is an empty payload, a null url leaves its header field out, a null page id is written as ``none`` and is
     never the largest. Repeated rows give repeated records; rows that share the largest id of a payload are all responses.
     An empty table gives an empty archive. Other columns are not stored.
     """
     payload = F.encode(F.coalesce(F.col(html).cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(
-        F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
+        F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"),
+        F.coalesce(*([F.col(captured).cast("timestamp")] if captured else []), F.current_timestamp()).alias("captured"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
     rows.groupBy("digest").agg(F.first("payload").alias("payload")).write.option("compression", "zstd").parquet(
         f"{path}/payloads")
     figures = rows.select(
-        "page_id", "url", "digest", F.octet_length("payload").cast("long").alias("size"), F.sha1("payload").alias("sha1"))
+        "page_id", "url", "captured", "digest", F.octet_length("payload").cast("long").alias("size"), F.sha1("payload").alias("sha1"))
     holders = figures.where(F.col("size") >= least).groupBy("digest").agg(F.max("page_id").alias("holder"))
     records = figures.join(holders, "digest", "left")
     later = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
@@ -93,7 +98,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
     field = lambda name: F.regexp_extract("header", f"\r\n{name}: ([^\r\n]*)\r\n", 1)
     number = lambda name: F.expr("try_cast(regexp_extract(" + name + ", '^<urn:page:(-?[0-9]+)>$', 1) as long)")
     parsed = records.join(checked, "digest").select(
-        "*", field("WARC-Type").alias("record_type"), field("WARC-Record-ID").alias("_id"),
+        "*", field("WARC-Type").alias("record_type"), field("WARC-Date").alias("date"), field("WARC-Record-ID").alias("_id"),
         field("WARC-Refers-To").alias("_refers"), field("WARC-Payload-Digest").alias("_sha1"),
         F.when(field("WARC-Target-URI") != "", field("WARC-Target-URI")).alias("target_uri"))
     same = F.concat(F.lit("sha1:"), F.col("payload_digest")) == F.col("_sha1")
@@ -101,7 +106,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
         number("_id").alias("page_id"), "target_uri", "payload_bytes",
         F.when(same, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record and its payload differ")))
         .alias("payload_digest"),
-        "record_type", number("_refers").alias("refers_to"), "header", *(["payload"] if with_payload else []),
+        "record_type", number("_refers").alias("refers_to"), "date", "header", *(["payload"] if with_payload else []),
     )
 
 

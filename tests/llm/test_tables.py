@@ -140,6 +140,17 @@ def test_against_sql(spark, folder, name):
     assert problem is None and rows > 0
 
 
+def test_archive_dates(spark):
+    rows = [(1, "u", "x", "2024-02-29 23:59:58.9", "a"), (2, "u", "x", None, "b"), (3, "\r\nWARC-Date: no", "y" * 1000, "1999-12-31 00:00:00", "c")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, at string, date string")
+    path = shared_path(spark, "archive")
+    warc.write_archive(frame, path, captured="at")
+    found = {r.page_id: r for r in warc.read_archive(spark, path).collect()}
+    assert (found[1].date, found[3].date) == ("2024-02-29T23:59:58Z", "1999-12-31T00:00:00Z")
+    assert found[2].date[:3] == "202" and len(found[2].date) == 20
+    assert all(r.header.count("\r\nWARC-Date: ") == 1 for r in found.values())
+
+
 def test_archive(spark):
     long, short = "x" * 1200, "é" * 10
     rows = [
