@@ -5,6 +5,7 @@ Micro-batches are handled in the order they arrive, and the rows of a key inside
 arrival), so sources that are in order up to the size of a micro-batch give the same rows however they are cut; older rows
 that come in a later micro-batch are held against the state as it is then. Spark hands over the rows of one key in one
 micro-batch, whose size the source limits; the state of a key is bounded by the cap, the frame or the lifetime it serves.
+But for late classes, whose shards are few, keys come and are kept by buckets (``buckets``).
 With a lifetime (X7: ``SESSION_STATE_MS`` and its like as ``state_ms``) a key that stops arriving leaves the state by the
 clock. Such a query looks at the clock again and again, so it is one that runs on; a run over what is there, which ends,
 has no lifetime, and compares stored times with event times where that is asked for.
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -24,6 +26,7 @@ from ..operators.profiles import ENOUGH_VIEWED
 from ..operators.recommend import CACHE_LIST_MS
 from ..operators.scoring import CACHE_MS
 from ..operators.sessions import CAP_MS, KEPT_EVENTS, KEPT_SESSIONS
+from .buckets import BucketProcessor, KeyTable, in_buckets
 
 # Lifetimes of keyed state.
 SESSION_STATE_MS, WINDOW_STATE_MS, CACHE_STATE_MS = 3_600_000, 300_000, 300_000
@@ -79,64 +82,61 @@ LATE_OUTPUT = (
 )
 
 
-class CappedSessions(StatefulProcessor):
-    """X4 per user: the open session in one value, the starts and durations of the last ten in a list."""
+NAMES = pa.list_(pa.string())
+
+
+class CappedSessions(BucketProcessor):
+    """X4 per user: the open session in one table, the starts and durations of the last ten in another."""
 
     def __init__(self, cap_ms: int = CAP_MS, lifetime_ms: int | None = None, state_ms: int | None = None):
         self.cap, self.lifetime, self.state_ms = cap_ms, lifetime_ms, state_ms
 
     def init(self, handle) -> None:
-        self.open = handle.getValueState(
-            "open", "start long, last long, times array<long>, products array<string>, categories array<string>",
-            self.state_ms,
-        )
-        self.history = handle.getListState("history", "start long, duration long", self.state_ms)
+        times = pa.list_(pa.int64())
+        self.open = KeyTable(handle, "open", self.keys, {
+            "start": pa.int64(), "last": pa.int64(), "times": times, "products": NAMES, "categories": NAMES}, self.state_ms)
+        self.history = KeyTable(handle, "history", self.keys, {"starts": times, "durations": times}, self.state_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = _in_order(rows, ["ts_ms", "event_id"])
-        current = None
-        if self.open.exists():
-            start, last, times, products, categories = self.open.get()
-            current = [start, last, list(times), set(products), set(categories)]
-        closed = []
-        for ts, product, category in zip(
-            frame["ts_ms"].tolist(), frame["product_id"].tolist(), frame["category_id"].tolist()
-        ):
-            if current is not None and self.lifetime is not None and ts - current[1] > self.lifetime:
-                current = None
-            if current is None:
-                current = [ts, ts, [], set(), set()]
-            current[1] = ts
-            current[2].append(ts)
-            if len(current[2]) > KEPT_EVENTS:
-                del current[2][0]
-            if product is not None:
-                current[3].add(product)
-            if category is not None:
-                current[4].add(category)
-            if ts - current[0] > self.cap:
-                closed.append(current)
-                current = None
-        if current is None:
-            self.open.clear()
-        else:
-            self.open.update((current[0], current[1], current[2], sorted(current[3]), sorted(current[4])))
-        if closed:
-            kept = [tuple(h) for h in self.history.get()] if self.history.exists() else []
-            kept += [(c[0], c[1] - c[0]) for c in closed]
-            self.history.put(sorted(kept)[-KEPT_SESSIONS:])
-            yield pd.DataFrame({
-                "user_id": [key[0]] * len(closed),
-                "start_time": [c[0] for c in closed],
-                "last_update": [c[1] for c in closed],
-                "duration_ms": [c[1] - c[0] for c in closed],
-                "event_count": [len(c[2]) for c in closed],
-                "unique_products": [len(c[3]) for c in closed],
-                "unique_categories": [len(c[4]) for c in closed],
-            })
-
-    def close(self) -> None:
-        pass
+        frame, groups = self._in_order(rows, ["ts_ms", "event_id"])
+        columns = [frame[c].tolist() for c in ("ts_ms", "product_id", "category_id")]
+        sessions, out = self.open.read(), []
+        for name, a, b in groups:
+            current, found = sessions.pop(name, None), []
+            if current is not None:
+                start, last, times, products, categories = current
+                current = [start, last, times, set(products), set(categories)]
+            for ts, product, category in zip(*(c[a:b] for c in columns)):
+                if current is not None and self.lifetime is not None and ts - current[1] > self.lifetime:
+                    current = None
+                if current is None:
+                    current = [ts, ts, [], set(), set()]
+                current[1] = ts
+                current[2].append(ts)
+                if len(current[2]) > KEPT_EVENTS:
+                    del current[2][0]
+                if product is not None:
+                    current[3].add(product)
+                if category is not None:
+                    current[4].add(category)
+                if ts - current[0] > self.cap:
+                    found.append(current)
+                    current = None
+            if current is not None:
+                sessions[name] = (*current[:3], sorted(current[3]), sorted(current[4]))
+            if found:
+                out.append((name, found))
+        self.open.write(sessions)
+        if out:
+            history = self.history.read()
+            for name, found in out:
+                kept = [*zip(*history.get(name, ((), ()))), *((c[0], c[1] - c[0]) for c in found)]
+                history[name] = tuple(map(list, zip(*sorted(kept)[-KEPT_SESSIONS:])))
+            self.history.write(history)
+            yield pd.DataFrame(
+                [(name[0], c[0], c[1], c[1] - c[0], len(c[2]), len(c[3]), len(c[4])) for name, found in out for c in found],
+                columns=["user_id", "start_time", "last_update", "duration_ms", "event_count", "unique_products",
+                         "unique_categories"])
 
 
 SESSION_OUTPUT = (
@@ -145,25 +145,33 @@ SESSION_OUTPUT = (
 )
 
 
-class TrailingActivity(StatefulProcessor):
+class TrailingActivity(BucketProcessor):
     """W1 per user: the events of the trailing frame are the state; each arrival drops what is too old for it."""
 
     def __init__(self, width_ms: int = 60_000, state_ms: int | None = None):
         self.width, self.state_ms = width_ms, state_ms
 
     def init(self, handle) -> None:
-        self.recent = handle.getValueState("recent", "times array<long>, kinds array<string>", self.state_ms)
+        self.recent = KeyTable(handle, "recent", self.keys, {"times": pa.list_(pa.int64()), "kinds": NAMES}, self.state_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = _in_order(rows, ["ts_ms", "event_id"])
-        times, kinds = [], []
-        if self.recent.exists():
-            times, kinds = (list(x) for x in self.recent.get())
-        first, counts, totals, maps = 0, {}, [], []
+        frame, groups = self._in_order(rows, ["ts_ms", "event_id"])
+        arrived, arrived_kinds = frame["ts_ms"].tolist(), frame["event_type"].tolist()
+        recent, totals, maps = self.recent.read(), [], []
+        for name, a, b in groups:
+            times, kinds = (list(x) for x in recent.get(name, ((), ())))
+            recent[name] = self._counted(times, kinds, zip(arrived[a:b], arrived_kinds[a:b]), totals, maps)
+        self.recent.write(recent)
+        yield frame[["event_id", "user_id", "ts_ms"]].assign(
+            total_events=totals, event_type_counts=maps, events_per_second=np.array(totals) / (self.width / 1000.0))
+
+    def _counted(self, times: list, kinds: list, rows: Iterator[tuple], totals: list, maps: list) -> tuple[list, list]:
+        """Adds the figures of the rows of one key; returns what is left in the frame."""
+        first, counts = 0, {}
         for kind in kinds:
             counts[kind] = counts.get(kind, 0) + 1
         in_order = times == sorted(times)
-        for ts, kind in zip(frame["ts_ms"].tolist(), frame["event_type"].tolist()):
+        for ts, kind in rows:
             in_order = in_order and (not times or times[-1] <= ts)
             times.append(ts)
             kinds.append(kind)
@@ -179,15 +187,7 @@ class TrailingActivity(StatefulProcessor):
                 first += 1
             totals.append(len(times) - first)
             maps.append({k: n for k, n in counts.items() if n})
-        self.recent.update((times[first:], kinds[first:]))
-        yield pd.DataFrame({
-            "event_id": frame["event_id"], "user_id": key[0], "ts_ms": frame["ts_ms"],
-            "total_events": totals, "event_type_counts": maps,
-            "events_per_second": np.array(totals) / (self.width / 1000.0),
-        })
-
-    def close(self) -> None:
-        pass
+        return times[first:], kinds[first:]
 
 
 ACTIVITY_OUTPUT = (
@@ -196,7 +196,7 @@ ACTIVITY_OUTPUT = (
 )
 
 
-class MergedProfiles(StatefulProcessor):
+class MergedProfiles(BucketProcessor):
     """X6/R1/A2 per user: the merged profile, and when its list of recommendations was made.
 
     A profile that arrives while the list is younger than its lifetime reuses it; the stored profile is not
@@ -207,44 +207,40 @@ class MergedProfiles(StatefulProcessor):
         self.list_ms = list_ms
 
     def init(self, handle) -> None:
-        self.profile = handle.getValueState(
-            "profile",
-            "viewed array<string>, purchased array<string>, categories array<string>, last long, sessions long, "
-            "mean double",
-        )
-        self.made = handle.getValueState("made", "at long, route string")
+        self.profile = KeyTable(handle, "profile", self.keys, {
+            "viewed": NAMES, "purchased": NAMES, "categories": NAMES, "last": pa.int64(), "sessions": pa.int64(),
+            "mean": pa.float64()})
+        self.made = KeyTable(handle, "made", self.keys, {"at": pa.int64(), "route": pa.string()})
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = _in_order(rows, ["window_start_ms"])
-        known = self.profile.get() if self.profile.exists() else None
-        made = self.made.get() if self.made.exists() else None
-        out = []
-        for row in frame.itertuples(index=False):
-            at = int(row.window_start_ms)
-            reused = made is not None and at - made[0] < self.list_ms
-            if not reused:
-                sets = [set(row.viewed_products), set(row.purchased_products), set(row.categories_preferred)]
-                if known is None:
-                    route = "personalized" if len(sets[0]) >= ENOUGH_VIEWED else "cold_start"
-                    known = (*map(sorted, sets), int(row.last_activity_ms), 1, float(row.avg_session_duration))
-                else:
-                    route, n = "personalized", known[4] + 1
-                    merged = [sorted(old | new) for old, new in zip(map(set, known[:3]), sets)]
-                    mean = (known[5] * known[4] + float(row.avg_session_duration)) / n
-                    known = (*merged, max(known[3], int(row.last_activity_ms)), n, mean)
-                made = (at, route)
-            out.append((key[0], at, made[0], made[1], reused, known[4], known[5], list(known[0]), list(known[1]),
-                        list(known[2])))
-        self.profile.update(tuple(known))
-        self.made.update(tuple(made))
+        frame, groups = self._in_order(rows, ["window_start_ms"])
+        columns = [frame[c].tolist() for c in (
+            "window_start_ms", "viewed_products", "purchased_products", "categories_preferred", "last_activity_ms",
+            "avg_session_duration")]
+        profiles, lists, out = self.profile.read(), self.made.read(), []
+        for name, a, b in groups:
+            known, made = profiles.get(name), lists.get(name)
+            for at, viewed, purchased, categories, last, duration in zip(*(c[a:b] for c in columns)):
+                reused = made is not None and at - made[0] < self.list_ms
+                if not reused:
+                    sets = [set(viewed), set(purchased), set(categories)]
+                    if known is None:
+                        route = "personalized" if len(sets[0]) >= ENOUGH_VIEWED else "cold_start"
+                        known = (*map(sorted, sets), int(last), 1, float(duration))
+                    else:
+                        route, n = "personalized", known[4] + 1
+                        merged = [old if new.issubset(old) else sorted(new.union(old)) for old, new in zip(known[:3], sets)]
+                        known = (*merged, max(known[3], int(last)), n, (known[5] * known[4] + float(duration)) / n)
+                    made = (int(at), route)
+                out.append((name[0], int(at), made[0], made[1], reused, known[4], known[5], *known[:3]))
+            profiles[name], lists[name] = known, made
+        self.profile.write(profiles)
+        self.made.write(lists)
         yield pd.DataFrame(out, columns=[
             "user_id", "window_start_ms", "generated_at_ms", "route", "reused", "session_count",
             "avg_session_duration", "viewed_products", "purchased_products", "categories_preferred",
         ])
 
-    def close(self) -> None:
-        pass
-
 
 PROFILE_OUTPUT = (
     "user_id string, window_start_ms long, generated_at_ms long, route string, reused boolean, session_count long, "
@@ -253,46 +249,32 @@ PROFILE_OUTPUT = (
 )
 
 
-class CachedScores(StatefulProcessor):
+class CachedScores(BucketProcessor):
     """J4/R5 per user and product: the stored score and when it was made. A request without a score stores nothing."""
 
     def __init__(self, ttl_ms: int = CACHE_MS, state_ms: int | None = None):
         self.ttl, self.state_ms = ttl_ms, state_ms
 
     def init(self, handle) -> None:
-        self.entry = handle.getValueState("entry", "score double, at long", self.state_ms)
+        self.entry = KeyTable(handle, "entry", self.keys, {"score": pa.float64(), "at": pa.int64()}, self.state_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = _in_order(rows, ["ts_ms", "event_id"])
-        times = frame["ts_ms"].to_numpy(np.int64)
-        own = frame["score"].to_numpy(np.float64, na_value=np.nan)
-        able = np.flatnonzero(~np.isnan(own))
-        stored = self.entry.get() if self.entry.exists() else None
-        cached, scores = np.zeros(len(times), bool), np.full(len(times), np.nan)
-        made = np.full(len(times), -1)
-        at = 0
-        while at < len(times):  # once for each entry that the batch meets, not for each row
-            if stored is not None and times[at] - stored[1] < self.ttl:
-                end = int(np.searchsorted(times, stored[1] + self.ttl))
-                cached[at:end], scores[at:end], made[at:end] = True, stored[0], stored[1]
-                at = end
-                continue
-            here = np.searchsorted(able, at)
-            if here == len(able):
-                break
-            at = int(able[here])
-            stored = (float(own[at]), int(times[at]))
-            scores[at], made[at] = stored
-            at += 1
-        if stored is not None:
-            self.entry.update(stored)
-        out = frame[["event_id", "user_id", "product_id"]].assign(
-            score=pd.array(np.where(made < 0, 0, scores), "Float64"), cached=cached, cached_at_ms=pd.array(made, "Int64"))
-        out.loc[made < 0, ["score", "cached_at_ms"]] = pd.NA
-        yield out
-
-    def close(self) -> None:
-        pass
+        frame, groups = self._in_order(rows, ["ts_ms", "event_id"])
+        times, own = frame["ts_ms"].tolist(), frame["score"].to_numpy(np.float64, na_value=np.nan).tolist()
+        entries, cached, scores, made = self.entry.read(), [], [], []
+        for name, a, b in groups:
+            stored = entries.get(name)
+            for ts, score in zip(times[a:b], own[a:b]):
+                young = stored is not None and ts - stored[1] < self.ttl
+                if not young and score == score:  # not NaN
+                    stored = entries[name] = (score, ts)
+                answer = stored if young or score == score else (None, None)
+                cached.append(young)
+                scores.append(answer[0])
+                made.append(answer[1])
+        self.entry.write(entries)
+        yield frame[["event_id", "user_id", "product_id"]].assign(
+            score=pd.array(scores, "Float64"), cached=cached, cached_at_ms=pd.array(made, "Int64"))
 
 
 SCORE_OUTPUT = "event_id long, user_id string, product_id string, score double, cached boolean, cached_at_ms long"
@@ -301,6 +283,7 @@ SCORE_OUTPUT = "event_id long, user_id string, product_id string, score double,
 def keyed(df: DataFrame, key: str | list[str], processor: StatefulProcessor, output: str) -> DataFrame:
     keys = [key] if isinstance(key, str) else key
     clock = "ProcessingTime" if getattr(processor, "state_ms", None) else "None"
-    return df.groupBy(*keys).transformWithStateInPandas(
+    grouped = in_buckets(df, processor, keys) if isinstance(processor, BucketProcessor) else df.groupBy(*keys)
+    return grouped.transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=clock
     )

@@ -9,90 +9,81 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.profiles import PURCHASE, VIEW
 from ..operators.sessions import CAP_MS, KEPT_EVENTS
-from .processors import SESSION_STATE_MS, MergedProfiles, _in_order
+from .buckets import KeyTable, TimedBuckets, in_buckets
+from .processors import NAMES, SESSION_STATE_MS, MergedProfiles
 
 
-class CorrectedWindows(StatefulProcessor):
+class CorrectedWindows(TimedBuckets):
     """X2 with allowed lateness, per user: a window is sent when it is complete, and again when a late event enters it.
 
     The stream's watermark has to lie ``allowed_ms`` behind the one that completes windows, as Spark drops what is older than
     it. A window is thus complete ``allowed_ms`` before its end by that watermark, and dropped at its end; both are timers. A
-    frame of rows is reduced to its windows before the next one is read.
+    frame of rows is reduced to its windows before the next one is read. The state has a row per user and window.
     """
 
     def __init__(self, size_ms: int = 600_000, allowed_ms: int = 300_000):
         self.size, self.allowed = size_ms, allowed_ms
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.windows = handle.getMapState(
-            "windows", "start long",
-            "viewed array<string>, purchased array<string>, events long, first long, last long, revision int")
+        super().init(handle)
+        self.windows = KeyTable(handle, "windows", [*self.keys, "start"], {
+            "viewed": NAMES, "purchased": NAMES, "events": pa.int64(), "first": pa.int64(), "last": pa.int64(),
+            "revision": pa.int32()})
 
     def _merged(self, found: dict, frame: pd.DataFrame) -> None:
-        ts = frame["ts_ms"].to_numpy(np.int64)
-        order = np.argsort(ts - ts % self.size, kind="stable")
-        ts = ts[order]
-        start = ts - ts % self.size
-        kinds, products = frame["event_type"].to_numpy(object)[order], frame["product_id"].to_numpy(object)[order]
-        named = pd.notna(products)
-        cuts = np.flatnonzero(np.diff(start, prepend=start[0] - 1))
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(ts)]):
-            window = found.get(int(start[a]))
+        for user, ts, kind, product in zip(*(frame[c].tolist() for c in ("user_id", "ts_ms", "event_type", "product_id"))):
+            place = user, ts - ts % self.size
+            window = found.get(place)
             if window is None:
-                window = found[int(start[a])] = [set(), set(), 0, int(ts[a]), int(ts[a])]
-            for at, kind in enumerate((VIEW, PURCHASE)):
-                window[at].update(products[a:b][(kinds[a:b] == kind) & named[a:b]].tolist())
-            window[2] += b - a
-            window[3], window[4] = min(window[3], int(ts[a:b].min())), max(window[4], int(ts[a:b].max()))
+                window = found[place] = [set(), set(), 0, ts, ts]
+            if product is not None and kind in (VIEW, PURCHASE):
+                window[0 if kind == VIEW else 1].add(product)
+            window[2] += 1
+            window[3], window[4] = min(window[3], ts), max(window[4], ts)
 
     def handleInputRows(self, key, rows, timerValues):
-        found: dict[int, list] = {}
+        found: dict[tuple, list] = {}
         for frame in rows:
-            if len(frame):
-                self._merged(found, frame)
-        watermark = timerValues.getCurrentWatermarkInMs()
-        out = []
-        for start, (viewed, purchased, events, first, last) in sorted(found.items()):
-            revision, complete = -1, start + self.size - self.allowed
-            if self.windows.containsKey((start,)):
-                old = self.windows.getValue((start,))
-                viewed, purchased, events = viewed | set(old[0]), purchased | set(old[1]), events + old[2]
+            self._merged(found, frame)
+        watermark, windows, out = timerValues.getCurrentWatermarkInMs(), self.windows.read(), []
+        for place, (viewed, purchased, events, first, last) in found.items():
+            old = windows.get(place)
+            revision = -1
+            if old is not None:
+                viewed, purchased, events = viewed.union(old[0]), purchased.union(old[1]), events + old[2]
                 first, last, revision = min(first, old[3]), max(last, old[4]), old[5]
-            else:
-                self.handle.registerTimer(start + self.size)
-                if complete > watermark:
-                    self.handle.registerTimer(complete)
-            if revision >= 0 or complete <= watermark:
+            if revision >= 0 or place[1] + self.size - self.allowed <= watermark:
                 revision += 1
-            state = (sorted(viewed), sorted(purchased), events, first, last, revision)
-            self.windows.updateValue((start,), state)
+            state = windows[place] = (sorted(viewed), sorted(purchased), events, first, last, revision)
             if revision >= 0:
-                out.append((key[0], start, *state))
+                out.append((*place, *state))
+        self._keep(windows)
         if out:
             yield pd.DataFrame(out, columns=WINDOW_COLUMNS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        done, over = (at + self.allowed - self.size,), (at - self.size,)
-        if self.windows.containsKey(done):
-            state = self.windows.getValue(done)
-            if state[5] < 0:
-                state = (list(state[0]), list(state[1]), *state[2:5], 0)
-                self.windows.updateValue(done, state)
-                yield pd.DataFrame([(key[0], done[0], *state)], columns=WINDOW_COLUMNS)
-        if self.windows.containsKey(over):
-            self.windows.removeKey(over)
+        watermark, kept, out = timerValues.getCurrentWatermarkInMs(), {}, []
+        for place, state in self.windows.read().items():
+            if state[5] < 0 and place[1] + self.size - self.allowed <= watermark:
+                state = (*state[:5], 0)
+                out.append((*place, *state))
+            if place[1] + self.size > watermark:
+                kept[place] = state
+        self.timer.clear()  # Spark has taken it
+        self._keep(kept)
+        if out:
+            yield pd.DataFrame(out, columns=WINDOW_COLUMNS)
 
-    def close(self) -> None:
-        pass
+    def _keep(self, windows: dict[tuple, tuple]) -> None:
+        self.windows.write(windows)
+        self._wake(min((
+            start + self.size - (self.allowed if state[5] < 0 else 0) for (_, start), state in windows.items()), default=None))
 
 
 WINDOW_COLUMNS = [
@@ -103,72 +94,65 @@ WINDOW_OUTPUT = (
     "first_activity_ms long, last_activity_ms long, revision int")
 
 
-class SilentSessions(StatefulProcessor):
-    """X4 with X7's lifetime, per user: a session closes at its cap, or is sent by a timer after a silence.
-
-    Rows are taken by session, not one by one: the next end is the nearer of the next long gap and the first event beyond the cap.
-    """
+class SilentSessions(TimedBuckets):
+    """X4 with X7's lifetime, per user: a session closes at its cap, or is sent by a timer after a silence."""
 
     def __init__(self, cap_ms: int = CAP_MS, silence_ms: int = SESSION_STATE_MS):
         self.cap, self.silence = cap_ms, silence_ms
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState(
-            "open", "start long, last long, events long, products array<string>, categories array<string>")
+        super().init(handle)
+        self.open = KeyTable(handle, "open", self.keys, {
+            "start": pa.int64(), "last": pa.int64(), "events": pa.int64(), "products": NAMES, "categories": NAMES})
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = _in_order(rows, ["ts_ms", "event_id"])
-        ts = frame["ts_ms"].to_numpy(np.int64)
-        items = [frame[name].to_numpy(object) for name in ("product_id", "category_id")]
-        gaps = np.flatnonzero(np.diff(ts) > self.silence) + 1
-        current, timer = None, None
-        if self.open.exists():
-            start, last, events, *known = self.open.get()
-            current, timer = [start, last, events, *map(set, known)], last + self.silence + 1
-        closed, at = [], 0
-        while at < len(ts):
-            if current is not None and ts[at] - current[1] > self.silence:
-                closed.append((*current, "silent"))
-                current = None
-            if current is None:
-                current = [int(ts[at]), int(ts[at]), 0, set(), set()]
-            gap = int(np.searchsorted(gaps, at, "right"))
-            beyond = max(at, int(np.searchsorted(ts, current[0] + self.cap, "right")))
-            end = min(int(gaps[gap]) if gap < len(gaps) else len(ts), beyond + 1, len(ts))
-            current[1], current[2] = max(current[1], int(ts[end - 1])), current[2] + end - at
-            for seen, column in zip(current[3:], items):
-                part = column[at:end]
-                seen.update(part[pd.notna(part)].tolist())
-            if end == beyond + 1:
-                closed.append((*current, "cap"))
-                current = None
-            at = end
-        if timer is not None and (current is None or current[1] + self.silence + 1 != timer):
-            self.handle.deleteTimer(timer)
-        if current is None:
-            self.open.clear()
-        else:
-            self.open.update((*current[:3], sorted(current[3]), sorted(current[4])))
-            self.handle.registerTimer(current[1] + self.silence + 1)
+        frame, groups = self._in_order(rows, ["ts_ms", "event_id"])
+        columns = [frame[c].tolist() for c in ("ts_ms", "product_id", "category_id")]
+        sessions, closed = self.open.read(), []
+        for name, a, b in groups:
+            current = sessions.pop(name, None)
+            if current is not None:
+                current = [*current[:3], *map(set, current[3:])]
+            for ts, product, category in zip(*(c[a:b] for c in columns)):
+                if current is not None and ts - current[1] > self.silence:
+                    closed.append((name, *current, "silent"))
+                    current = None
+                if current is None:
+                    current = [ts, ts, 0, set(), set()]
+                current[1], current[2] = max(current[1], ts), current[2] + 1
+                for seen, item in zip(current[3:], (product, category)):
+                    if item is not None:
+                        seen.add(item)
+                if ts - current[0] > self.cap:
+                    closed.append((name, *current, "cap"))
+                    current = None
+            if current is not None:
+                sessions[name] = (*current[:3], sorted(current[3]), sorted(current[4]))
+        self._keep(sessions)
         if closed:
-            yield self._sent(key, closed)
+            yield self._sent(closed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            state = self.open.get()
-            if state[1] + self.silence < expiredTimerInfo.getExpiryTimeInMs():
-                self.open.clear()
-                yield self._sent(key, [(*state, "silent")])
+        watermark, kept, closed = timerValues.getCurrentWatermarkInMs(), {}, []
+        for name, state in self.open.read().items():
+            if state[1] + self.silence < watermark:
+                closed.append((name, *state, "silent"))
+            else:
+                kept[name] = state
+        self.timer.clear()  # Spark has taken it
+        self._keep(kept)
+        if closed:
+            yield self._sent(closed)
+
+    def _keep(self, sessions: dict[tuple, tuple]) -> None:
+        self.open.write(sessions)
+        self._wake(min((state[1] + self.silence + 1 for state in sessions.values()), default=None))
 
     @staticmethod
-    def _sent(key, closed: Sequence[tuple]) -> pd.DataFrame:
+    def _sent(closed: Sequence[tuple]) -> pd.DataFrame:
         return pd.DataFrame([
-            (key[0], start, last, last - start, min(events, KEPT_EVENTS), len(products), len(categories), reason)
-            for start, last, events, products, categories, reason in closed], columns=CLOSED_COLUMNS)
-
-    def close(self) -> None:
-        pass
+            (name[0], start, last, last - start, min(events, KEPT_EVENTS), len(products), len(categories), reason)
+            for name, start, last, events, products, categories, reason in closed], columns=CLOSED_COLUMNS)
 
 
 CLOSED_COLUMNS = [
@@ -182,16 +166,18 @@ class ResumedProfiles(MergedProfiles):
     """X6 that goes on from profiles merged in batch (A2)."""
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        profiles = self.profile.read()  # a bucket may come in several frames
         for row in initialState.itertuples(index=False):
-            self.profile.update((
+            profiles[(row.user_id,)] = (
                 list(row.viewed_products), list(row.purchased_products), list(row.categories_preferred), int(row.last_activity_ms),
-                int(row.session_count), float(row.avg_session_duration)))
+                int(row.session_count), float(row.avg_session_duration))
+        self.profile.write(profiles)
 
 
-def timed(stream: DataFrame, key: str, processor: StatefulProcessor, output: str, delay_ms: int) -> DataFrame:
+def timed(stream: DataFrame, key: str, processor: TimedBuckets, output: str, delay_ms: int) -> DataFrame:
     """A processor with timers; ``stream`` has event_time, and rows more than ``delay_ms`` behind the largest one are dropped."""
     watermarked = stream.withWatermark("event_time", f"{delay_ms} milliseconds")
-    return watermarked.groupBy(key).transformWithStateInPandas(
+    return in_buckets(watermarked, processor, [key]).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime")
 
 
@@ -204,9 +190,10 @@ def corrected_windows(
 
 def resumed(stream: DataFrame, profiles: DataFrame, processor: ResumedProfiles, output: str) -> DataFrame:
     """Keyed profiles over a stream of window profiles, with ``profiles`` from a batch as the state to begin with."""
-    return stream.groupBy("user_id").transformWithStateInPandas(
+    keys = ["user_id"]
+    return in_buckets(stream, processor, keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="None",
-        initialState=profiles.groupBy("user_id"))
+        initialState=in_buckets(profiles, processor, keys))
 
 
 def each_once(stream: DataFrame, key: Sequence[str], within: str) -> DataFrame:
