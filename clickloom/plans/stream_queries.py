@@ -24,7 +24,10 @@ from .registry import query
 
 
 FILES = 4  # at least
-FILE_BYTES = 64 * 1024 * 1024  # of values in a file, which bounds what a micro-batch and so a hot key brings to one task
+# Of values in a file, which bounds what a micro-batch and so a hot key brings to one task. Every micro-batch visits the state of the
+# users who come in it, so small ones cost more than the rows do.
+FILE_BYTES = 256 * 1024 * 1024
+PARTITIONS = 64  # of a micro-batch, at most
 ONE_FILE = {"maxFilesPerTrigger": "1"}
 
 
@@ -62,7 +65,7 @@ def _stream(spark, folder, with_catalog=False):
 
 def _finished(spark, stream, name, start=start_table, **options):
     base = shared_folder(spark, name)
-    start(stream, f"{base}/rows", f"{base}/checkpoint", **options).awaitTermination()
+    start(stream, f"{base}/rows", f"{base}/checkpoint", partitions=PARTITIONS, **options).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows").select(*stream.columns)
 
 
@@ -92,7 +95,7 @@ def x3_stream_late_classes(spark, folder):
     classified = keyed(arrived, "shard", LateClasses(), LATE_OUTPUT)
     base = shared_folder(spark, "late")
     classes = (ON_TIME, MODERATE, VERY_LATE, DISCARDED)
-    start_split(classified, f"{base}/rows", f"{base}/checkpoint", classes).awaitTermination()
+    start_split(classified, f"{base}/rows", f"{base}/checkpoint", classes, partitions=PARTITIONS).awaitTermination()
     parts = [spark.read.schema(classified.schema).parquet(f"{base}/rows/{name}") for name in classes]
     merged = parts[0]
     for part in parts[1:]:
@@ -181,7 +184,9 @@ def r5_stream_stored_scores(spark, folder):
 def x5_stream_last_seen(spark, folder):
     # Update mode: every micro-batch writes the users it touched; the newest row of a user is the state.
     base = shared_folder(spark, "last-seen")
-    start_table(last_seen(_stream(spark, folder)), f"{base}/rows", f"{base}/checkpoint", mode="update").awaitTermination()
+    start_table(
+        last_seen(_stream(spark, folder)), f"{base}/rows", f"{base}/checkpoint", mode="update", partitions=PARTITIONS,
+    ).awaitTermination()
     rows = spark.read.schema("user_id string, last_timestamp_ms long, batch_id long").parquet(f"{base}/rows")
     return rows.groupBy("user_id").agg(F.max_by("last_timestamp_ms", "batch_id").alias("last_timestamp_ms"))
 

@@ -45,3 +45,15 @@ def test_scores_of_many_pairs(spark, tmp_path):
             else:
                 want[event_id] = (False, None, None)
     assert got == want
+
+
+def test_partitions_of_a_stream(spark, tmp_path):
+    """A stream keeps its state in fewer partitions than the session has, which are left as they were."""
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(10).select(F.col("id").alias("event_id"), F.lit("u").alias("user_id"))
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in").dropDuplicates(["event_id"])
+    query = start_table(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", partitions=3)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
