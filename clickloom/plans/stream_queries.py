@@ -141,15 +141,13 @@ walk AS (
 SELECT user_id, window_start_ms, generated_at_ms, generated_at_ms <> window_start_ms AS reused, session_count FROM walk
 """)
 def x6_stream_profiles(spark, folder):
-    # Two queries in a row: closed windows first, then the keyed profiles over that table.
-    closed = profile_stream(_stream(spark, folder, with_catalog=True))
-    base = shared_folder(spark, "profile-windows")
-    start_table(closed, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
-    again = spark.readStream.schema(closed.schema).option("maxBytesPerTrigger", str(FILE_BYTES)).parquet(f"{base}/rows")
-    merged = keyed(again, "user_id", MergedProfiles(6 * HOUR_MS), PROFILE_OUTPUT)
-    return _finished(spark, merged, "profiles").select(
-        "user_id", "window_start_ms", "generated_at_ms", "reused", "session_count"
-    )
+    # Two queries in a row: closed windows first, then the keyed profiles over that table. A micro-batch of the first one writes the
+    # windows of a user in several files in no order, so they are put in the order of time before the second one takes them.
+    windows = _finished(spark, profile_stream(_stream(spark, folder, with_catalog=True)), "profile-windows")
+    rows = windows.withColumn("event_id", F.xxhash64("user_id", "window_start_ms"))
+    path = _in_files(spark, rows, "window_start_ms", "ordered-windows")
+    merged = keyed(stream_events(spark, path, rows.schema, ONE_FILE), "user_id", MergedProfiles(6 * HOUR_MS), PROFILE_OUTPUT)
+    return _finished(spark, merged.select("user_id", "window_start_ms", "generated_at_ms", "reused", "session_count"), "profiles")
 
 
 @query("r5_stream_scores", f"""
