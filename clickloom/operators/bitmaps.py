@@ -3,6 +3,9 @@
 Items get dense numbers, frequent ones first, so that most of what a user has falls into few blocks. A block is 32,768 numbers of one
 set of one user: 4 KiB as a bitmap, however many items the user has. Sets are merged by ``bitmap_or_agg`` and counted by
 ``bitmap_count``, block by block, so a user with a third of all items is spread over as many tasks as the items have blocks.
+
+Blocks suit few users with many items. Where most users have a handful of items, a word of 64 numbers takes their place: 8 bytes, merged
+by ``bit_or`` and counted by ``bit_count``. There are at most as many words as members, so they grow with the events and no faster.
 """
 
 from __future__ import annotations
@@ -97,13 +100,48 @@ def members(blocks: DataFrame, numbers: DataFrame) -> DataFrame:
     return found.withColumn("domain", domain).join(numbers, ["domain", "number"]).select("user_id", "kind", "item")
 
 
-def window_positions(events: DataFrame, numbers: DataFrame, minutes: int = 10) -> DataFrame:
-    """A1 with numbered items: a row per window, with (kind, block, positions) of what it shows; a block's positions are sparse here."""
-    entries = numbered(profile_events(events, minutes), numbers)
+def in_words(entries: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, kind, word, bits): the items of entries as bits of words of their numbers."""
+    found = entries.join(numbers, ["domain", "item"]).select(
+        *keys, "kind", F.expr("(number - 1) div 64").alias("word"),
+        F.expr("shiftleft(1L, cast((number - 1) % 64 as int))").alias("bits"))
+    return merged_words(found, keys)
+
+
+def merged_words(words: DataFrame, keys: list[str]) -> DataFrame:
+    """A2's union of sets, word by word."""
+    return words.groupBy(*keys, "kind", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def word_sizes(words: DataFrame) -> DataFrame:
+    """(user_id, viewed_items, purchased_items, category_items)"""
+    size = lambda kind: F.coalesce(
+        F.sum(F.when(F.col("kind") == kind, F.bit_count("bits"))), F.lit(0)).alias(f"{kind}_items")
+    return words.groupBy("user_id").agg(*[size(kind) for kind in DOMAINS])
+
+
+def word_members(words: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(user_id, kind, item): the sets again, a row per member."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            users, kinds, word, bits = batch.columns
+            every = np.unpackbits(bits.to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            row, bit = np.nonzero(every)
+            yield pa.RecordBatch.from_arrays(
+                [users.take(pa.array(row)), kinds.take(pa.array(row)), pa.array(word.to_numpy()[row] * 64 + bit + 1, pa.int64())],
+                names=["user_id", "kind", "number"])
+
+    found = words.select("user_id", "kind", "word", "bits").mapInArrow(run, "user_id string, kind string, number long")
+    domain = F.when(F.col("kind") == "category", "category").otherwise("product")
+    return found.withColumn("domain", domain).join(numbers, ["domain", "number"]).select("user_id", "kind", "item")
+
+
+def window_words(events: DataFrame, numbers: DataFrame, minutes: int = 10) -> DataFrame:
+    """A1 with numbered items: a row for each window itself, and one for each (kind, word) with the bits that it shows."""
     keys = ["user_id", "window_start_ms"]
-    listed = entries.groupBy(*keys, "kind", "block").agg(F.array_sort(F.collect_set(F.col("position").cast("int"))).alias("positions"))
+    words = in_words(profile_events(events, minutes), numbers, keys)
     figures = events.groupBy("user_id", window_floor(F.col("ts_ms"), minutes * 60_000).alias("window_start_ms")).agg(
         F.max("ts_ms").alias("last_activity_ms"), (F.max("ts_ms") - F.min("ts_ms")).cast("double").alias("avg_session_duration"))
-    itself = figures.withColumn("kind", F.lit("profile")).withColumn("block", F.lit(0).cast("long")).withColumn(
-        "positions", F.expr("cast(array() as array<int>)"))
-    return itself.unionByName(listed, allowMissingColumns=True)
+    itself = figures.withColumns({"kind": F.lit("profile"), "word": F.lit(0).cast("long"), "bits": F.lit(0).cast("long")})
+    return itself.unionByName(words, allowMissingColumns=True)

@@ -1,16 +1,16 @@
-"""Queries on profile sets as bitmap blocks."""
+"""Queries on profile sets as bitmaps."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..operators.bitmaps import (
-    blocks_of, item_numbers, members, merged_blocks, numbered, profile_events, set_sizes, window_positions,
+    blocks_of, item_numbers, members, merged_blocks, numbered, profile_events, set_sizes, window_words,
 )
 from ..session import prepare_streaming, stored
 from ..sources.files import stream_events
 from ..sources.tables import behaviour
-from ..streaming.blocks import SIZE_OUTPUT, BlockProfiles
+from ..streaming.blocks import SIZE_OUTPUT, WordProfiles
 from ..streaming.processors import keyed
 from .aggregate_queries import PROFILES_SQL
 from .registry import CHECKS, query
@@ -62,12 +62,12 @@ def a1_item_numbers(spark, folder):
 
 @query("x6_stream_blocks", CHECKS["a2_running_profiles"], events=False)
 def x6_stream_blocks(spark, folder):
-    """A2 at every window, from a stream that keeps the sets as blocks."""
+    """A2 at every window, from a stream that keeps the sets as bitmap words."""
     prepare_streaming(spark)
     events = behaviour(spark, folder)
     numbers = stored(item_numbers(profile_events(events)), "numbers")
-    rows = window_positions(events, numbers).withColumn("event_id", F.xxhash64("user_id", "window_start_ms"))
-    path = _in_files(spark, rows, "window_start_ms", "window-positions")
+    rows = window_words(events, numbers).withColumn("event_id", F.xxhash64("user_id", "window_start_ms"))
+    path = _in_files(spark, rows, "window_start_ms", "window-words")
     stream = stream_events(spark, path, rows.schema, ONE_FILE)
-    found = _finished(spark, keyed(stream, "user_id", BlockProfiles(), SIZE_OUTPUT), "block-profiles")
+    found = _finished(spark, keyed(stream, "user_id", WordProfiles(), SIZE_OUTPUT), "block-profiles")
     return found.withColumn("avg_session_duration", F.round("avg_session_duration", 4))

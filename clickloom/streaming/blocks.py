@@ -1,63 +1,50 @@
-"""Profiles over a stream with their sets as bitmap blocks in keyed state."""
+"""Profiles over a stream with their sets as bitmap words in keyed state."""
 
 from __future__ import annotations
 
 from itertools import groupby
 from operator import itemgetter
 
-import numpy as np
 import pandas as pd
-from pyspark.sql.streaming import StatefulProcessor
+import pyarrow as pa
 
 from ..operators.bitmaps import DOMAINS
-from .processors import _in_order
+from .buckets import BucketProcessor, KeyTable
 
-BLOCK_BYTES = 4096
+BITS = 2**64 - 1
 
 
-class BlockProfiles(StatefulProcessor):
-    """Per user, a map entry for each block of each set. A window reads and writes the blocks it touches, and sends sizes, not sets."""
+class WordProfiles(BucketProcessor):
+    """Per user, a row for each word of each set, and the sizes. A window changes the words it touches, and sends sizes, not sets."""
 
     def init(self, handle) -> None:
-        self.blocks = handle.getMapState("blocks", "kind string, block long", "bitmap binary")
-        self.figures = handle.getValueState(
-            "figures", "viewed long, purchased long, category long, sessions long, last long, spent double")
+        self.words = KeyTable(handle, "words", [*self.keys, "kind", "word"], {"bits": pa.int64()})
+        self.figures = KeyTable(handle, "figures", self.keys, {
+            "viewed": pa.int64(), "purchased": pa.int64(), "category": pa.int64(), "sessions": pa.int64(), "last": pa.int64(),
+            "spent": pa.float64()})
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = _in_order(rows, ["window_start_ms"])
-        sizes, sessions, last, spent = dict.fromkeys(DOMAINS, 0), 0, None, 0.0
-        if self.figures.exists():
-            *known, sessions, last, spent = self.figures.get()
+        frame, groups = self._in_order(rows, ["window_start_ms"])
+        columns = [frame[c].tolist() for c in ("window_start_ms", "kind", "word", "bits", "last_activity_ms", "avg_session_duration")]
+        words, figures, out = self.words.read(), self.figures.read(), []
+        for name, a, b in groups:
+            *known, sessions, last, spent = figures.get(name, (0, 0, 0, 0, None, 0.0))
             sizes = dict(zip(DOMAINS, known))
-        touched: dict[tuple, np.ndarray] = {}  # the bits of the blocks that this batch reads, each read and written once
-        out = []
-        columns = [frame[c].tolist() for c in (
-            "window_start_ms", "kind", "block", "positions", "last_activity_ms", "avg_session_duration")]
-        for window, group in groupby(zip(*columns), key=itemgetter(0)):
-            for _, kind, block, positions, at, duration in group:
-                if kind in sizes:
-                    bits = self._bits(touched, (kind, int(block)))
-                    wanted = np.asarray(positions, np.int64)
-                    sizes[kind] += len(wanted) - int(bits[wanted].sum())
-                    bits[wanted] = 1
-                else:  # the window itself
-                    spent, sessions = spent + duration, sessions + 1
-                    last = int(at) if last is None else max(last, int(at))
-            out.append((key[0], window, *sizes.values(), sessions, last, spent / sessions))
-        for place, bits in touched.items():
-            self.blocks.updateValue(place, (np.packbits(bits, bitorder="little").tobytes(),))
-        self.figures.update((*sizes.values(), sessions, last, spent))
+            for window, shown in groupby(zip(*(c[a:b] for c in columns)), key=itemgetter(0)):
+                for _, kind, word, bits, at, duration in shown:
+                    if kind in sizes:
+                        (old,) = words.get((*name, kind, word), (0,))
+                        sizes[kind] += (bits & ~old & BITS).bit_count()
+                        words[(*name, kind, word)] = (bits | old,)
+                    else:  # the window itself
+                        spent, sessions = spent + duration, sessions + 1
+                        last = int(at) if last is None else max(last, int(at))
+                out.append((name[0], window, *sizes.values(), sessions, last, spent / sessions))
+            figures[name] = (*sizes.values(), sessions, last, spent)
+        self.words.write(words)
+        self.figures.write(figures)
         yield pd.DataFrame(out, columns=SIZE_COLUMNS)
 
-    def _bits(self, touched: dict, place: tuple) -> np.ndarray:
-        if place not in touched:
-            old = self.blocks.getValue(place)[0] if self.blocks.containsKey(place) else bytes(BLOCK_BYTES)
-            touched[place] = np.unpackbits(np.frombuffer(old, np.uint8), bitorder="little")
-        return touched[place]
-
-    def close(self) -> None:
-        pass
-
 
 SIZE_COLUMNS = [
     "user_id", "window_start_ms", "viewed_items", "purchased_items", "category_items", "session_count", "last_activity_ms",

@@ -2,6 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from clickloom.operators.bitmaps import (
+    item_numbers, profile_events, window_words,
+)
+from clickloom.session import stored
+from clickloom.streaming.blocks import SIZE_OUTPUT, WordProfiles
 from clickloom.streaming.buckets import BUCKETS
 from clickloom.streaming.processors import SCORE_OUTPUT, CachedScores, keyed
 from clickloom.streaming.runners import start_table
@@ -57,3 +62,23 @@ def test_partitions_of_a_stream(spark, tmp_path):
     query.awaitTermination()
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
     assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+
+
+def test_sets_of_many_users(spark, tmp_path):
+    """Users with a handful of items, one with hundreds, over two micro-batches: sizes as from plain sets."""
+    rows = [(f"u{i}", 600_000 * (2 * batch + i % 2), "view" if (i + k) % 3 else "purchase", f"p{(i * 7 + k * batch) % 900}", f"c{i % 4}")
+            for batch in (0, 1) for i in range(KEYS) for k in (0, 1)]
+    rows += [("hot", 600_000 * (i // 300), "view", f"p{i}", "") for i in range(900)]
+    events = spark.createDataFrame(rows, "user_id string, ts_ms long, event_type string, product_id string, category_code string")
+    numbers = stored(item_numbers(profile_events(events)), "numbers")
+    assert numbers.where("domain = 'product'").count() == 900
+    words = window_words(events, numbers).withColumn("batch", F.expr("cast(window_start_ms >= 1200000 as int)"))
+    found, entries = run(spark, tmp_path, words, lambda s: keyed(s, "user_id", WordProfiles(), SIZE_OUTPUT))
+    assert entries <= 2 * BUCKETS
+    want, sets = {}, {}
+    for user, ts, kind, product, category in sorted(rows, key=lambda r: r[1]):
+        mine = sets.setdefault(user, (set(), set(), set()))
+        mine[0 if kind == "view" else 1].add(product)
+        mine[2].update({category} - {""})
+        want[user, ts] = tuple(map(len, mine))
+    assert {(r.user_id, r.window_start_ms): (r.viewed_items, r.purchased_items, r.category_items) for r in found.collect()} == want
