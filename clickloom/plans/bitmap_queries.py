@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.bitmaps import (
-    blocks_of, item_numbers, members, merged_blocks, numbered, profile_events, set_sizes, window_words,
+    in_words, item_numbers, merged_words, profile_events, window_words, word_members, word_sizes,
 )
 from ..session import prepare_streaming, stored
 from ..sources.files import stream_events
@@ -25,13 +25,13 @@ entries AS (
 """
 
 
-def _blocks(spark, folder):
-    """The sets of all users, from the blocks of two periods, and the numbers of the items."""
+def _words(spark, folder):
+    """The sets of all users, from the words of two periods, and the numbers of the items."""
     entries = profile_events(behaviour(spark, folder))
     numbers = stored(item_numbers(entries), "numbers")
-    rows = numbered(entries, numbers)
     first = F.col("window_start_ms") < F.unix_millis(F.expr("TIMESTAMP '2024-01-16 00:00:00'"))
-    return merged_blocks(blocks_of(rows.where(first)), blocks_of(rows.where(~first))), numbers
+    periods = [in_words(entries.where(part), numbers, ["user_id"]) for part in (first, ~first)]
+    return merged_words(periods[0].unionByName(periods[1]), ["user_id"]), numbers
 
 
 @query("a2_bitmap_sizes", f"""
@@ -40,12 +40,12 @@ SELECT user_id, count(*) FILTER (kind = 'viewed') AS viewed_items, count(*) FILT
        count(*) FILTER (kind = 'category') AS category_items FROM entries GROUP BY 1
 """)
 def a2_bitmap_sizes(spark, folder):
-    return set_sizes(_blocks(spark, folder)[0])
+    return word_sizes(_words(spark, folder)[0])
 
 
 @query("a2_bitmap_members", f"WITH {ENTRIES_SQL} SELECT * FROM entries")
 def a2_bitmap_members(spark, folder):
-    return members(*_blocks(spark, folder))
+    return word_members(*_words(spark, folder))
 
 
 @query("a1_item_numbers", f"""

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from clickloom.operators.bitmaps import (
-    item_numbers, profile_events, window_words,
+    in_words, item_numbers, merged_words, profile_events, window_words, word_members, word_sizes,
 )
 from clickloom.session import stored
 from clickloom.streaming.blocks import SIZE_OUTPUT, WordProfiles
@@ -82,3 +82,23 @@ def test_sets_of_many_users(spark, tmp_path):
         mine[2].update({category} - {""})
         want[user, ts] = tuple(map(len, mine))
     assert {(r.user_id, r.window_start_ms): (r.viewed_items, r.purchased_items, r.category_items) for r in found.collect()} == want
+
+
+def test_words_of_few_items(spark):
+    """Sets of many users by words, merged from two periods: sizes and members as from plain sets, and no more words than members."""
+    rows = [(f"u{i}", 600_000 * k, "view" if k else "purchase", f"p{i * i % 700}", f"c{k}") for i in range(2000) for k in (0, 1, 2)]
+    entries = profile_events(spark.createDataFrame(
+        rows, "user_id string, ts_ms long, event_type string, product_id string, category_code string"))
+    numbers = item_numbers(entries).cache()
+    words = [in_words(entries.where(part), numbers, ["user_id"]) for part in ("window_start_ms = 0", "window_start_ms > 0")]
+    words = merged_words(words[0].unionByName(words[1]), ["user_id"]).cache()
+    want = {(u, "viewed" if kind == "view" else "purchased", p) for u, _, kind, p, _ in rows} | {(r[0], "category", r[4]) for r in rows}
+    got = [tuple(r) for r in word_members(words, numbers).collect()]
+    assert set(got) == want and len(got) == len(want) and words.count() <= len(want)
+    assert {tuple(r)[1:] for r in word_sizes(words).collect()} == {(1, 1, 3)}
+    # The last bit of a word, and the first of the next one.
+    ends = spark.createDataFrame([("product", "x", 64), ("product", "y", 65)], numbers.schema)
+    both = in_words(spark.createDataFrame(
+        [("u", "viewed", "product", i) for i in "xy"], "user_id string, kind string, domain string, item string"), ends, ["user_id"])
+    assert sorted(r.word for r in both.collect()) == [0, 1] and word_sizes(both).first().viewed_items == 2
+    assert sorted(r.item for r in word_members(both, ends).collect()) == ["x", "y"]
