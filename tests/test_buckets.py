@@ -1,5 +1,6 @@
 """Keyed state by buckets: many keys give the results of one by one, and no call or entry of state for each of them."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators.bitmaps import (
@@ -8,8 +9,11 @@ from clickloom.operators.bitmaps import (
 from clickloom.session import stored
 from clickloom.streaming.blocks import SIZE_OUTPUT, WordProfiles
 from clickloom.streaming.buckets import BUCKETS
-from clickloom.streaming.processors import SCORE_OUTPUT, CachedScores, keyed
+from clickloom.streaming.processors import (
+    ACTIVITY_OUTPUT, SCORE_OUTPUT, SESSION_OUTPUT, CachedScores, CappedSessions, TrailingActivity, keyed,
+)
 from clickloom.streaming.runners import start_table
+from clickloom.streaming.timed import CLOSED_OUTPUT, SilentSessions, corrected_windows, timed
 
 KEYS = 3 * BUCKETS
 ONE_FILE = {"maxFilesPerTrigger": "1"}
@@ -102,3 +106,20 @@ def test_words_of_few_items(spark):
         [("u", "viewed", "product", i) for i in "xy"], "user_id string, kind string, domain string, item string"), ends, ["user_id"])
     assert sorted(r.word for r in both.collect()) == [0, 1] and word_sizes(both).first().viewed_items == 2
     assert sorted(r.item for r in word_members(both, ends).collect()) == ["x", "y"]
+
+
+@pytest.mark.parametrize(("name", "processor", "columns"), [
+    ("sessions", lambda s: keyed(s, "user_id", CappedSessions(), SESSION_OUTPUT), 0),
+    ("activity", lambda s: keyed(s, "user_id", TrailingActivity(), ACTIVITY_OUTPUT), 2),
+    ("silent", lambda s: timed(s, "user_id", SilentSessions(50, 100), CLOSED_OUTPUT, 0), 1),
+    ("windows", lambda s: corrected_windows(s, out_of_orderness_ms=0, allowed_ms=0), 1)])
+def test_state_of_many_users(spark, tmp_path, name, processor, columns):
+    """Two micro-batches of an event for each user: results per user, entries of state per bucket."""
+    rows = spark.range(2 * KEYS).select(
+        F.col("id").alias("event_id"), F.format_string("u%d", F.expr(f"id % {KEYS}")).alias("user_id"),
+        F.expr(f"cast(id div {KEYS} as int)").alias("batch"), F.lit("view").alias("event_type"), F.lit("p").alias("product_id"),
+        F.lit("c").alias("category_id")).withColumn("ts_ms", (F.col("batch") + 1) * F.lit(1_000_000).cast("long"))
+    found, entries = run(spark, tmp_path, rows.withColumn("event_time", F.timestamp_millis("ts_ms")), processor)
+    assert found.count() == columns * KEYS and found.select("user_id").distinct().count() == (KEYS if columns else 0)
+    # Before: an entry for each user, and two more for each timer.
+    assert entries <= (4 * BUCKETS if name in ("silent", "windows") else BUCKETS)
