@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import prepare_streaming, shared_folder
-from ..sources.files import parse_json_events, stream_json_files
+from ..sources.files import move_into, parse_json_events, stream_json_files
 from ..sources.sinks import write_batch_csv
 from ..sources.tables import EVENT_COLUMNS, behaviour
-from ..streaming.runners import start_clean_csv, start_drift_monitor, start_json_files, start_table
-from .inputs import FAULTY_SQL, faulty_rows, latest_ms
+from ..streaming.runners import MONITORED, start_clean_csv, start_drift_monitor, start_json_files, start_table
+from .inputs import FAULTY_SQL, faulty_rows
 from .monitor_queries import BASE_SQL, _baseline
 from .registry import query
-from .stream_queries import _stream
+from .stream_queries import PARTITIONS, _stream
 
 # Everything that is new makes one micro-batch, so that it is known what a micro-batch holds.
 ALL_FILES = {"maxFilesPerTrigger": str(2**31 - 1)}
@@ -34,18 +34,25 @@ SELECT batch_id, batch_size, round(drift_score, 8) AS drift_score,
 FROM totals JOIN marks USING (batch_id) JOIN types USING (batch_id)
 """)
 def d8_stream_monitor(spark, folder):
-    """The monitor over the weeks of the month: each is a micro-batch of its own run, which goes on from the one before."""
+    """The monitor over the weeks of the month: each is a micro-batch of its own run, which goes on from the one before.
+
+    One job reads and joins the events and writes the weeks, which also give the baseline; they are then put before the stream.
+    """
     prepare_streaming(spark)
     base = shared_folder(spark, "drift-monitor")
-    events = behaviour(spark, folder)
-    now = F.timestamp_millis(F.lit(events.select(latest_ms(events)).first()[0]))
-    numeric, categorical = _baseline(spark, folder)
-    week = F.floor((F.dayofmonth("event_time") - 1) / 7)
+    events = behaviour(spark, folder).select(*MONITORED)
+    week = F.floor((F.dayofmonth("event_time") - 1) / 7).cast("int")
+    events.withColumn("week", week).where("week IS NOT NULL").write.partitionBy("week").parquet(f"{base}/weeks")
+    written = spark.read.schema(events.schema).parquet(f"{base}/weeks")
+    now = F.timestamp_millis(F.lit(written.select(F.max(F.unix_millis("event_time"))).first()[0]))
+    numeric, categorical = _baseline(spark, folder, events=written.select(*MONITORED))
     for i in range(WEEKS):
-        events.where(week == i).write.mode("append").parquet(f"{base}/events")
-        stream = spark.readStream.schema(events.schema).options(**ALL_FILES).parquet(f"{base}/events")
+        if not move_into(spark, f"{base}/weeks/week={i}", f"{base}/events/{i}"):
+            spark.createDataFrame([], events.schema).write.parquet(f"{base}/events/{i}")  # a micro-batch without rows
+        stream = spark.readStream.schema(events.schema).options(**ALL_FILES).parquet(f"{base}/events/*")
         start_drift_monitor(
-            stream, numeric, categorical, f"{base}/history", f"{base}/checkpoint", now=now).awaitTermination()
+            stream, numeric, categorical, f"{base}/history", f"{base}/checkpoint", now=now, partitions=PARTITIONS,
+        ).awaitTermination()
     history = spark.read.option("basePath", f"{base}/history").parquet(f"{base}/history")
     types = F.transform(F.sort_array("event_types"), lambda t: F.concat_ws(" ", t["value"], t["events"].cast("string")))
     return history.select(

@@ -108,6 +108,18 @@ def age_in_order(spark: SparkSession, path: str) -> None:
         raise OSError(f"{path}: modification times of files cannot be set here")
 
 
+def move_into(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a written folder to where a stream looks for it, so that its files appear at once; false where there is none."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    store = make(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(make(source)):
+        return False
+    store.mkdirs(make(target).getParent())
+    if not store.rename(make(source), make(target)):
+        raise OSError(f"{source} cannot be moved to {target}")
+    return True
+
+
 def first_rows(df: DataFrame, order: list[Column], count: int, price: str = "price") -> DataFrame:
     """S3: the first ``count`` rows of a source as drift baseline, the price read as a number or null."""
     typed = df if dict(df.dtypes)[price] == "double" else df.withColumn(price, to_number(F.col(price)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.activity import counts_by, top_by_count
-from ..operators.drift import batch_overview, drift_parts, drift_totals
+from ..operators.drift import CATEGORICAL, batch_overview, drift_parts, drift_totals
 from ..operators.intake import dead_letters, valid_rows, with_error
 from ..operators.profiles import PROFILE_LIMIT, window_profiles
 from ..operators.recommend import (
@@ -124,6 +124,10 @@ def start_split(
     return start_batches(classified, write, checkpoint, **options)
 
 
+# What the monitor looks at; other columns of a micro-batch are not kept.
+MONITORED = ("event_time", "price", *CATEGORICAL)
+
+
 def start_drift_monitor(
     events: DataFrame, numeric: DataFrame, categorical: DataFrame, history: str, checkpoint: str, *,
     now: Column | None = None, **options,
@@ -135,8 +139,9 @@ def start_drift_monitor(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+        batch = batch.select(*MONITORED, F.lit(batch_id).cast("long").alias("batch_id")).persist()
         try:
+            batch.count()  # the figures come from jobs at one time, each of which would read the files again
             keys = ["batch_id"]
             parts = drift_parts(batch, numeric, categorical, keys)
             overview = batch_overview(batch, keys, now).select(
