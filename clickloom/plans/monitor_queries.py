@@ -86,14 +86,13 @@ def _batches(spark, folder):
 def _baseline(spark, folder, numeric=True, categorical=True, events=None):
     """The baseline job: its small tables are stored in the shared folder and read back, None if not asked for.
 
-    ``events`` with catalog columns are taken where there are some, else those of ``folder``.
+    The categories are those of ``events`` with catalog columns where there are some; prices count once for each event.
     """
     first_half = F.col("event_time") < F.expr(SPLIT)
     path = shared_folder(spark, "baseline")
-    rows = lambda with_catalog: behaviour(spark, folder, with_catalog) if events is None else events
     write_baseline(
-        numeric_baseline(rows(False).where(first_half)) if numeric else None,
-        categorical_baseline(rows(True).where(first_half)) if categorical else None,
+        numeric_baseline(behaviour(spark, folder, with_catalog=False).where(first_half)) if numeric else None,
+        categorical_baseline((behaviour(spark, folder) if events is None else events).where(first_half)) if categorical else None,
         path,
     )
     return (

@@ -36,7 +36,8 @@ FROM totals JOIN marks USING (batch_id) JOIN types USING (batch_id)
 def d8_stream_monitor(spark, folder):
     """The monitor over the weeks of the month: each is a micro-batch of its own run, which goes on from the one before.
 
-    One job reads and joins the events and writes the weeks, which also give the baseline; they are then put before the stream.
+    One job reads and joins the events and writes the weeks, which also give the baseline of categories; they are then put before the
+    stream.
     """
     prepare_streaming(spark)
     base = shared_folder(spark, "drift-monitor")
