@@ -27,7 +27,8 @@ FILES = 4  # at least
 # Of values in a file, which bounds what a micro-batch and so a hot key brings to one task. Every micro-batch visits the state of the
 # users who come in it, so small ones cost more than the rows do.
 FILE_BYTES = 256 * 1024 * 1024
-PARTITIONS = 64  # of a micro-batch, at most
+SPLIT_BYTES = 4 * 1024 * 1024  # of a row group, so that many tasks read a file
+PARTITIONS = 24  # of a micro-batch, at most: each starts Python and commits its state, which is a second for about 10 MB of rows
 ONE_FILE = {"maxFilesPerTrigger": "1"}
 
 
@@ -49,7 +50,7 @@ def _in_files(spark, rows, order, purpose):
     files = max(FILES, -(-_value_bytes(rows) // FILE_BYTES))
     path = shared_folder(spark, purpose)
     ranges = rows.repartitionByRange(files, order, "event_id").sortWithinPartitions(F.xxhash64("event_id"))
-    ranges.write.parquet(path)
+    ranges.write.option("parquet.block.size", str(SPLIT_BYTES)).parquet(path)
     age_in_order(spark, path)
     return path
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.profiles import PURCHASE, VIEW
 from ..operators.sessions import CAP_MS, KEPT_EVENTS
-from .buckets import KeyTable, TimedBuckets, in_buckets
+from .buckets import KeyTable, TimedBuckets, in_buckets, unpacked
 from .processors import NAMES, SESSION_STATE_MS, MergedProfiles
 
 
@@ -167,7 +167,7 @@ class ResumedProfiles(MergedProfiles):
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         profiles = self.profile.read()  # a bucket may come in several frames
-        for row in initialState.itertuples(index=False):
+        for row in unpacked([initialState]).itertuples(index=False):
             profiles[(row.user_id,)] = (
                 list(row.viewed_products), list(row.purchased_products), list(row.categories_preferred), int(row.last_activity_ms),
                 int(row.session_count), float(row.avg_session_duration))

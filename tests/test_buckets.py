@@ -1,5 +1,7 @@
 """Keyed state by buckets: many keys give the results of one by one, and no call or entry of state for each of them."""
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from clickloom.operators.bitmaps import (
 )
 from clickloom.session import stored
 from clickloom.streaming.blocks import SIZE_OUTPUT, WordProfiles
+from clickloom.streaming import buckets
 from clickloom.streaming.buckets import BUCKETS
 from clickloom.streaming.processors import (
     ACTIVITY_OUTPUT, SCORE_OUTPUT, SESSION_OUTPUT, CachedScores, CappedSessions, TrailingActivity, keyed,
@@ -123,3 +126,48 @@ def test_state_of_many_users(spark, tmp_path, name, processor, columns):
     assert found.count() == columns * KEYS and found.select("user_id").distinct().count() == (KEYS if columns else 0)
     # Before: an entry for each user, and two more for each timer.
     assert entries <= (4 * BUCKETS if name in ("silent", "windows") else BUCKETS)
+
+
+def test_rows_of_a_task_are_packed(monkeypatch):
+    """A row for each bucket and share of the rows held, with all rows in the order they came; nulls and lists stay."""
+    rows = [{"user_id": None if i % 5 == 0 else f"u{i % 9}", "n": None if i % 4 == 0 else i, "items": [f"p{i}"] * (i % 3),
+             buckets.BUCKET: i * 7 % 10} for i in range(1000)]
+    batches = pa.RecordBatch.from_pylist(rows[:700]), pa.RecordBatch.from_pylist(rows[700:])
+    monkeypatch.setattr(buckets, "PACK_BYTES", batches[0].nbytes)
+    packs = list(buckets._packs(iter(batches)))
+    assert [p.num_rows for p in packs] == [10, 10]
+    frames = [p.to_pandas() for p in packs]
+    for bucket in range(10):
+        mine = [f[f[buckets.BUCKET] == bucket] for f in frames]
+        got = buckets.unpacked(mine)
+        want = [r for r in rows if r[buckets.BUCKET] == bucket]
+        assert [x if x == x else None for x in got["n"]] == [r["n"] for r in want]
+        assert got["user_id"].tolist() == [r["user_id"] for r in want] and [list(x) for x in got["items"]] == [r["items"] for r in want]
+    plain = pd.DataFrame({"user_id": ["a"], "n": [1]})
+    assert buckets.unpacked([plain, plain]).to_dict("list") == {"user_id": ["a", "a"], "n": [1, 1]}
+
+
+def test_keys_come_packed(spark):
+    """Rows are packed before the exchange to the processor, but for one with timers, whose late rows Spark drops."""
+    rows = spark.readStream.format("rate").load().select(
+        F.col("value").alias("event_id"), F.col("value").cast("string").alias("user_id"), F.col("value").alias("ts_ms"),
+        F.lit("view").alias("event_type"), F.lit("p").alias("product_id"), F.lit("c").alias("category_id"),
+        F.col("timestamp").alias("event_time"))
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan(keyed(rows, "user_id", TrailingActivity(), ACTIVITY_OUTPUT))
+    assert "MapInArrow" not in plan(timed(rows, "user_id", SilentSessions(50, 100), CLOSED_OUTPUT, 0))
+
+
+def test_files_of_a_stream_can_be_split(spark, monkeypatch):
+    """Several tasks can read a file of a micro-batch: it has several row groups."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from clickloom.plans import stream_queries
+
+    monkeypatch.setattr(stream_queries, "SPLIT_BYTES", 10_000, raising=False)
+    rows = spark.range(40_000).select(F.col("id").alias("event_id"), F.rand(1).alias("value"))
+    path = stream_queries._in_files(spark, rows, "event_id", "split-files").removeprefix("file://")
+    files = list(Path(path).glob("part-*"))
+    assert len(files) == 4 and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
