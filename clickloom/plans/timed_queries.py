@@ -39,8 +39,10 @@ def u1_stream_corrected_windows(spark, folder):
     main = main_stream(classified, F.col("arrival_ms")).select(
         "event_id", "user_id", "event_type", "product_id", "ts_ms", "arrival_ms",
         F.timestamp_millis("ts_ms").alias("event_time"))
+    main = stored(main, "classified")  # it is sized, sampled and written, and would be classified for each
     path = _in_files(spark, main, "arrival_ms", "main-stream")
-    windows = corrected_windows(stream_events(spark, path, main.schema, ONE_FILE), allowed_ms=LATE_MS)
+    arrived = stream_events(spark, path, main.schema, ONE_FILE).drop("event_id", "arrival_ms")
+    windows = corrected_windows(arrived, allowed_ms=LATE_MS)
     newest = _finished(spark, windows, "corrected").groupBy("user_id", "window_start_ms").agg(
         F.max_by(F.struct("events", "viewed_products", "purchased_products", "first_activity_ms", "last_activity_ms"), "revision")
         .alias("w"))
