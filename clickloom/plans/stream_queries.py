@@ -66,7 +66,7 @@ def _stream(spark, folder, with_catalog=False):
 
 def _finished(spark, stream, name, start=start_table, **options):
     base = shared_folder(spark, name)
-    start(stream, f"{base}/rows", f"{base}/checkpoint", partitions=PARTITIONS, **options).awaitTermination()
+    start(stream, f"{base}/rows", f"{base}/checkpoint", **{"partitions": PARTITIONS, **options}).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows").select(*stream.columns)
 
 

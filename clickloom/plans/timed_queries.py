@@ -17,10 +17,11 @@ from ..streaming.timed import CLOSED_OUTPUT, ResumedProfiles, SilentSessions, co
 from .aggregate_queries import PROFILES_SQL
 from .inputs import ARRIVALS_SQL, arrivals
 from .registry import query
-from .stream_queries import ONE_FILE, _finished, _in_files, _stream
+from .stream_queries import ONE_FILE, _finished, _in_files
 
 # The arrivals are up to 40 minutes behind the newest event of any shard.
 LATE_MS = 2_400_000
+STATE_PARTITIONS = 12  # at most, where a micro-batch is 10 s of work for them
 
 
 @query("u1_stream_corrected_windows", f"""
@@ -73,10 +74,14 @@ SELECT * FROM sessions WHERE reason = 'cap' OR last_update + 21600000 + 1 <= (SE
 """)
 def x7_stream_silent_sessions(spark, folder):
     """Closed by an event beyond the cap, or by a timer after six hours without one; the given users come a few times a day."""
-    events = _stream(spark, folder, with_catalog=True).select(
+    prepare_streaming(spark)
+    rows = behaviour(spark, folder).select(
         "event_id", "user_id", "ts_ms", "product_id", F.col("category_code").alias("category_id"), "event_time")
+    rows = stored(rows, "categorised")  # every micro-batch would read and join the whole catalog
+    path = _in_files(spark, rows, "ts_ms", "categorised-files")
+    events = stream_events(spark, path, rows.schema, ONE_FILE)
     closed = timed(events, "user_id", SilentSessions(8 * HOUR_MS, 6 * HOUR_MS), CLOSED_OUTPUT, 5000)
-    return _finished(spark, closed, "silent-sessions")
+    return _finished(spark, closed, "silent-sessions", partitions=STATE_PARTITIONS)
 
 
 @query("x6_stream_from_batch", f"""

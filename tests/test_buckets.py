@@ -171,3 +171,65 @@ def test_files_of_a_stream_can_be_split(spark, monkeypatch):
     path = stream_queries._in_files(spark, rows, "event_id", "split-files").removeprefix("file://")
     files = list(Path(path).glob("part-*"))
     assert len(files) == 4 and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
+
+
+def test_silent_sessions_have_few_buckets(spark, tmp_path):
+    """What a bucket costs in a micro-batch whatever its rows is paid a quarter as often as with the usual number."""
+    rows = spark.range(KEYS).select(
+        F.col("id").alias("event_id"), F.format_string("u%d", "id").alias("user_id"), F.lit("p").alias("product_id"),
+        F.lit("c").alias("category_id"), F.expr("cast(1000000 + id as long)").alias("ts_ms"), F.expr("cast(id % 2 as int)").alias("batch"))
+    found, entries = run(
+        spark, tmp_path, rows.withColumn("event_time", F.timestamp_millis("ts_ms")),
+        lambda s: timed(s, "user_id", SilentSessions(10**6, 10**5), CLOSED_OUTPUT, 0))
+    assert found.count() == 0 and entries <= BUCKETS  # four for each bucket
+
+
+def test_a_session_that_is_due_closes_with_the_rows_of_its_micro_batch():
+    """The state is written once, and no timer has to read it again in that micro-batch."""
+    class Value:
+        held, writes = None, 0
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held, self.writes = value, self.writes + 1
+
+        def clear(self):
+            self.held = None
+
+    class Handle:
+        def __init__(self):
+            self.values, self.timers = {}, set()
+
+        def getValueState(self, name, *options):
+            return self.values.setdefault(name, Value())
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 5000
+
+    processor, handle = SilentSessions(1000, 100), Handle()
+    processor.init(handle)
+    rows = pd.DataFrame([
+        (1, "u", 4000, "a", "x"), (2, "u", 4050, "b", "x"), (3, "v", 4950, None, "x"), (4, "w", 1000, "a", None), (5, "w", 9000, "a", None),
+    ], columns=["event_id", "user_id", "ts_ms", "product_id", "category_id"])
+    sent = pd.concat(processor.handleInputRows((0,), iter([rows]), Times()))
+    assert sorted(sent.itertuples(index=False, name=None)) == [
+        ("u", 4000, 4050, 50, 2, 2, 1, "silent"), ("w", 1000, 1000, 0, 1, 1, 0, "silent")]
+    assert sorted(processor.open.read()) == [("v",), ("w",)] and handle.timers == {5051} and handle.values["open"].writes == 1
+
+
+def test_no_micro_batch_joins_the_catalog(spark, monkeypatch):
+    """It grows with the events, and so does the number of micro-batches."""
+    from clickloom.plans import timed_queries
+
+    monkeypatch.setattr(timed_queries, "_finished", lambda spark, stream, name, **options: stream)
+    stream = timed_queries.x7_stream_silent_sessions(spark, "/root/testdata/sf0.001")
+    assert "Join" not in stream._jdf.queryExecution().analyzed().toString()
