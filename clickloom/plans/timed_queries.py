@@ -22,6 +22,11 @@ from .stream_queries import ONE_FILE, _finished, _in_files
 # The arrivals are up to 40 minutes behind the newest event of any shard.
 LATE_MS = 2_400_000
 STATE_PARTITIONS = 12  # at most, where a micro-batch is 10 s of work for them
+# For state that sends nothing by itself: no micro-batch without rows, no look at the old value of an entry just to count entries.
+STATE_CONF = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 @query("u1_stream_corrected_windows", f"""
@@ -122,7 +127,8 @@ def s8_repeated_deliveries(spark, folder):
         "event_time", F.timestamp_millis("ts_ms"))
     path = _in_files(spark, delivered, "arrival_ms", "deliveries")
     once = each_once(stream_events(spark, path, delivered.schema, ONE_FILE), ["event_id"], "1 hour")
-    return _finished(spark, once, "each-once").select("event_id", "user_id", "event_type", "ts_ms")
+    kept = _finished(spark, once, "each-once", partitions=STATE_PARTITIONS, conf=STATE_CONF)
+    return kept.select("event_id", "user_id", "event_type", "ts_ms")
 
 
 @query("s8_resumed_inside_files", """

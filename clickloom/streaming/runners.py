@@ -28,24 +28,27 @@ from .processors import PROFILE_OUTPUT, MergedProfiles, keyed
 
 def start_batches(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *,
-    mode: str = "append", interval: str | None = None, partitions: int | None = None,
+    mode: str = "append", interval: str | None = None, partitions: int | None = None, conf: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Run ``write`` per micro-batch; without ``interval`` the query takes what is there and ends.
 
     ``partitions`` bounds the shuffle partitions of the query, each of which commits its state in every micro-batch. A session
-    sized for the whole table has many more than a micro-batch needs. A checkpoint keeps the number that it began with.
+    sized for the whole table has many more than a micro-batch needs. A checkpoint keeps the number that it began with. ``conf`` has
+    further options of the session that only this query gets.
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    usual = conf.get(name)
-    if partitions is None or int(usual) <= partitions:
-        return writer.start()
-    conf.set(name, str(partitions))  # a query takes the options over when it starts
+    session, name, wanted = stream.sparkSession.conf, "spark.sql.shuffle.partitions", dict(conf or {})
+    if partitions is not None and int(session.get(name)) > partitions:
+        wanted[name] = str(partitions)
+    usual = {k: session.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        session.set(k, v)  # a query takes the options over when it starts
     try:
         return writer.start()
     finally:
-        conf.set(name, usual)
+        for k, v in usual.items():
+            session.unset(k) if v is None else session.set(k, v)
 
 
 def trigger_interval(settings: Settings) -> str:

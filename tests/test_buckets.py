@@ -16,7 +16,7 @@ from clickloom.streaming.processors import (
     ACTIVITY_OUTPUT, SCORE_OUTPUT, SESSION_OUTPUT, CachedScores, CappedSessions, TrailingActivity, keyed,
 )
 from clickloom.streaming.runners import start_table
-from clickloom.streaming.timed import CLOSED_OUTPUT, SilentSessions, corrected_windows, timed
+from clickloom.streaming.timed import CLOSED_OUTPUT, SilentSessions, corrected_windows, each_once, timed
 
 KEYS = 3 * BUCKETS
 ONE_FILE = {"maxFilesPerTrigger": "1"}
@@ -226,6 +226,22 @@ def test_a_session_that_is_due_closes_with_the_rows_of_its_micro_batch():
     assert sorted(processor.open.read()) == [("v",), ("w",)] and handle.timers == {5051} and handle.values["open"].writes == 1
 
 
+def test_options_of_one_stream(spark, tmp_path):
+    """Options that a query starts with, such as no micro-batch without rows, are not left in the session."""
+    name, count = "spark.sql.streaming.noDataMicroBatches.enabled", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    usual = [spark.conf.get(k, None) for k in (name, count)]
+    for k in (0, 1):
+        spark.range(10 * k, 10 * k + 10).select(F.col("id").alias("event_id"), F.timestamp_millis((k + 1) * F.lit(10**8)).alias(
+            "event_time")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = each_once(spark.readStream.schema("event_id long, event_time timestamp").options(**ONE_FILE).parquet(
+        f"{tmp_path}/in"), ["event_id"], "1 hour")
+    query = start_table(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", conf={name: "false", count: "false"})
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress] == [10, 10]
+    assert [spark.conf.get(k, None) for k in (name, count)] == usual
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 20
+
+
 def test_no_micro_batch_joins_the_catalog(spark, monkeypatch):
     """It grows with the events, and so does the number of micro-batches."""
     from clickloom.plans import timed_queries
