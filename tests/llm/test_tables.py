@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -221,6 +222,40 @@ def test_odd_vectors(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_are_written_once(spark):
+    """Vectors without structure are near every cell; what is written must not grow with the number of cells."""
+    found = np.float32(np.random.default_rng(3).normal(size=(3000, 32)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(found)], "vec_id long, embedding array<float>")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = {p for p in shared.iterdir()} if shared.exists() else set()
+    settings = vectors.Settings(cosine=0.7, per_cell=50, block=50)
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(frame, settings=settings).collect()}
+    units = found.astype(float) / np.linalg.norm(found.astype(float), axis=1)[:, None]
+    want = (units @ units.T >= 0.7).sum(axis=1) - 1
+    assert got == dict(enumerate(want.tolist()))
+    written = sum(p.stat().st_size for top in set(shared.iterdir()) - before for p in top.rglob("*.parquet"))
+    assert written < 4 * found.nbytes
+
+
+def test_vectors_without_overlap(spark):
+    """Vectors as near to one pivot as to all others have one cell, and near-equal ones need no pivots of their own."""
+    found = np.eye(60)[np.arange(240) % 60] * (1 + np.arange(240) // 60)[:, None]
+    found = np.concatenate([found, found[:60] + 1e-9])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(found)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(
+        frame, settings=vectors.Settings(per_cell=4, block=3)).collect()}
+    assert got == {i: (4, i % 60) for i in range(300)}
+
+
+def test_vectors_of_one_id(spark):
+    """An id with several vectors is one node: its vectors share links and component, whichever block they are in."""
+    rows = [(7, [1.0, 0.0, 0.0]), (7, [0.0, 1.0, 0.0]), (1, [1.0, 0.1, 0.0]), (2, [0.1, 1.0, 0.0]), (3, [0.0, 0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for settings in (vectors.Settings(), vectors.Settings(per_cell=1, block=1)):
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(frame, settings=settings).collect())
+        assert got == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (7, 2, 1), (7, 2, 1)]
+
+
 def test_op10(spark, folder):
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
     want = brute.links({r.vec_id: r.embedding for r in rows})
